@@ -22,7 +22,7 @@ EXOG_LAGS = {
 }
 MIN_COVERAGE = 0.20
 ENGINEERED_PREFIXES = ("y_lag_", "y_roll_", "y_yoy_", "month_sin", "month_cos")
-NOT_FEATURES = ("series_id", "date", "y")
+NOT_FEATURES = ("series_id", "date", "y", "is_test", "fold", "role")
 
 
 def _series():

@@ -21,15 +21,16 @@ def tokens(text: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
     return F.filter(found, lambda t: ~t.isin(list(stop_words))) if stop_words else found
 
 
+def _runs(words: Column, n: int) -> Column:
+    """Every run of n neighbouring tokens, joined by a blank."""
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+
 def ngrams(words: Column, longest: int = 2) -> Column:
     """All runs of one to ``longest`` neighbouring tokens, formed after stop words are gone."""
-    grams = words
-    for n in range(2, longest + 1):
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
-            F.array().cast("array<int>"))
-        # slice and join the same array per start position
-        grams = F.concat(grams, F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-    return grams
+    return F.concat(words, *[_runs(words, n) for n in range(2, longest + 1)])
 
 
 def term_counts(docs: DataFrame, doc: str, text: str, longest: int = 2,
