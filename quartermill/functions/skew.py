@@ -14,6 +14,26 @@ HOT_SHARE = 0.01
 SALTS = 64
 
 
+def spread(df: DataFrame, *keys: str | Column, partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``keys`` into a fixed number of tasks.
+
+    Grouped Python work costs far more per row than its bytes suggest, so the partitions must not be
+    merged by size; a partition count given explicitly is left alone by adaptive execution.
+    """
+    spark = df.sparkSession
+    wanted = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(wanted, *keys)
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread an input of fewer partitions than cores; a large scan already has more and stays as is.
+
+    Meant for row-local work that is heavy per row, such as tokenising the texts of one small file.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(df: DataFrame, key: str, weight: Column | None = None, share: float = HOT_SHARE) -> DataFrame:
     """Keys holding at least ``share`` of the rows (or of ``weight``): at most ``1/share`` rows."""
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)

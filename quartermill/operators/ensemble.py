@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.operators import linear, trees
-from quartermill.operators.accuracy import cv_rmse, evaluate_forecast, rmse
+from quartermill.operators.accuracy import cv_rmse, evaluate_forecast
 from quartermill.operators.splits import walk_forward_folds
 from quartermill.session import materialise
 
@@ -82,22 +82,18 @@ def param_search(df: DataFrame, features: Sequence[str], model: str, trials: Seq
                  n_folds: int = 5) -> DataFrame:
     """``(series_id, trial, <params>, cv_rmse)``: the setting with the smallest mean fold error.
 
-    Folds are scaled once; every (series, fold, trial) is then one small independent fit, so the
-    search spreads over the cluster like any other grouped job.
+    Folds are scaled once; every (series, fold) then tries all settings in one task, so the search
+    spreads over the cluster like any other grouped job.
     """
     names = list(trials[0])
     scaled, _, kept = linear.prepare(training_folds(df, n_folds), features, FOLD_KEYS)
-    grid = F.array(*[F.struct(F.lit(i).alias("trial"), *[F.lit(float(t[n])).alias(n) for n in names])
-                     for i, t in enumerate(trials)])
-    # the grid is a constant of the query, so it is repeated per row only after the rows are scaled
-    repeated = scaled.select("*", F.inline(grid))
-    keys = ["series_id", "fold", "trial", *names]
-    predicted = linear.solve_groups(repeated, kept, model, keys, names)
-    per_trial = predicted.groupBy(*keys).agg(rmse().alias("_rmse")).groupBy("series_id", "trial", *names).agg(
-        F.avg("_rmse").alias("cv_rmse"))
-    best = F.struct("cv_rmse", "trial", *names)
-    return per_trial.groupBy("series_id").agg(F.min_by(best, F.struct("cv_rmse", "trial")).alias("b")).select(
-        "series_id", "b.trial", *[f"b.{n}" for n in names], "b.cv_rmse")
+    errors = linear.solve_trials(scaled, kept, model, FOLD_KEYS, trials)
+    means = errors.groupBy("series_id", "trial").agg(F.avg("rmse").alias("cv_rmse"))
+    best = means.groupBy("series_id").agg(
+        F.min_by("trial", F.struct("cv_rmse", "trial")).alias("trial"), F.min("cv_rmse").alias("cv_rmse"))
+    settings = F.element_at(F.array(*[F.struct(*[F.lit(float(t[n])).alias(n) for n in names]) for t in trials]),
+                            F.col("trial") + 1)
+    return best.withColumn("_s", settings).select("series_id", "trial", *[f"_s.{n}" for n in names], "cv_rmse")
 
 
 def exog_ablation(df: DataFrame, subsets: Mapping[str, Sequence[str]], model: str = "ridge", n_folds: int = 5,

@@ -51,7 +51,8 @@ def frequency_filter(df: DataFrame, minimum: int = MIN_ROWS, rounds: int = MAX_R
     counts equals filtering the lines. Each round is written to the shared folder: the plan stays
     short and a lost executor costs at most one round.
     """
-    kept = df
+    # both branches of every semi-join read the cells: build them once, not once per branch
+    kept = materialise(df, "cells")
     before = None
     for _ in range(rounds):
         kept = semi_join_active(kept, "user_id", minimum)

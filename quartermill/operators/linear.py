@@ -7,43 +7,48 @@ A group is one series (or one series and fold), bounded by the calendar.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quartermill.functions.skew import spread
 from quartermill.operators.scaling import SERIES, apply_zscore, impute_median, zscore_stats
 from quartermill.session import materialise
 
 RIDGE_ALPHA = 1.0
 ELASTICNET_ALPHA, ELASTICNET_L1_RATIO = 1.0, 0.5
 MAX_SWEEPS, SWEEP_TOLERANCE = 5000, 1e-6
+TINY = 1e-12
 
 
-def solve_ridge(x: np.ndarray, y: np.ndarray, alpha: float = RIDGE_ALPHA) -> np.ndarray:
-    """Coefficients for centred x and y: squared error + alpha * |w|^2."""
-    return np.linalg.solve(x.T @ x + alpha * np.eye(x.shape[1]), x.T @ y)
+def solve_ridge(x: np.ndarray, y: np.ndarray, alpha: float | np.ndarray = RIDGE_ALPHA) -> np.ndarray:
+    """Coefficients for centred x and y: squared error + alpha * |w|^2, one row per alpha."""
+    values, vectors = np.linalg.eigh(x.T @ x)
+    target = vectors.T @ (x.T @ y)
+    return (target / (np.maximum(values, 0.0) + np.atleast_1d(alpha)[:, None])) @ vectors.T
 
 
-def solve_elasticnet(x: np.ndarray, y: np.ndarray, alpha: float = ELASTICNET_ALPHA,
-                     l1_ratio: float = ELASTICNET_L1_RATIO) -> np.ndarray:
-    """Coordinate descent on half the mean squared error + alpha (rho |w|_1 + (1 - rho)/2 |w|^2)."""
-    n = len(y)
-    moments, target = x.T @ x / n, (x.T @ y / n).tolist()
-    diagonal = np.diag(moments).tolist()
+def solve_elasticnet(x: np.ndarray, y: np.ndarray, alpha: float | np.ndarray = ELASTICNET_ALPHA,
+                     l1_ratio: float | np.ndarray = ELASTICNET_L1_RATIO) -> np.ndarray:
+    """Coordinate descent on half the mean squared error + alpha (rho |w|_1 + (1 - rho)/2 |w|^2).
+
+    One row of coefficients per setting; all settings advance together, coordinate by coordinate.
+    """
+    alpha, l1_ratio = np.broadcast_arrays(np.atleast_1d(alpha), np.atleast_1d(l1_ratio))
+    moments, target = x.T @ x / len(y), x.T @ y / len(y)
     threshold, shrink = alpha * l1_ratio, alpha * (1 - l1_ratio)
-    w = np.zeros(x.shape[1])
+    w = np.zeros((len(alpha), x.shape[1]))
     for _ in range(MAX_SWEEPS):
-        change = 0.0
-        for j, own in enumerate(diagonal):
-            old = float(w[j])
-            partial = target[j] - float(moments[j] @ w) + own * old
-            size = max(abs(partial) - threshold, 0.0) / (own + shrink) if own + shrink > 0 else 0.0
-            w[j] = math.copysign(size, partial)
-            change = max(change, abs(w[j] - old))
-        if change <= SWEEP_TOLERANCE * max(float(np.max(np.abs(w), initial=0.0)), 1e-12):
+        before = w.copy()
+        for j in range(x.shape[1]):
+            partial = target[j] - w @ moments[j] + moments[j, j] * w[:, j]
+            size = np.maximum(np.abs(partial) - threshold, 0.0)
+            w[:, j] = np.sign(partial) * size / np.maximum(moments[j, j] + shrink, TINY)
+        limit = np.maximum(np.abs(w).max(axis=1, initial=0.0), TINY)
+        if np.all(np.abs(w - before).max(axis=1, initial=0.0) <= SWEEP_TOLERANCE * limit):
             break
     return w
 
@@ -68,14 +73,10 @@ def _key_schema(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def solve_groups(scaled: DataFrame, features: Sequence[str], model: str, keys: Sequence[str],
-                 params: Sequence[str] = (), **fixed: float) -> DataFrame:
-    """``(keys, date, y, y_hat)`` for the test rows of prepared groups.
-
-    ``params`` names columns (also listed in ``keys``) that hold solver settings of the group, so
-    one job can fit many settings side by side.
-    """
+                 **fixed: float) -> DataFrame:
+    """``(keys, date, y, y_hat)`` for the test rows of prepared groups."""
     solver = SOLVERS[model]
-    keys, features, params = list(keys), list(features), list(params)
+    keys, features = list(keys), list(features)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         train, test = pdf[~pdf["is_test"]], pdf[pdf["is_test"]].sort_values("date")
@@ -83,18 +84,44 @@ def solve_groups(scaled: DataFrame, features: Sequence[str], model: str, keys: S
         if train.empty:
             out["y_hat"] = np.nan
             return out
-        settings = fixed | {p: float(pdf[p].iloc[0]) for p in params}
         level = train["y"].mean()
-        w = solver(train[features].to_numpy(float), train["y"].to_numpy(float) - level, **settings)
+        w = solver(train[features].to_numpy(float), train["y"].to_numpy(float) - level, **fixed)[0]
         out["y_hat"] = test[features].to_numpy(float) @ w + level
         return out
 
     schema = f"{_key_schema(scaled, keys)}, date date, y double, y_hat double"
     rows = scaled.select(*keys, "date", "y", "is_test", *features)
-    fitted = rows.groupBy(*keys).applyInPandas(fit, schema)
+    fitted = spread(rows, *keys).groupBy(*keys).applyInPandas(fit, schema)
     return fitted.withColumn("y_hat", F.nanvl("y_hat", F.lit(None).cast("double")))
 
 
+def solve_trials(scaled: DataFrame, features: Sequence[str], model: str, keys: Sequence[str],
+                 trials: Sequence[Mapping[str, float]]) -> DataFrame:
+    """``(keys, trial, rmse)``: test error of every setting on every prepared group.
+
+    The settings travel with the task, so a group's rows are shuffled once for all of them.
+    """
+    solver = SOLVERS[model]
+    keys, features, n_trials = list(keys), list(features), len(trials)
+    settings = {name: np.array([float(t[name]) for t in trials]) for name in trials[0]}
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        train, test = pdf[~pdf["is_test"]], pdf[pdf["is_test"]]
+        first = [pdf[k].iloc[0] for k in keys]
+        if train.empty or test.empty:
+            return pd.DataFrame(columns=[*keys, "trial", "rmse"])
+        x, y = train[features].to_numpy(float), train["y"].to_numpy(float)
+        ahead, actual = test[features].to_numpy(float), test["y"].to_numpy(float)
+        level = y.mean()
+        error = solver(x, y - level, **settings) @ ahead.T + level - actual
+        out = pd.DataFrame({"trial": np.arange(n_trials), "rmse": np.sqrt((error * error).mean(axis=1))})
+        return out.assign(**dict(zip(keys, first, strict=True)))[[*keys, "trial", "rmse"]]
+
+    schema = f"{_key_schema(scaled, keys)}, trial int, rmse double"
+    rows = spread(scaled.select(*keys, "y", "is_test", *features), *keys)
+    return rows.groupBy(*keys).applyInPandas(fit, schema)
+
+
 def fit_predict(df: DataFrame, features: Sequence[str], model: str = "ridge", keys: Sequence[str] = SERIES,
                 **fixed: float) -> DataFrame:
     """``(keys, date, y, y_hat)`` for the test rows of every group; ``df`` needs ``is_test``."""
@@ -110,11 +137,12 @@ def fit_coefficients(df: DataFrame, features: Sequence[str], model: str = "ridge
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         train = pdf[~pdf["is_test"]]
         level = train["y"].mean()
-        w = solver(train[kept].to_numpy(float), train["y"].to_numpy(float) - level, **fixed)
+        w = solver(train[kept].to_numpy(float), train["y"].to_numpy(float) - level, **fixed)[0]
         return pd.DataFrame([[pdf["series_id"].iloc[0], level, *w]], columns=["series_id", "level", *kept])
 
     schema = "series_id string, level double, " + ", ".join(f"{c} double" for c in kept)
-    fitted = scaled.select("series_id", "date", "y", "is_test", *kept).groupBy("series_id").applyInPandas(fit, schema)
+    rows = spread(scaled.select("series_id", "date", "y", "is_test", *kept), "series_id")
+    fitted = rows.groupBy("series_id").applyInPandas(fit, schema)
     joined = fitted.join(stats, "series_id")
     raw = {c: F.col(c) / F.col(f"_std_{c}") for c in kept}
     intercept = F.col("level")

@@ -14,6 +14,7 @@ from quartermill.session import materialise
 # Popularity sums run in decimals: the order of addition must not decide between equal items.
 EXACT_WEIGHT = "decimal(20,9)"
 SVD_WEIGHT = 0.6
+MAX_ALS_IDS = 2 ** 31 - 1
 
 
 def popular_items(train: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
@@ -155,6 +156,8 @@ def als_factors(train: DataFrame, users: DataFrame, rank: int = 64, iterations:
     """
     u = materialise(global_rank(train.select("user_id").distinct(), [F.asc("user_id")], "_u"), "als_users")
     i = materialise(global_rank(train.select("item_id").distinct(), [F.asc("item_id")], "_i"), "als_items")
+    if max(u.count(), i.count()) > MAX_ALS_IDS:
+        raise ValueError("implicit ALS numbers users and items with 32-bit integers")
     weighted = bm25_weights(train, users)
     ratings = weighted.join(u, "user_id").join(i, "item_id").select(
         F.col("_u").cast("int").alias("user"), F.col("_i").cast("int").alias("item"),

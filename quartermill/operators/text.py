@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quartermill.functions.skew import fill_cores
 from quartermill.functions.stopwords import ENGLISH
 
 # Fixed value: a token is a run of two or more letters, digits or underscores.
@@ -23,9 +24,11 @@ def tokens(text: Column, stop_words: Sequence[str] = ENGLISH) -> Column:
 
 def _runs(words: Column, n: int) -> Column:
     """Every run of n neighbouring tokens, joined by a blank."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    runs, count = words, F.greatest(F.size(words) - (n - 1), F.lit(0))
+    for k in range(2, n + 1):
+        runs = F.zip_with(F.slice(runs, F.lit(1), count), F.slice(words, F.lit(k), count),
+                          lambda run, word: F.concat(run, F.lit(" "), word))
+    return runs
 
 
 def ngrams(words: Column, longest: int = 2) -> Column:
@@ -35,10 +38,15 @@ def ngrams(words: Column, longest: int = 2) -> Column:
 
 def term_counts(docs: DataFrame, doc: str, text: str, longest: int = 2,
                 stop_words: Sequence[str] = ENGLISH) -> DataFrame:
-    """``(doc, term, tf)``; tokens are materialised as a column so they are extracted once."""
-    words = docs.select(doc, tokens(F.col(text), stop_words).alias("_words"))
+    """``(doc, term, tf)`` of whole texts.
+
+    The explicit NULL filter keeps the plan of this table the same in every branch that uses it, so
+    Spark tokenises once and reuses the shuffle.
+    """
+    words = fill_cores(docs.select(doc, text)).select(doc, tokens(F.col(text), stop_words).alias("_words"))
     return (
         words.select(doc, F.explode(ngrams(F.col("_words"), longest)).alias("term"))
+        .filter(F.col("term").isNotNull())
         .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
     )
 

@@ -14,11 +14,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quartermill.functions.skew import spread
+
 # Block sizes of the scoring job: a task holds one user block, one item block and their seen pairs.
 USER_BLOCK = 2048
 ITEM_BLOCK = 8192
 CHUNK_ROWS = 256
 SCORE_DIGITS = 9
+MAX_TASKS = 100_000
 
 
 def stack(column: pd.Series) -> np.ndarray:
@@ -90,7 +93,8 @@ def _blocked(users: DataFrame, items: DataFrame, seen: DataFrame | None):
             F.lit(None).cast("array<double>").alias("vec"))
         left = left.unionByName(pairs)
     right = items.select(every_user_block.alias("ub"), ib.alias("ib"), "item_id", "vec")
-    return left.groupBy("ub", "ib"), right.groupBy("ub", "ib")
+    tasks = min(user_blocks * item_blocks, MAX_TASKS)
+    return tuple(spread(side, "ub", "ib", partitions=tasks).groupBy("ub", "ib") for side in (left, right))
 
 
 def _scores(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, pd.Index, np.ndarray]]:

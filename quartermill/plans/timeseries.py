@@ -388,41 +388,41 @@ def sdmx_messages(spark: SparkSession, sf: str) -> DataFrame:
     series = placed.groupBy("area", "times", "segments", "seg").agg(
         F.map_from_entries(F.collect_list(F.struct("idx", F.array("y")))).alias("observations"))
     message = series.groupBy("area", "times", "segments").agg(F.map_from_entries(F.collect_list(
-        F.struct(F.concat(F.lit("0:"), F.col("seg"), F.lit(":0")), F.struct("observations")))).alias("series"))
+        F.struct(F.concat(F.col("seg"), F.lit(":0:0")), F.struct("observations")))).alias("series"))
 
     def values(column):
         return F.transform(column, lambda v: F.struct(v.alias("id")))
 
     dims = F.struct(
         F.array(F.struct(F.lit("TIME").alias("id"), values(F.col("times")).alias("values"))).alias("observation"),
-        F.array(F.struct(F.lit("AREA").alias("id"), values(F.array(F.col("area").cast("string"))).alias("values")),
-                F.struct(F.lit("SEGMENT").alias("id"), values(F.col("segments")).alias("values")),
-                F.struct(F.lit("UNIT").alias("id"), values(F.array(F.lit("NZD"))).alias("values"))).alias("series"))
+        F.array(F.struct(F.lit("SEGMENT").alias("id"), values(F.col("segments")).alias("values")),
+                F.struct(F.lit("UNIT").alias("id"), values(F.array(F.lit("NZD"))).alias("values")),
+                F.struct(F.lit("AREA").alias("id"), values(F.array(F.col("area").cast("string"))).alias("values"))
+                ).alias("series"))
     body = F.struct(F.struct(F.array(F.struct(dims.alias("dimensions"))).alias("structures"),
                              F.array(F.struct("series")).alias("dataSets")).alias("data"))
     return message.select("area", F.to_json(body).alias("body"))
 
 
-cte_wide = "CAST(split_part(series_id, '|', 1) AS INTEGER) AS area"
+_AREA = "CAST(split_part(series_id, '|', 1) AS INTEGER) AS area"
 
 
 @query("src_sdmx_json", with_("panel_wide", f"""
-SELECT {cte_wide}, '0:' || (dense_rank() OVER (PARTITION BY split_part(series_id, '|', 1)
-       ORDER BY split_part(series_id, '|', 2)) - 1) || ':0' AS series_key, date, y FROM panel_wide"""))
+SELECT {_AREA}, (dense_rank() OVER (PARTITION BY split_part(series_id, '|', 1)
+       ORDER BY split_part(series_id, '|', 2)) - 1) || ':0:0' AS series_key, date, y FROM panel_wide"""))
 def src_sdmx_json(spark, sf):
     return sdmx.observations(sdmx_messages(spark, sf), "y", ["area"])
 
 
 @query("src_sdmx_keyed", with_("panel_wide", f"""
-SELECT {cte_wide}, date, y FROM panel_wide WHERE split_part(series_id, '|', 2) = 'MACHINERY'
-  AND split_part(series_id, '|', 1) = '7'"""))
+SELECT {_AREA}, date, y FROM panel_wide WHERE split_part(series_id, '|', 2) = 'MACHINERY'"""))
 def src_sdmx_keyed(spark, sf):
-    messages = sdmx_messages(spark, sf).filter("area = 7")
-    return sdmx.keyed_series(messages, ["7", "MACHINERY"], "y", ["area"])
+    """The series named by its first two dimensions, out of every message."""
+    return sdmx.keyed_series(sdmx_messages(spark, sf), ["MACHINERY", "NZD"], "y", ["area"])
 
 
 @query("src_sdmx_period_totals", with_("panel_wide", f"""
-SELECT {cte_wide}, date, round(sum(y), 2) AS total FROM panel_wide GROUP BY 1, 2"""))
+SELECT {_AREA}, date, round(sum(y), 2) AS total FROM panel_wide GROUP BY 1, 2"""))
 def src_sdmx_period_totals(spark, sf):
     return rounded(sdmx.period_totals(sdmx_messages(spark, sf), "total", ["area"]), total=2)
 
