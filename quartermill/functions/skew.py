@@ -38,8 +38,8 @@ def hot_keys(df: DataFrame, key: str, weight: Column | None = None, share: float
     """Keys holding at least ``share`` of the rows (or of ``weight``): at most ``1/share`` rows."""
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = df.groupBy(key).agg(size.alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.join(F.broadcast(total)).filter(F.col("_n") >= share * F.col("_total")).select(key)
+    total = counts.agg(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") >= share * total).select(key)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",

@@ -34,10 +34,10 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """``(bin, n)`` over equal-width bins; the top edge belongs to the last bin."""
-    bounds = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    place = F.floor(F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")) * bins)
+    bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    place = F.floor(F.try_divide(F.col(value) - bounds["lo"], bounds["hi"] - bounds["lo"]) * bins)
     return (
-        df.select(value).dropna().join(F.broadcast(bounds))
+        df.select(value).dropna()
         .groupBy((F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)) + 1).cast("bigint").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

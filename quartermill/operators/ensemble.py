@@ -108,13 +108,12 @@ def exog_ablation(df: DataFrame, subsets: Mapping[str, Sequence[str]], model: st
         scores = evaluate_forecast(predict(df, features, model, settings=settings)).agg(
             *[F.avg(m).alias(m) for m in ("mape", "rmse", "mae")])
         if with_cv:
-            cv = cv_rmse(fold_predictions(folds, features, model, n_folds, settings)).agg(F.avg("cv_rmse").alias("cv_rmse"))
-            scores = scores.join(F.broadcast(cv))
+            cv = cv_rmse(fold_predictions(folds, features, model, n_folds, settings)).agg(F.avg("cv_rmse"))
+            scores = scores.withColumn("cv_rmse", cv.scalar())
         one = scores.select(F.lit(position).alias("position"), F.lit(label).alias("subset"), "*")
         rows = one if rows is None else rows.unionByName(one)
     rows = materialise(rows, "ablation")
-    base = F.broadcast(rows.filter("position = 0").select(F.col("mape").alias("_base")))
-    delta = F.col("mape") - F.col("_base")
-    verdict = F.when(F.col("position") == 0, "baseline").when(delta < 0, "exogenous features are noise").otherwise(
-        "exogenous features help or do not matter")
-    return rows.join(base).withColumn("delta_mape", delta).withColumn("verdict", verdict).drop("_base", "position")
+    base = rows.filter("position = 0").select("mape").scalar()
+    verdict = F.when(F.col("position") == 0, "baseline").when(
+        F.col("delta_mape") < 0, "exogenous features are noise").otherwise("exogenous features help or do not matter")
+    return rows.withColumn("delta_mape", F.col("mape") - base).withColumn("verdict", verdict).drop("position")

@@ -99,26 +99,26 @@ def loo_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def density_stats(df: DataFrame) -> DataFrame:
     """One row: users, items, cells, density in percent, median and 90th percentile of both sides."""
-    def side(key: str, other: str) -> DataFrame:
+    def side(key: str, own: str, other: str):
         per = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        return per.agg(
-            F.count(F.lit(1)).alias(f"n_{key[:4]}s"), F.sum("_n").alias(f"_nnz_{other}"),
-            F.percentile("_n", F.lit(0.5)).alias(f"median_{other}s_per_{key[:4]}"),
-            F.percentile("_n", F.lit(0.9)).alias(f"p90_{other}s_per_{key[:4]}"),
-        )
+        return per.agg(F.struct(
+            F.count(F.lit(1)).alias(f"n_{own}s"), F.sum("_n").alias("n_cells"),
+            F.percentile("_n", F.lit(0.5)).alias(f"median_{other}s_per_{own}"),
+            F.percentile("_n", F.lit(0.9)).alias(f"p90_{other}s_per_{own}"),
+        ).alias(f"_{own}"))
 
-    users, items = side("user_id", "item"), side("item_id", "user")
-    both = users.join(F.broadcast(items))
-    return both.withColumn("n_cells", F.col("_nnz_item")).drop("_nnz_item", "_nnz_user").withColumn(
-        "density_pct", F.col("n_cells") * 100.0 / (F.col("n_users") * F.col("n_items")))
+    items = side("item_id", "item", "user").scalar()
+    both = side("user_id", "user", "item").withColumn("_item", items).select(
+        "_user.*", "_item.n_items", "_item.median_users_per_item", "_item.p90_users_per_item")
+    return both.withColumn("density_pct", F.col("n_cells") * 100.0 / (F.col("n_users") * F.col("n_items")))
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Lines, users and items; each side is counted by its own aggregate instead of expanding rows."""
+    users = df.select("user_id").distinct().agg(F.count(F.lit(1))).scalar()
+    items = df.select("item_id").distinct().agg(F.count(F.lit(1))).scalar()
     lines = df.agg(F.sum("n_rows").alias("n_rows"))
-    users = df.select("user_id").distinct().agg(F.count(F.lit(1)).alias("n_users"))
-    items = df.select("item_id").distinct().agg(F.count(F.lit(1)).alias("n_items"))
-    return lines.join(F.broadcast(users)).join(F.broadcast(items))
+    return lines.withColumns({"n_users": users, "n_items": items})
 
 
 def bm25_weights(train: DataFrame, users: DataFrame, k1: float = 100.0, b: float = 0.8) -> DataFrame:
@@ -127,12 +127,11 @@ def bm25_weights(train: DataFrame, users: DataFrame, k1: float = 100.0, b: float
     The mean length runs over all ``users``, including those left without training items.
     """
     lengths = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("_len"))
-    cells_total = lengths.agg(F.sum("_len").alias("_total"))
-    n_users = users.select("user_id").distinct().agg(F.count(F.lit(1)).alias("_users"))
-    mean = cells_total.join(F.broadcast(n_users)).select((F.col("_total") / F.col("_users")).alias("_mean"))
-    damp = k1 * (1 - b + b * F.col("_len") / F.col("_mean"))
-    joined = train.join(lengths, "user_id").join(F.broadcast(mean))
-    return joined.withColumn("bm25", F.col("weight") * (k1 + 1) / (F.col("weight") + damp)).drop("_len", "_mean")
+    n_users = users.select("user_id").distinct().agg(F.count(F.lit(1))).scalar()
+    mean = lengths.agg(F.sum("_len")).scalar() / n_users
+    damp = k1 * (1 - b + b * F.col("_len") / mean)
+    saturated = F.col("weight") * (k1 + 1) / (F.col("weight") + damp)
+    return train.join(lengths, "user_id").withColumn("bm25", saturated).drop("_len")
 
 
 def leakage_audit(full: DataFrame, train: DataFrame, test: DataFrame, recs: DataFrame) -> DataFrame:

@@ -29,19 +29,19 @@ def evaluate_all(recs: DataFrame, test: DataFrame, k_values: Sequence[int] = K_V
     """
     truth = test.select("user_id", "item_id", F.lit(True).alias("_hit"))
     marked = recs.join(truth, ["user_id", "item_id"], "left")
-    n_users = F.broadcast(test.agg(F.count(F.lit(1)).alias("n_users")))
+    n_users = test.agg(F.count(F.lit(1))).scalar()
     columns = {name: gain for k in k_values for name, gain in gains(k).items()}
     sums = marked.groupBy("model").agg(*[F.sum(gain).alias(name) for name, gain in columns.items()])
     shares = [(F.coalesce(F.col(name), F.lit(0.0)) / F.col("n_users")).alias(name) for name in columns]
-    return sums.join(n_users).select("model", *shares, "n_users")
+    return sums.withColumn("n_users", n_users).select("model", *shares, "n_users")
 
 
 def beat_popularity(scores: DataFrame, baseline: str = "Popularity", metric: str = "recall_10") -> DataFrame:
     """``(model, delta, verdict)``: beats, ties (within 0.005) or loses against the baseline."""
-    base = scores.filter(F.col("model") == baseline).select(F.col(metric).alias("_base"))
-    delta = F.col(metric) - F.col("_base")
-    verdict = F.when(delta > TIE_MARGIN, "beats").when(F.abs(delta) <= TIE_MARGIN, "ties").otherwise("loses")
-    return scores.join(F.broadcast(base)).select("model", delta.alias("delta"), verdict.alias("verdict"))
+    base = scores.filter(F.col("model") == baseline).select(metric).scalar()
+    delta = F.col(metric) - base
+    verdict = F.when(F.col("delta") > TIE_MARGIN, "beats").when(F.abs("delta") <= TIE_MARGIN, "ties").otherwise("loses")
+    return scores.withColumn("delta", delta).withColumn("verdict", verdict).select("model", "delta", "verdict")
 
 
 def metric_name(label: Column) -> Column:

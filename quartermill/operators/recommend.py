@@ -52,7 +52,7 @@ def rec_popularity(train: DataFrame, users: DataFrame, k: int, order: DataFrame
     """
     order = materialise(popular_order(train), "popular") if order is None else order
     users = users.select("user_id").distinct()
-    total = F.broadcast(order.agg(F.count(F.lit(1)).alias("_total")))
+    total = order.agg(F.count(F.lit(1))).scalar()
     nth = F.row_number().over(Window.partitionBy("user_id").orderBy("position"))
     passed = (
         train.select("user_id", "item_id").join(users, "user_id", "left_semi")
@@ -61,7 +61,8 @@ def rec_popularity(train: DataFrame, users: DataFrame, k: int, order: DataFrame
         .groupBy("user_id").agg(F.collect_list("position").alias("_passed"))
     )
     none = F.array().cast("array<bigint>")
-    wanted = users.join(passed, "user_id", "left").withColumn("_passed", F.coalesce("_passed", none)).join(total)
+    wanted = users.join(passed, "user_id", "left").withColumn("_passed", F.coalesce("_passed", none)).withColumn(
+        "_total", total)
     last = F.least(F.col("_total"), F.size("_passed") + F.lit(k).cast("bigint"))
     unseen = F.array_except(F.sequence(F.lit(1).cast("bigint"), last), F.col("_passed"))
     places = wanted.filter("_total > 0").select("user_id", F.posexplode(unseen).alias("_i", "position"))

@@ -42,12 +42,14 @@ def inverse_zscore(df: DataFrame, stats: DataFrame, columns: Mapping[str, str],
 
 def minmax(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Scale to [0, 1] within each group; a constant column becomes 0."""
-    bounds = df.groupBy(*keys).agg(
-        *[f(c).alias(f"_{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
-    joined = df.join(bounds, list(keys)) if keys else df.join(F.broadcast(bounds))
+    limits = F.struct(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
+    if keys:
+        joined = df.join(df.groupBy(*keys).agg(limits.alias("_limits")), list(keys))
+    else:
+        joined = df.withColumn("_limits", df.agg(limits).scalar())
     scaled = {}
     for c in columns:
-        low, width = F.col(f"_min_{c}"), F.col(f"_max_{c}") - F.col(f"_min_{c}")
+        low, width = F.col(f"_limits.min_{c}"), F.col(f"_limits.max_{c}") - F.col(f"_limits.min_{c}")
         scaled[c] = F.when(F.col(c).isNotNull(), F.coalesce(F.try_divide(F.col(c) - low, width), F.lit(0.0)))
     return joined.withColumns(scaled).select(*df.columns)
 

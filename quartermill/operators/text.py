@@ -72,8 +72,8 @@ def tfidf(docs: DataFrame, doc: str, text: str, longest: int = 2, max_features:
     """
     counts = term_counts(docs, doc, text, longest, stop_words)
     vocab = vocabulary(counts, max_features, min_docs)
-    n_docs = F.broadcast(docs.agg(F.count(F.lit(1)).alias("_n")))
-    idf = F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1
-    raw = counts.join(F.broadcast(vocab), "term").join(n_docs).withColumn("_w", F.col("tf") * idf)
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
+    raw = counts.join(F.broadcast(vocab), "term").withColumn("_w", F.col("tf") * idf)
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))
     return raw.withColumn("_length", length).select(doc, "term", (F.col("_w") / F.col("_length")).alias("weight"))

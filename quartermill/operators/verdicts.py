@@ -22,8 +22,10 @@ def leakage_verdict(sweep: DataFrame, baseline: DataFrame, keys: Sequence[str] =
     a warning.
     """
     best = sweep.groupBy(*keys).agg(F.min("mape").alias("best_mape"))
-    base = baseline.select(*keys, F.col("mape").alias("baseline_mape"))
-    both = best.join(base, list(keys)) if keys else best.join(F.broadcast(base))
+    if keys:
+        both = best.join(baseline.select(*keys, F.col("mape").alias("baseline_mape")), list(keys))
+    else:
+        both = best.withColumn("baseline_mape", baseline.select("mape").scalar())
     leak = F.when(F.abs(F.col("best_mape") - leaked) < LEAK_MARGIN, "warning").otherwise("confirmed")
     drift = F.when(F.abs(F.col("baseline_mape") - expected) > DRIFT_MARGIN, "warning").otherwise("ok")
     return both.withColumns({"leak_check": leak, "drift_check": drift})

@@ -48,8 +48,8 @@ def svd_energy(spark, sf):
     """The squared singular values add up to the squared entries of the matrix."""
     df = standard(spark, sf)
     sigma, _ = spectral.svd_spectrum(df, "vec", DIM)
-    energy = spectral.spectrum_table(spark, sigma).agg(F.sum("energy").alias("energy"))
-    return rounded(df.agg(F.count(F.lit(1)).alias("n_rows")).join(energy), energy=4)
+    energy = spectral.spectrum_table(spark, sigma).agg(F.sum("energy")).scalar()
+    return rounded(df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("energy", energy), energy=4)
 
 
 @query("svd_reconstruct", with_("z64", "SELECT vec_id, CAST(j AS INTEGER) AS j, round(z, 6) + 0.0 AS z FROM z64"))
@@ -120,9 +120,8 @@ def components_needed(spark, sf):
     """A threshold the spectrum never reaches gives NULL."""
     cumulative = _axis_spectrum(spark, sf)
     out = spectral.components_needed(cumulative, 0.9).withColumnRenamed("k", "k90")
-    for name, threshold in (("k95", 0.95), ("k101", 1.01)):
-        out = out.join(spectral.components_needed(cumulative, threshold).withColumnRenamed("k", name))
-    return out
+    return out.withColumns({name: spectral.components_needed(cumulative, threshold).scalar()
+                            for name, threshold in (("k95", 0.95), ("k101", 1.01))})
 
 
 @query("dominant_feature", with_("cells64", """
@@ -177,8 +176,8 @@ def svd_rank_ablation(spark, sf):
     size = len(names)
     ranks = sorted({k for k in (1, 2, 3, 5, 10) if k < size} | {size})
     scores = materialise(rank_errors(rows, target, size, ranks), "rank_errors")
-    full = scores.filter(F.col("k") == size).select(F.col("mape").alias("_full"))
-    return scores.join(F.broadcast(full)).withColumn("delta_mape", F.col("mape") - F.col("_full")).drop("_full")
+    full = scores.filter(F.col("k") == size).select("mape").scalar()
+    return scores.withColumn("delta_mape", F.col("mape") - full)
 
 
 @query("pca_sweep")

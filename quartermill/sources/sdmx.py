@@ -33,13 +33,11 @@ def _parsed(messages: DataFrame, keys: Sequence[str]) -> DataFrame:
     parsed = messages.select(*keys, F.from_json("body", MESSAGE_SCHEMA).alias("m"))
     structure = F.get(F.col("m.data.structures"), F.lit(0))
     sets = F.col("m.data.dataSets")
+    valid = structure.isNotNull() & sets.isNotNull()
     broken = F.raise_error(F.lit("unexpected message structure: no data, structures or dataSets"))
-    return parsed.select(
-        *keys,
-        F.when(structure.isNotNull() & sets.isNotNull(), structure)
-        .otherwise(broken.cast(parsed.select(structure.alias("s")).schema["s"].dataType)).alias("structure"),
-        sets.alias("sets"),
-    )
+    # the check sits on the exploded column itself, so no filter can drop a broken message before it
+    checked = F.when(valid, sets).otherwise(broken.cast(parsed.select(sets.alias("s")).schema["s"].dataType))
+    return parsed.select(*keys, structure.alias("structure"), checked.alias("sets"))
 
 
 def _labels(values: Column) -> Column:
