@@ -150,15 +150,15 @@ def seasonal_decompose(df: DataFrame, period: int = 12) -> DataFrame:
     trended = df.withColumn("trend", (inner + ends * 0.5) / period)
     phase = Window.partitionBy("series_id", F.month("date"))
     detrended = trended.withColumn("_month_mean", F.avg(F.col("y") - F.col("trend")).over(phase))
-    # every calendar month weighs the same in the grand mean, however often it occurs
-    means = detrended.groupBy("series_id", F.month("date").alias("_m")).agg(
-        F.first("_month_mean").alias("_v")
-    ).groupBy("series_id").agg(F.avg("_v").alias("_grand"))
+    # every calendar month weighs the same in the grand mean, however many rows it has
+    weight = F.when(F.col("_month_mean").isNotNull(), 1 / F.count(F.lit(1)).over(phase))
+    whole = Window.partitionBy("series_id")
+    grand = F.sum(F.col("_month_mean") * F.col("_weight")).over(whole) / F.sum("_weight").over(whole)
     return (
-        detrended.join(means, "series_id")
-        .withColumn("seasonal", F.col("_month_mean") - F.col("_grand"))
+        detrended.withColumn("_weight", weight)
+        .withColumn("seasonal", F.col("_month_mean") - grand)
         .withColumn("resid", F.col("y") - F.col("trend") - F.col("seasonal"))
-        .drop("_month_mean", "_grand")
+        .drop("_month_mean", "_weight")
     )
 
 

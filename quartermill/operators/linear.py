@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import spread
-from quartermill.operators.scaling import SERIES, apply_zscore, impute_median, zscore_stats
+from quartermill.operators.scaling import SERIES, impute_median, zscore, zscore_stats
 from quartermill.session import materialise
 
 RIDGE_ALPHA = 1.0
@@ -57,12 +57,16 @@ SOLVERS = {"ridge": solve_ridge, "elasticnet": solve_elasticnet}
 
 
 def prepare(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Median-impute and z-score with training statistics: ``(scaled, stats, kept features)``."""
+    """Median-impute and z-score with training statistics: ``(scaled, stats, kept features)``.
+
+    A small aggregate over ``df`` runs at once to find empty features, so pass a stored table when
+    its rows are expensive.
+    """
     train = ~F.col("is_test")
     filled = impute_median(df, features, train, keys)
     kept = [c for c in features if c in filled.columns]
     stats = zscore_stats(filled, kept, train, keys)
-    scaled = apply_zscore(filled, stats, kept, keys)
+    scaled = zscore(filled, kept, train, keys)
     # a column one series never knows in training has no statistics there and adds nothing
     return scaled.fillna(0.0, subset=kept), stats.fillna({f"_std_{c}": 1.0 for c in kept}).fillna(
         {f"_mean_{c}": 0.0 for c in kept}), kept

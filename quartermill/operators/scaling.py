@@ -1,7 +1,7 @@
 """Scalers and imputers fitted on the training rows of each group and applied to all rows.
 
-Statistics are grouped aggregates joined back by the group key. They are one row per group, so the
-join moves little, and it reuses the partitioning the aggregate already made.
+A group is one series (or one series and fold), bounded by the calendar, so statistics are window
+functions over the group: imputing and scaling share one shuffle and read their input once.
 """
 
 from __future__ import annotations
@@ -30,7 +30,14 @@ def apply_zscore(df: DataFrame, stats: DataFrame, columns: Sequence[str], keys:
 
 
 def zscore(df: DataFrame, columns: Sequence[str], train: Column, keys: Sequence[str] = SERIES) -> DataFrame:
-    return apply_zscore(df, zscore_stats(df, columns, train, keys), columns, keys)
+    """Training z-scores of every row; the statistics themselves come from :func:`zscore_stats`."""
+    group = Window.partitionBy(*keys)
+    scaled = {}
+    for c in columns:
+        value = F.when(train, F.col(c))
+        spread = F.stddev_pop(value).over(group)
+        scaled[c] = (F.col(c) - F.avg(value).over(group)) / F.when(spread == 0, F.lit(1.0)).otherwise(spread)
+    return df.withColumns(scaled)
 
 
 def inverse_zscore(df: DataFrame, stats: DataFrame, columns: Mapping[str, str],
@@ -62,7 +69,6 @@ def impute_median(df: DataFrame, columns: Sequence[str], train: Column, keys: Se
     """
     known = df.filter(train).agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     kept = [c for c in columns if known[c]]
-    medians = df.groupBy(*keys).agg(*[F.median(F.when(train, F.col(c))).alias(f"_median_{c}") for c in kept])
-    filled = {c: F.coalesce(F.col(c), F.col(f"_median_{c}")) for c in kept}
-    out = df.join(medians, list(keys)).withColumns(filled)
+    group = Window.partitionBy(*keys)
+    out = df.withColumns({c: F.coalesce(F.col(c), F.median(F.when(train, F.col(c))).over(group)) for c in kept})
     return out.select(*[c for c in df.columns if c not in columns or c in kept])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.operators.linear import prepare
-from quartermill.operators.scaling import SERIES, apply_zscore, inverse_zscore, zscore_stats
+from quartermill.operators.scaling import SERIES, inverse_zscore, zscore, zscore_stats
 from quartermill.session import materialise
 
 # Settings of the untuned model.
@@ -22,7 +22,7 @@ def _assembled(df: DataFrame, features: Sequence[str], keys: Sequence[str]):
     """Scaled features and target per series, so that one forest serves series of any level."""
     scaled, _, kept = prepare(df, features, keys)
     target = zscore_stats(df, ["y"], ~F.col("is_test"), keys)
-    labelled = apply_zscore(scaled.withColumn("actual", F.col("y")), target, ["y"], keys)
+    labelled = zscore(scaled.withColumn("actual", F.col("y")), ["y"], ~F.col("is_test"), keys)
     return VectorAssembler(inputCols=kept, outputCol="x").transform(labelled), target, kept
 
 

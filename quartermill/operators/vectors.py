@@ -98,7 +98,7 @@ def _blocked(users: DataFrame, items: DataFrame, seen: DataFrame | None):
 
 
 def _scores(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, pd.Index, np.ndarray]]:
-    """Chunks of (users, items by descending id, scores); seen pairs score minus infinity."""
+    """Chunks of (users, items by descending id, exact scores); seen pairs score minus infinity."""
     is_user = left["item_id"].isna()
     users, seen = left[is_user], left[~is_user]
     if users.empty or right.empty:
@@ -114,7 +114,7 @@ def _scores(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarra
     rows, cols = rows[valid].astype(int), cols[valid]
     vecs = stack(users["vec"])
     for start in range(0, len(ids), CHUNK_ROWS):
-        scores = np.round(vecs[start:start + CHUNK_ROWS] @ factors, SCORE_DIGITS)
+        scores = vecs[start:start + CHUNK_ROWS] @ factors
         inside = (rows >= start) & (rows < start + CHUNK_ROWS)
         scores[rows[inside] - start, cols[inside]] = -np.inf
         yield ids[start:start + CHUNK_ROWS], items, scores
@@ -136,7 +136,8 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
 
     def best(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for ids, names, scores in _scores(lhs, rhs):
+        for ids, names, exact in _scores(lhs, rhs):
+            scores = np.round(exact, SCORE_DIGITS)
             top = min(k, scores.shape[1])
             edge = np.partition(scores, scores.shape[1] - top, axis=1)[:, scores.shape[1] - top]
             r, c = np.nonzero((scores >= edge[:, None]) & np.isfinite(scores))

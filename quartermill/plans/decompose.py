@@ -154,7 +154,7 @@ def pooled_matrix(spark: SparkSession, sf: str, subset: str) -> tuple[DataFrame,
     df = model_rows(spark, sf)
     scaled, _, names = linear.prepare(df, features.feature_columns(df, subset))
     target = scaling.zscore_stats(df, ["y"], ~F.col("is_test"))
-    both = scaling.apply_zscore(scaled.withColumn("actual", F.col("y")), target, ["y"])
+    both = scaling.zscore(scaled.withColumn("actual", F.col("y")), ["y"], ~F.col("is_test"))
     rows = both.select("series_id", "date", "is_test", "actual", "y", F.array(*names).alias("vec"))
     return materialise(rows, "pooled"), target, names
 

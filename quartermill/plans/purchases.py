@@ -63,12 +63,12 @@ cte("profile", """
   SELECT user_id, word, v / sqrt(sum(v * v) OVER (PARTITION BY user_id)) AS v FROM (
     SELECT user_id, word, SUM(weight * v) AS v FROM train JOIN words USING (item_id) GROUP BY 1, 2)""", "train", "words")
 cte("content_scores", """
-  SELECT t.user_id, i.item_id, round(coalesce(s.score, 0.0), 9) AS score FROM test t CROSS JOIN items i
+  SELECT t.user_id, i.item_id, coalesce(s.score, 0.0) AS score FROM test t CROSS JOIN items i
   LEFT JOIN (SELECT user_id, item_id, SUM(p.v * w.v) AS score FROM profile p JOIN words w USING (word) GROUP BY 1, 2) s
     ON s.user_id = t.user_id AND s.item_id = i.item_id""", "test", "items", "profile", "words")
 cte("rec_con", """
   SELECT user_id, item_id, score, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id DESC)
-         AS INTEGER) AS rank FROM content_scores ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 50""",
+         AS INTEGER) AS rank FROM (SELECT user_id, item_id, round(score, 9) AS score FROM content_scores) ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 50""",
     "content_scores", "train")
 cte("brand_scores", """
   SELECT t.user_id, i.item_id, coalesce(b.v, 0.0) AS score
@@ -373,11 +373,11 @@ def popular_order(spark, sf):
 
 
 def _top(sql_name: str) -> str:
-    return with_(sql_name, f"SELECT user_id, rank, item_id, round(score, 6) AS score FROM {sql_name} WHERE rank <= {K}")
+    return with_(sql_name, f"SELECT user_id, rank, item_id, score FROM {sql_name} WHERE rank <= {K}")
 
 
 def _listed(recs: DataFrame) -> DataFrame:
-    return rounded(recs.select("user_id", F.col("rank").cast("int").alias("rank"), "item_id", "score"), score=6)
+    return recs.select("user_id", F.col("rank").cast("int").alias("rank"), "item_id", "score")
 
 
 @query("rec_popularity", _top("rec_pop"))
@@ -399,7 +399,7 @@ def rec_hybrid(spark, sf):
 , top AS (SELECT user_id, item_id, round(score, 9) AS score FROM brand_scores
           QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id DESC) <= 10)
 SELECT user_id, item_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id DESC) AS INTEGER) AS rank,
-       round(score, 6) AS score FROM top"""))
+       score FROM top"""))
 def score_all_pairs(spark, sf):
     """Blocked dot products with the k best kept per block, seen items included."""
     _, test = train_test(spark, sf)
@@ -430,8 +430,8 @@ def topk_items(spark, sf):
 , wanted AS (SELECT DISTINCT c_custkey AS user_id FROM customer JOIN nation ON c_nationkey = n_nationkey
              JOIN region ON n_regionkey = r_regionkey WHERE r_name = '{COUNTRY}'),
 top AS (SELECT item_id, popularity, row_number() OVER (ORDER BY popularity DESC, item_id DESC) AS rank FROM popular)
-SELECT user_id, rank, item_id, round(score, 6) AS score FROM rec_con WHERE rank <= {K}
-UNION ALL SELECT user_id, CAST(rank AS INTEGER), item_id, round(popularity, 6)
+SELECT user_id, rank, item_id, score FROM rec_con WHERE rank <= {K}
+UNION ALL SELECT user_id, CAST(rank AS INTEGER), item_id, popularity
 FROM (SELECT * FROM wanted ANTI JOIN train USING (user_id)) CROSS JOIN top WHERE rank <= {K}"""))
 def cold_start_fallback(spark, sf):
     """Customers of the country without training rows get the popularity list."""
