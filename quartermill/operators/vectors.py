@@ -79,7 +79,11 @@ def normalise(df: DataFrame, vec: str = "vec") -> DataFrame:
 def _blocked(users: DataFrame, items: DataFrame, seen: DataFrame | None):
     """Both sides keyed by (user block, item block); block numbers derive from the ids alone."""
     n_users, n_items = users.count(), items.count()
-    user_blocks, item_blocks = max(1, math.ceil(n_users / USER_BLOCK)), max(1, math.ceil(n_items / ITEM_BLOCK))
+    item_blocks = max(1, math.ceil(n_items / ITEM_BLOCK))
+    # blocks down to a quarter of the size as long as cores would stay idle; items are copied per block
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    finer = min(math.ceil(cores / item_blocks), math.ceil(n_users / max(USER_BLOCK // 4, 1)))
+    user_blocks = max(1, math.ceil(n_users / USER_BLOCK), finer)
     ub = F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int")
     ib = F.pmod(F.xxhash64("item_id"), F.lit(item_blocks)).cast("int")
     every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
