@@ -95,6 +95,5 @@ cte("split", """
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) <= 8 AS is_test FROM featured""", "featured")
 cte("naive", "SELECT series_id, date, y, y_lag_4 AS y_hat FROM split WHERE is_test", "split")
 cte("naive_dir", """
-  SELECT *, CAST(sign(y - lag(y) OVER s) = sign(y_hat - lag(y_hat) OVER s) AS DOUBLE) AS same_direction
-  FROM naive WINDOW s AS (PARTITION BY series_id ORDER BY date)""".replace(
-      "CAST(sign", "CAST(CAST(sign").replace("OVER s) AS DOUBLE)", "OVER s) AS INTEGER) AS DOUBLE)"), "naive")
+  SELECT *, CAST(CAST(sign(y - lag(y) OVER s) = sign(y_hat - lag(y_hat) OVER s) AS INTEGER) AS DOUBLE) AS same_direction
+  FROM naive WINDOW s AS (PARTITION BY series_id ORDER BY date)""", "naive")

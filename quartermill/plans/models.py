@@ -11,7 +11,7 @@ from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.timeseries import _MODELS_SQL, model_scores, split, staged_merged, staged_panel
 
 HORIZON = 8
-# Boosting rounds of the registered queries; the library default is the reference setting of 200.
+# Boosting rounds of the registered queries; the library default is 200.
 ROUNDS = 20
 
 cte("one_stats", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quartermill.operators import interactions, ranking, recommend, text, vectors
+from quartermill.operators import aggregates, interactions, ranking, recommend, text, vectors
 from quartermill.plans import inputs
 from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.session import new_path
@@ -306,10 +306,8 @@ def distinct_counts(spark, sf):
 , u AS (SELECT COUNT(*) AS n FROM pairs GROUP BY user_id), b AS (SELECT min(n) AS lo, max(n) AS hi FROM u)
 SELECT CAST(least(floor((n - lo) / (hi - lo) * 50), 49) AS BIGINT) + 1 AS bin, COUNT(*) AS n FROM u, b GROUP BY 1"""))
 def items_per_user_histogram(spark, sf):
-    from quartermill.operators.aggregates import histogram
-
     per_user = kept(spark, sf).groupBy("user_id").agg(F.count(F.lit(1)).cast("double").alias("items"))
-    return histogram(per_user, "items", 50)
+    return aggregates.histogram(per_user, "items", 50)
 
 
 # ---- split and weights -----------------------------------------------------------------------

@@ -396,7 +396,7 @@ def sdmx_messages(spark: SparkSession, sf: str) -> DataFrame:
     dims = F.struct(
         F.array(F.struct(F.lit("TIME").alias("id"), values(F.col("times")).alias("values"))).alias("observation"),
         F.array(F.struct(F.lit("SEGMENT").alias("id"), values(F.col("segments")).alias("values")),
-                F.struct(F.lit("UNIT").alias("id"), values(F.array(F.lit("NZD"))).alias("values")),
+                F.struct(F.lit("UNIT").alias("id"), values(F.array(F.lit("CUR"))).alias("values")),
                 F.struct(F.lit("AREA").alias("id"), values(F.array(F.col("area").cast("string"))).alias("values"))
                 ).alias("series"))
     body = F.struct(F.struct(F.array(F.struct(dims.alias("dimensions"))).alias("structures"),
@@ -418,7 +418,7 @@ def src_sdmx_json(spark, sf):
 SELECT {_AREA}, date, y FROM panel_wide WHERE split_part(series_id, '|', 2) = 'MACHINERY'"""))
 def src_sdmx_keyed(spark, sf):
     """The series named by its first two dimensions, out of every message."""
-    return sdmx.keyed_series(sdmx_messages(spark, sf), ["MACHINERY", "NZD"], "y", ["area"])
+    return sdmx.keyed_series(sdmx_messages(spark, sf), ["MACHINERY", "CUR"], "y", ["area"])
 
 
 @query("src_sdmx_period_totals", with_("panel_wide", f"""
@@ -435,8 +435,8 @@ def src_annual_map(spark, sf):
     cell = F.when(year % 8 == 0, F.lit("no data")).when(year % 4 != 0, F.col("unemployment_rate").cast("string"))
     years = inputs.annual_rate(spark, sf).agg(F.map_from_entries(
         F.collect_list(F.struct(year.cast("string"), cell))).alias("years"))
-    body = F.to_json(F.struct(F.create_map(F.lit("LUR"), F.create_map(F.lit("NZL"), F.col("years"))).alias("values")))
-    return sdmx.annual_map(years.select(body.alias("body")), "LUR", "NZL", "unemployment_rate")
+    body = F.to_json(F.struct(F.create_map(F.lit("RATE"), F.create_map(F.lit("AREA"), F.col("years"))).alias("values")))
+    return sdmx.annual_map(years.select(body.alias("body")), "RATE", "AREA", "unemployment_rate")
 
 
 @query("cache_parquet", with_("panel", "SELECT * FROM panel"))

@@ -48,13 +48,13 @@ def test_empty_message_and_malformed_message_are_errors(spark):
 
 
 def test_keyed_series_is_found_by_its_dimension_values(spark):
-    dims = [["AUS", "NZL"], ["M", "Q"], ["IR3TIB"], ["PA"], ["X"]]
+    dims = [["A1", "A2"], ["M", "Q"], ["RATE"], ["PCT"], ["X"]]
     body = message(MONTHS, {"1:0:0:0:0": {"observations": {"2": [4.5], "3": [4.75]}},
                             "0:0:0:0:0": {"observations": {"2": [1.0]}}}, dims)
-    out = sdmx.keyed_series(messages(spark, body), ["NZL", "M", "IR3TIB", "PA"], "rate").orderBy("date").collect()
+    out = sdmx.keyed_series(messages(spark, body), ["A2", "M", "RATE", "PCT"], "rate").orderBy("date").collect()
     assert [(r["date"].month, r["rate"]) for r in out] == [(3, 4.5), (4, 4.75)]
-    with pytest.raises(Exception, match="no value 'FRA'"):
-        sdmx.keyed_series(messages(spark, body), ["FRA"], "rate").collect()
+    with pytest.raises(Exception, match="no value 'A9'"):
+        sdmx.keyed_series(messages(spark, body), ["A9"], "rate").collect()
 
 
 def test_period_totals_add_all_series(spark):
@@ -64,8 +64,8 @@ def test_period_totals_add_all_series(spark):
 
 
 def test_annual_map_skips_nulls_and_interpolates_over_missing_years(spark):
-    body = json.dumps({"values": {"LUR": {"NZL": {"2000": 6.0, "2001": None, "2003": 12.0, "20xx": 1.0, "2002": "n/a"}}}})
-    annual = sdmx.annual_map(messages(spark, body), "LUR", "NZL", "rate")
+    body = json.dumps({"values": {"RATE": {"AREA": {"2000": 6.0, "2001": None, "2003": 12.0, "20xx": 1.0, "2002": "n/a"}}}})
+    annual = sdmx.annual_map(messages(spark, body), "RATE", "AREA", "rate")
     assert [(r["date"], r["rate"]) for r in annual.orderBy("date").collect()] == [
         (dt.date(2000, 7, 1), 6.0), (dt.date(2003, 7, 1), 12.0)]
     out = conform.interpolate_annual(annual, "rate").orderBy("date").collect()
