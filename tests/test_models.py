@@ -5,7 +5,7 @@ import pytest
 from conftest import PANEL, month_starts
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, ensemble, features, forecast, linear, smoothing, splits
+from quartermill.operators import accuracy, ensemble, features, forecast, linear, smoothing, splits, trees
 
 
 def featured(panel, horizon=6):
@@ -145,3 +145,20 @@ def test_ablation_reports_the_change_against_the_first_subset(spark):
     out = {r["subset"]: r for r in ensemble.exog_ablation(df, {"all": [*own, "noise"], "own": own}).collect()}
     assert out["all"]["delta_mape"] == 0
     assert out["own"]["delta_mape"] == pytest.approx(out["own"]["mape"] - out["all"]["mape"])
+
+
+def test_trees_beat_the_training_mean_and_rank_their_features(spark):
+    df = featured(noisy_panel(spark)).cache()
+    names = features.feature_columns(df)
+    settings = {"maxIter": 20, "minInstancesPerNode": 3}
+    out = trees.fit_predict(df, names, **settings)
+    level = df.filter(~F.col("is_test")).groupBy("series_id").agg(F.avg("y").alias("y_hat"))
+    flat = df.filter("is_test").select("series_id", "date", "y").join(level, "series_id")
+
+    def error(predicted):
+        return accuracy.evaluate_forecast(predicted).agg(F.avg("rmse")).first()[0]
+
+    assert out.count() == 18 and error(out) < error(flat)
+    model, _, _, kept = trees.fit(df, names, **settings)
+    top = trees.importance(model, kept, spark, 3).collect()
+    assert len(top) == 3 and top[0]["importance"] >= top[2]["importance"] > 0
