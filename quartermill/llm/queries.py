@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quartermill.llm import line_rules, pieces, prefix_tokens
+from quartermill.llm import chosen_path, line_rules, pieces, prefix_tokens, quality
 from quartermill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality_trees")
+def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    trees = quality.train(documents, table(spark, sf_dir, "labels"))
+    scored = quality.score(documents, trees, keep=["doc_id"])
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 @query("op2_piece_codec")
 def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(
@@ -41,6 +49,11 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_chosen_path", chosen_path.sql())
+def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_prefix_tokens")
 def op9_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.count_tokens(
