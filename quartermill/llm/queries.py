@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quartermill.llm import chosen_path, line_rules, pieces, prefix_tokens, quality
+from pyspark.sql import functions as F
+
+from quartermill.llm import chosen_path, line_rules, mixing, pieces, prefix_tokens, quality
 from quartermill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +56,17 @@ def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: The first four letters of a source stand in for its domain; two domains and one language weigh more.
+MIX = mixing.Mix(weights={("src0",): 2, ("src1",): 4, ("src1", "en"): 3, ("src2", "de"): 2})
+
+
+@query("op8_source_mix", mixing.sql(MIX, ["left(source, 4)", "lang", "source"]))
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domain = F.substring("source", 1, 4)
+    taken = mixing.select_mix(table(spark, sf_dir, "documents"), mixing.count_words("text"), MIX, extra={"domain": domain})
+    return taken.select("doc_id", domain.alias("domain"), "lang", "source", F.col("_mix_epochs").alias("epochs"))
+
+
 @query("op9_prefix_tokens")
 def op9_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.count_tokens(
