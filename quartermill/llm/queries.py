@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quartermill.llm import chosen_path, line_rules, mixing, pieces, prefix_tokens, quality
+from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, prefix_tokens, quality
 from quartermill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_kmeans_tree")
+def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, neighbours=10)
+
+
 #: The first four letters of a source stand in for its domain; two domains and one language weigh more.
 MIX = mixing.Mix(weights={("src0",): 2, ("src1",): 4, ("src1", "en"): 3, ("src2", "de"): 2})
 
