@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, prefix_tokens, quality
+from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, prefix_tokens, quality, warc
 from quartermill.llm.common import table
+from quartermill.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +57,11 @@ def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_warc_salvage", warc.SQL)
+def op6_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"), new_path(spark, "archive"))
+
+
 @query("op7_kmeans_tree")
 def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, neighbours=10)
