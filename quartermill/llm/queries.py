@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, prefix_tokens, quality, warc
+from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, prefix_tokens, quality, tag_paths, warc
 from quartermill.llm.common import table
 from quartermill.session import new_path
 
@@ -52,6 +52,11 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_tag_paths")
+def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op5_chosen_path", chosen_path.sql())
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
