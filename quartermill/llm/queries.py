@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, prefix_tokens, quality, tag_paths, warc
+from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, preferences, prefix_tokens, quality, tag_paths, warc
 from quartermill.llm.common import table
 from quartermill.session import new_path
 
@@ -88,3 +88,10 @@ def op9_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024, keep=["doc_id"],
     )
+
+
+@query("op10_preferences", preferences.SQL)
+def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, rejected = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
+    pairs = preferences.format_preferences(chosen, rejected)
+    return pairs.withColumns({c: preferences.spans_text(c) for c in ("chosen_spans", "rejected_spans")})
