@@ -208,7 +208,7 @@ _BUCKET = ["path", "i", "j"]
 
 
 def sign(df: DataFrame, doc_id: str, text: str, s: JoinSettings) -> DataFrame:
-    """``(id, gid, text_key, n_shingles, tokens, paths)`` of each row; all but id null without words."""
+    """``(id, gid, text_key, n_shingles, tokens, paths)`` of each row; without words only id and text key."""
     schema = f"id {column_type(df, doc_id)}, gid binary, text_key binary, n_shingles int, tokens binary, paths array<bigint>"
     share, roots = s.children / s.positions, _roots(s.runs)
 
@@ -218,7 +218,7 @@ def sign(df: DataFrame, doc_id: str, text: str, s: JoinSettings) -> DataFrame:
             for key, value in zip(batch["text_key"], batch["_text"]):
                 hashes = shingles(value, s.words)
                 if not len(hashes):
-                    made.append((None, None, None, None, None))
+                    made.append((None, key, None, None, None))
                     continue
                 tokens = tokens_of(hashes, s.positions)
                 made.append((hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), key, len(hashes),
@@ -375,10 +375,10 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s: JoinSettings = JoinSettings()) -> DataFrame:
-    """``(doc_id, class_id, n_links)``, one row per row of ``df``.
+    """``(doc_id, class_id, n_links, stays, text_key)``, one row per row of ``df``.
 
     ``n_links`` is the number of other rows whose n-gram sets have at least the similarity asked for,
-    copies included; ``class_id`` the smallest id of the rows connected by links. A text of fewer words
+    copies included; ``class_id`` the smallest id of the rows connected by links; ``stays`` marks the row that has it. A text of fewer words
     than an n-gram is one n-gram. A null or empty text, or one of white space only, has no links and
     is a class of its own; rows with a null id take part, but a class has a null id only if all its ids
     are null. Repeated rows are copies of each other. Empty tables give no rows; other columns of
@@ -387,7 +387,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     signed = materialise(sign(df, doc_id, text, s), "signed")
     groups = materialise(
         signed.filter("gid IS NOT NULL").groupBy("gid").agg(
-            F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"), F.min("text_key").alias("text_key"),
+            F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_key")).alias("first"),
+            F.min("text_key").alias("text_key"),
             F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"), F.first("paths").alias("paths")),
         "groups",
     )
@@ -404,20 +405,33 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     least = components(links.select(F.col("gid").alias("a"), F.col("root").alias("b")))
     counted = links.groupBy("gid").agg(F.sum("links").alias("links"))
     classes = (
-        groups.select("gid", "copies", "first_id")
+        groups.select("gid", "copies", "first")
         .join(counted, "gid", "left").join(least.withColumnRenamed("node", "gid"), "gid", "left")
-        .select("gid", "first_id", F.coalesce("least", "gid").alias("least"),
+        .select("gid", "first", F.coalesce("least", "gid").alias("least"),
                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
-    smallest = classes.groupBy("least").agg(F.min("first_id").alias("class_id"))
-    classes = classes.join(smallest, "least").select("gid", "class_id", "n_links")
-    return signed.select("id", "gid").join(classes, "gid", "left").select(
-        F.col("id").alias(doc_id),
-        F.when(F.col("gid").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+    smallest = classes.groupBy("least").agg(F.min("first").alias("first"))
+    classes = classes.drop("first").join(smallest, "least").select("gid", "first", "n_links")
+    alone = F.col("gid").isNull()
+    return signed.select("id", "gid", "text_key").join(classes, "gid", "left").select(
+        F.col("id").alias(doc_id), F.when(alone, F.col("id")).otherwise(F.col("first.id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        (alone | (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")))).alias("stays"), "text_key",
     )
 
 
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s: JoinSettings = JoinSettings()) -> DataFrame:
+    """Rows of ``df`` such that one of each class stays: the one with its smallest id.
+
+    Exact repeats of that row, id and text, are one row afterwards; texts without words all stay, once
+    for each id.
+    """
+    key = lambda column, digest: F.concat_ws(":", F.coalesce(F.col(column).cast("string"), F.lit("")), F.hex(digest))
+    stay = near_duplicates(df, doc_id, text, s).filter("stays").select(key(doc_id, F.col("text_key")).alias("_stay")).distinct()
+    rows = df.withColumn("_stay", key(doc_id, _text_key(text)))
+    return rows.join(stay, "_stay", "left_semi").dropDuplicates(["_stay"]).select(df.columns)
+
+
 def sql(words: int = 5, percent: int = 80) -> str:
     """The same classes and links over ``documents`` as one SQL statement that compares sets by shared n-grams."""
     return rf"""

@@ -59,7 +59,7 @@ def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_chosen_path", chosen_path.sql())
 def op5_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
 @query("op6_warc_salvage", warc.SQL)
