@@ -1,8 +1,62 @@
-"""The corpus pipeline; stages are added as their operators are ready."""
+"""The corpus pipeline: documents are scored, cleaned, deduplicated, mixed and encoded, each stage on what the last one kept."""
 
-STAGES: list = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quartermill.llm import chosen_path, line_rules, mixing, pieces, quality
+from quartermill.llm.queries import MIX
+from quartermill.session import materialise
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labels of ``sf_dir``, takes for good ones."""
+    trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, trees, keep=docs.columns).filter("predicted = 1").select(docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line rules keep, without their failed lines."""
+    cleaned = line_rules.clean(docs, keep=docs.columns, outputs=["kept", "clean_text"]).filter("kept")
+    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast(docs.schema["n_chars"].dataType)}
+    return cleaned.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return chosen_path.one_of_each(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in the target mix, a row for each epoch that takes them."""
+    taken = mixing.select_mix(docs, mixing.count_words("text"), MIX, extra={"domain": F.substring("source", 1, 4)})
+    repeated = taken.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_epochs"))))
+    return repeated.select(docs.columns)
+
+
+def piece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with digests of the ids and of the text decoded from them."""
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id", "lang", "source"],
+                         outputs=["n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("source_mix", source_mix),
+    ("piece_codec", piece_codec),
+]
+
+#: The classifier and the encoder cannot be written in SQL; the tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again before the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
