@@ -250,7 +250,7 @@ def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
             yield pd.DataFrame({"path": np.concatenate(paths), "gid": gids})
 
     found = groups.select(F.explode("paths").alias("path"), "gid")
-    leaves = []
+    leaves, active = [], groups.select("gid", "tokens")
     for level in range(1, s.depth + 1):
         counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         met = materialise(found.join(counts, "path"), f"level{level}")
@@ -259,8 +259,11 @@ def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
         large = met.filter(F.col("n") > s.leaf)
         if last or large.isEmpty():
             break
+        # Only groups in large buckets go on, and with them their tokens.
         own = large.groupBy("gid").agg(F.collect_list("path").alias("own"))
-        found = spread(own.join(groups.select("gid", "tokens"), "gid"), "gid").mapInPandas(expand, "path bigint, gid binary")
+        active = materialise(active.join(own, "gid").select("gid", "tokens", "own"), f"active{level}")
+        found = active.mapInPandas(expand, "path bigint, gid binary")
+        active = active.drop("own")
     out = leaves[0]
     for more in leaves[1:]:
         out = out.unionByName(more)
@@ -301,24 +304,31 @@ def _marked(rows: DataFrame, s: JoinSettings) -> DataFrame:
     return spread(rows, *_BUCKET).sortWithinPartitions(*_BUCKET).mapInPandas(mark, schema)
 
 
+def _with_hashes(words: int):
+    def rows(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.drop(columns="_text").assign(hashes=[shingles(t, words).tobytes() for t in batch["_text"]])
+
+    return rows
+
+
 def _links(marked: DataFrame, groups: DataFrame, texts: DataFrame, s: JoinSettings) -> DataFrame:
     """``(gid, links, root)``: rows that each member of a bucket is linked to there, and the bucket's smallest linked member."""
-    words, similarity, limit = s.words, s.similarity, s.similarity - s.sketch_margin
+    similarity, limit = s.similarity, s.similarity - s.sketch_margin
+    # The buckets of a group pass through Python as one string, to be taken apart again behind it.
+    bucket = F.concat_ws(":", "path", "i", "j", "own")
     per_group = marked.groupBy("gid").agg(
-        F.collect_list(F.struct("path", "i", "j", "own")).alias("buckets"), F.first("sketch").alias("sketch"),
+        F.array_join(F.collect_list(bucket), ",").alias("buckets"), F.first("sketch").alias("sketch"),
         F.first("paths").alias("paths"), F.first("n_shingles").alias("n_shingles"),
     ).join(groups.select("gid", "text_key", "copies"), "gid")
     with_text = texts.join(per_group, "text_key")
 
-    def sets(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop(columns="_text").assign(hashes=[shingles(t, words).tobytes() for t in batch["_text"]])
-
-    kept = with_text.select("gid", "copies", "n_shingles", "sketch", "paths", "buckets", "_text")
-    hashed = kept.mapInPandas(sets, "gid binary, copies bigint, n_shingles int, sketch binary, paths array<bigint>, "
-                                    "buckets array<struct<path: bigint, i: int, j: int, own: int>>, hashes binary")
-    rows = hashed.select("gid", "copies", "n_shingles", "sketch", "paths", "hashes", F.explode("buckets").alias("_b"))
-    rows = rows.select("_b.*", "gid", "copies", "n_shingles", "sketch", "paths", "hashes")
+    kept = "gid", "copies", "n_shingles", "sketch", "paths"
+    hashed = with_text.select(*kept, "buckets", "_text").mapInPandas(_with_hashes(s.words), (
+        "gid binary, copies bigint, n_shingles int, sketch binary, paths array<bigint>, buckets string, hashes binary"))
+    rows = hashed.select(*kept, "hashes", F.split(F.explode(F.split("buckets", ",")), ":").alias("_b"))
+    rows = rows.select(F.col("_b")[0].cast("bigint").alias("path"), *[F.col("_b")[k].cast("int").alias(n) for k, n in ((1, "i"), (2, "j"), (3, "own"))],
+                       *kept, "hashes")
 
     def compare(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = []
