@@ -326,7 +326,7 @@ def _links(marked: DataFrame, groups: DataFrame, texts: DataFrame, s: JoinSettin
     kept = "gid", "copies", "n_shingles", "sketch", "paths"
     hashed = with_text.select(*kept, "buckets", "_text").mapInPandas(_with_hashes(s.words), (
         "gid binary, copies bigint, n_shingles int, sketch binary, paths array<bigint>, buckets string, hashes binary"))
-    rows = hashed.select(*kept, "hashes", F.split(F.explode(F.split("buckets", ",")), ":").alias("_b"))
+    rows = hashed.select(*kept, "hashes", F.explode(F.split("buckets", ",")).alias("_b")).withColumn("_b", F.split("_b", ":"))
     rows = rows.select(F.col("_b")[0].cast("bigint").alias("path"), *[F.col("_b")[k].cast("int").alias(n) for k, n in ((1, "i"), (2, "j"), (3, "own"))],
                        *kept, "hashes")
 
