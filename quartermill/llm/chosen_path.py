@@ -38,6 +38,8 @@ class JoinSettings:
     positions: int = 64  # min-hash tokens of a set
     children: float = 2.0  # tokens sampled at a node, on average
     leaf: int = 256  # buckets up to this size are compared pair by pair
+    block: int = 1024  # larger ones, once they are not split any more, in blocks of this size
+    split_gain: float = 0.5  # a split must leave at most this share of a bucket's comparisons
     depth: int = 6
     recall: float = 0.9995  # of pairs at exactly the similarity asked for, in the worst case
     sketch_margin: float = 0.2  # pairs whose sketches agree less than similarity minus this are not compared exactly
@@ -90,13 +92,13 @@ def tokens_of(hashes: np.ndarray, positions: int) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def children_of(paths: np.ndarray, tokens: np.ndarray, share: float) -> np.ndarray:
-    """Paths of the next level: for each path the tokens whose hash with it falls below ``share``."""
+def children_of(paths: np.ndarray, tokens: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Paths of the next level and the places of their parents: for each path the tokens whose hash with it falls below ``share``."""
     places = _mixed(tokens.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.arange(len(tokens), dtype=np.uint64))
     keys = _mixed(paths[:, None] * np.uint64(0xD6E8FEB86659FD93) + places[None, :])
     parent, place = np.nonzero(keys < np.uint64(min(1.0, share) * (2**64 - 2**11)))
     run = paths[parent] >> RUN_SHIFT << RUN_SHIFT
-    return run | (_mixed(keys[parent, place]) >> np.uint64(7))
+    return run | (_mixed(keys[parent, place]) >> np.uint64(7)), parent
 
 
 def _roots(runs: int) -> np.ndarray:
@@ -136,10 +138,17 @@ def _first_meeting(path: int, paths: list[np.ndarray]) -> np.ndarray:
     sizes = [len(p) for p in earlier]
     if not sum(sizes):
         return np.ones((n, n), bool)
-    names, number = np.unique(np.concatenate(earlier), return_inverse=True)
-    member = np.zeros((n, len(names)), np.float32)
-    member[np.repeat(np.arange(n), sizes), number] = 1
-    return member @ member.T == 0
+    names, number, times = np.unique(np.concatenate(earlier), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), sizes)
+    several = times[number] > 1  # a bucket named once can't be shared
+    owner, number = owner[several], np.unique(number[several], return_inverse=True)[1]
+    met = np.zeros((n, n), np.float32)
+    for start in range(0, int(number.max(initial=-1)) + 1, CHUNK // 16):
+        inside = (number >= start) & (number < start + CHUNK // 16)
+        member = np.zeros((n, CHUNK // 16), np.float32)
+        member[owner[inside], number[inside] - start] = 1
+        met += member @ member.T
+    return met == 0
 
 
 def _candidates(group: pd.DataFrame, limit: float, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +231,7 @@ def sign(df: DataFrame, doc_id: str, text: str, s: JoinSettings) -> DataFrame:
                     continue
                 tokens = tokens_of(hashes, s.positions)
                 made.append((hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), key, len(hashes),
-                             tokens.tobytes(), children_of(roots, tokens, share).astype(np.int64)))
+                             tokens.tobytes(), children_of(roots, tokens, share)[0].astype(np.int64)))
             out = pd.DataFrame(made, columns=["gid", "text_key", "n_shingles", "tokens", "paths"])
             out["n_shingles"] = out["n_shingles"].astype("Int32")
             out.insert(0, "id", batch["id"].to_numpy() if batch["id"].dtype != object else list(batch["id"]))
@@ -237,33 +246,50 @@ def _text_key(text: str):
 
 
 def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
-    """``(path, gid, n)``: membership in the buckets that are compared, ``n`` rows each."""
+    """``(path, gid, n)``: membership in the buckets that are compared, ``n`` rows each.
+
+    A bucket above ``leaf`` is split, if that pays: if its members are near copies of each other, nearly
+    all of them go on together into every child, and the children would need more comparisons than
+    the bucket itself. Such a bucket stays whole and is compared in blocks.
+    """
     share = s.children / s.positions
 
     def expand(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            gids, paths = [], [np.zeros(0, np.int64)]
+            gids, parents, paths = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for gid, own, tokens in zip(batch["gid"], batch["own"], batch["tokens"]):
-                found = children_of(np.asarray(own, np.int64).astype(np.uint64), np.frombuffer(tokens, np.uint32), share)
+                own = np.asarray(own, np.int64)
+                found, parent = children_of(own.astype(np.uint64), np.frombuffer(tokens, np.uint32), share)
                 gids += [gid] * len(found)
+                parents.append(own[parent])
                 paths.append(found.astype(np.int64))
-            yield pd.DataFrame({"path": np.concatenate(paths), "gid": gids})
+            yield pd.DataFrame({"path": np.concatenate(paths), "parent": np.concatenate(parents), "gid": gids})
 
     found = groups.select(F.explode("paths").alias("path"), "gid")
+    counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = materialise(found.join(counts, "path"), "level1")
     leaves, active = [], groups.select("gid", "tokens")
-    for level in range(1, s.depth + 1):
-        counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        met = materialise(found.join(counts, "path"), f"level{level}")
-        last = level == s.depth
-        leaves.append(met if last else met.filter(F.col("n") <= s.leaf))
+    for level in range(2, s.depth + 2):
+        leaves.append(met.filter(F.col("n") <= s.leaf))
         large = met.filter(F.col("n") > s.leaf)
-        if last or large.isEmpty():
+        if large.isEmpty():
+            break
+        if level > s.depth:
+            leaves.append(large)
             break
         # Only groups in large buckets go on, and with them their tokens.
         own = large.groupBy("gid").agg(F.collect_list("path").alias("own"))
         active = materialise(active.join(own, "gid").select("gid", "tokens", "own"), f"active{level}")
-        found = active.mapInPandas(expand, "path bigint, gid binary")
+        below = materialise(active.mapInPandas(expand, "path bigint, parent bigint, gid binary"), f"below{level}")
         active = active.drop("own")
+        counts = below.groupBy("path", "parent").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        work = counts.groupBy(F.col("parent").alias("path")).agg(F.sum(F.col("n").cast("double") ** 2).alias("work"))
+        sizes = large.groupBy("path").agg(F.first("n").alias("size"))
+        pays = F.coalesce("work", F.lit(0.0)) <= s.split_gain * F.col("size").cast("double") ** 2
+        parents = materialise(sizes.join(work, "path", "left").select("path", pays.alias("split")), f"parents{level}")
+        leaves.append(large.join(parents.filter("NOT split").select("path"), "path", "left_semi"))
+        going = counts.join(parents.filter("split").select(F.col("path").alias("parent")), "parent", "left_semi").select("path", "n")
+        met = materialise(below.select("path", "gid").join(going, "path"), f"level{level}")
     out = leaves[0]
     for more in leaves[1:]:
         out = out.unionByName(more)
@@ -271,10 +297,10 @@ def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
 
 
 def _bucket_rows(members: DataFrame, s: JoinSettings) -> DataFrame:
-    """Each group once per bucket, or once per pair of blocks where a bucket is larger than ``leaf``."""
+    """Each group once per bucket, or once per pair of blocks where it is larger than one."""
     one = members.select("gid", "n_shingles", "sketch", F.transform("met", lambda m: m["path"]).alias("paths"), F.explode("met").alias("m"))
     one = one.select("gid", "n_shingles", "sketch", "paths", F.col("m.path").alias("path"),
-                     F.ceil(F.col("m.n") / s.leaf).cast("int").alias("blocks"))
+                     F.when(F.col("m.n") <= s.leaf, 1).otherwise(F.ceil(F.col("m.n") / s.block)).cast("int").alias("blocks"))
     one = one.withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
     one = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return one.select("path", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "gid",
