@@ -37,8 +37,7 @@ class JoinSettings:
     similarity: float = 0.8
     positions: int = 64  # min-hash tokens of a set
     children: float = 2.0  # tokens sampled at a node, on average
-    leaf: int = 256  # buckets up to this size are compared pair by pair
-    block: int = 1024  # larger ones, once they are not split any more, in blocks of this size
+    leaf: int = 1024  # buckets up to this size are compared pair by pair, larger ones in the end in blocks of it
     split_gain: float = 0.5  # a split must leave at most this share of a bucket's comparisons
     depth: int = 6
     recall: float = 0.9995  # of pairs at exactly the similarity asked for, in the worst case
@@ -300,7 +299,7 @@ def _bucket_rows(members: DataFrame, s: JoinSettings) -> DataFrame:
     """Each group once per bucket, or once per pair of blocks where it is larger than one."""
     one = members.select("gid", "n_shingles", "sketch", F.transform("met", lambda m: m["path"]).alias("paths"), F.explode("met").alias("m"))
     one = one.select("gid", "n_shingles", "sketch", "paths", F.col("m.path").alias("path"),
-                     F.when(F.col("m.n") <= s.leaf, 1).otherwise(F.ceil(F.col("m.n") / s.block)).cast("int").alias("blocks"))
+                     F.ceil(F.col("m.n") / s.leaf).cast("int").alias("blocks"))
     one = one.withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
     one = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return one.select("path", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "gid",
