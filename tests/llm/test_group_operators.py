@@ -49,7 +49,7 @@ def planted(seed, groups=12, copies=8, edits=6, words=60):
 
 
 @pytest.mark.parametrize("settings", [
-    chosen_path.JoinSettings(), chosen_path.JoinSettings(leaf=3, block=4, depth=3, split_gain=9.0), chosen_path.JoinSettings(leaf=2, block=2, depth=1, recall=0.9999)])
+    chosen_path.JoinSettings(), chosen_path.JoinSettings(leaf=3, depth=3, split_gain=9.0), chosen_path.JoinSettings(leaf=2, depth=1, recall=0.9999)])
 def test_classes_and_links_equal_all_pairs(spark, settings):
     texts = planted(4)
     classes, links = plain_classes(texts)
@@ -70,7 +70,7 @@ def test_a_large_group_of_near_copies_is_compared_in_blocks(spark):
         texts.append(" ".join(own))
     classes, links = plain_classes(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = {r["doc_id"]: r for r in chosen_path.near_duplicates(df, s=chosen_path.JoinSettings(leaf=16, block=16, depth=2)).collect()}
+    got = {r["doc_id"]: r for r in chosen_path.near_duplicates(df, s=chosen_path.JoinSettings(leaf=16, depth=2)).collect()}
     assert [got[i]["n_links"] for i in range(120)] == links
     assert [got[i]["class_id"] for i in range(120)] == classes
 
