@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from quartermill.session import materialise
 
-# A key holding at least this share of the rows is hot, so there are at most 1/HOT_SHARE of them.
-HOT_SHARE = 0.01
+# A key is hot with this share of the rows, or with this many rows, whatever share they are.
+HOT_SHARE, HOT_ROWS = 0.01, 1_000_000
 SALTS = 64
 
 
@@ -34,12 +34,12 @@ def fill_cores(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def hot_keys(df: DataFrame, key: str, weight: Column | None = None, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of the rows (or of ``weight``): at most ``1/share`` rows."""
+def hot_keys(df: DataFrame, key: str, weight: Column | None = None, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
+    """Keys holding ``share`` of the rows (or of ``weight``) or ``rows`` of them: at most 1/share or total/rows keys."""
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = df.groupBy(key).agg(size.alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") >= share * total).select(key)
+    return counts.filter(F.col("_n") >= F.least(share * total, F.lit(rows))).select(key)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
@@ -47,8 +47,8 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """Equi-join where rows of hot ``key`` values on the left are spread over ``salts`` partitions.
 
     The right side must be unique on ``key``; only its hot rows are copied, ``salts`` times each.
-    Works for inner, left, left_semi and left_anti, and loses or repeats no row. The list of hot
-    keys has at most ``1/HOT_SHARE`` rows, which bounds its broadcast.
+    Works for inner, left, left_semi and left_anti, and loses or repeats no row. A given ``hot`` list
+    saves counting the left side; ``hot_keys`` has one row for each million rows, which bounds its broadcast.
     """
     hot = hot_keys(left, key) if hot is None else hot
     marked = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))

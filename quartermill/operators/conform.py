@@ -61,12 +61,15 @@ def interpolate_annual(df: DataFrame, value: str, keys: Sequence[str] = ()) -> D
     return resample_quarter_mean(monthly_grid(df, value, keys), value, keys)
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """Raise when ``keys`` repeat: a repeated key on the right side would multiply anchor rows."""
-    repeated = df.groupBy(*keys).count().filter(F.col("count") > 1)
-    if not repeated.isEmpty():
-        raise ValueError(f"{what}: more than one row per {', '.join(keys)}")
-    return df
+def assert_unique(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(keys, value)``, one row per key; the job fails when ``keys`` repeat.
+
+    A repeated key on the right side of a join would multiply anchor rows. The check is part of the
+    plan, so it costs no job of its own.
+    """
+    problem = F.raise_error(F.lit(f"{value}: more than one row per {', '.join(keys)}"))
+    one = F.when(F.count(F.lit(1)) == 1, F.first(value)).otherwise(problem.cast(df.schema[value].dataType))
+    return df.groupBy(*keys).agg(one.alias(value))
 
 
 def merge_exog(anchor: DataFrame, exog: Mapping[str, DataFrame | None], on: Sequence[str] = ("date",)) -> DataFrame:

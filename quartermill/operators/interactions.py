@@ -15,6 +15,9 @@ from quartermill.session import materialise
 MIN_ROWS = 5
 MAX_ROUNDS = 5
 
+# Prices are summed in decimals: the order of addition must not decide the last digits of a mean.
+EXACT_PRICE = "decimal(28,9)"
+
 
 def clean_transactions(df: DataFrame, country: str) -> DataFrame:
     """Known customers buying something at a price, in one country, without cancelled invoices.
@@ -73,10 +76,10 @@ def item_meta(lines: DataFrame, kept: DataFrame) -> DataFrame:
     """``(item_id, description, price)``: most frequent description (ties: smallest), mean price."""
     items = kept.select("user_id", "item_id")
     counted = lines.join(items, ["user_id", "item_id"], "left_semi").groupBy("item_id", "description").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("price").alias("_price"))
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col("price").cast(EXACT_PRICE)).alias("_price"))
     return counted.groupBy("item_id").agg(
         F.min_by("description", F.struct(-F.col("_n"), F.col("description"))).alias("description"),
-        (F.sum("_price") / F.sum("_n")).alias("price"),
+        (F.sum("_price").cast("double") / F.sum("_n")).alias("price"),
     )
 
 

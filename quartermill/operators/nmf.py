@@ -29,14 +29,15 @@ class Topics:
     rows: DataFrame
 
 
-def sparse_rows(df: DataFrame, row: str, col: str, value: str) -> tuple[DataFrame, list[str]]:
+def sparse_rows(df: DataFrame, row: str, col: str, value: str, max_columns: int = MAX_COLUMNS) -> tuple[DataFrame, list[str]]:
     """``(row, idx, val)`` with column positions, and the column names in order.
 
-    The number of distinct columns is checked before they are listed.
+    The number of distinct columns is checked before they are listed: the method keeps topics x columns
+    numbers on the driver, and ``max_columns`` says how many columns that may be.
     """
-    names = [r[0] for r in df.select(col).distinct().orderBy(col).limit(MAX_COLUMNS + 1).collect()]
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns")
+    names = [r[0] for r in df.select(col).distinct().orderBy(col).limit(max_columns + 1).collect()]
+    if len(names) > max_columns:
+        raise ValueError(f"more than {max_columns} columns; raise max_columns if topics x columns fit the driver")
     spark = df.sparkSession
     index = spark.createDataFrame([(n, i) for i, n in enumerate(names)], f"{col} string, _idx int")
     placed = df.filter(F.col(value) > 0).join(F.broadcast(index), col)
@@ -46,10 +47,17 @@ def sparse_rows(df: DataFrame, row: str, col: str, value: str) -> tuple[DataFram
                        F.transform("_p", lambda p: p["_x"]).alias("val")), names
 
 
+def _flat(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, column and value of every cell of a batch."""
+    sizes = [len(i) for i in batch["idx"]]
+    place = np.repeat(np.arange(len(batch)), sizes)
+    return place, np.concatenate(list(batch["idx"])).astype(int), np.concatenate(list(batch["val"])).astype(float)
+
+
 def _row_weights(batch: pd.DataFrame, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best non-negative topic weights of each row for fixed H, and the rows' products with H."""
-    products = np.stack([h[:, np.asarray(i, dtype=int)] @ np.asarray(v, dtype=float)
-                         for i, v in zip(batch["idx"], batch["val"], strict=True)])
+    place, idx, val = _flat(batch)
+    products = np.stack([np.bincount(place, h[t, idx] * val, len(batch)) for t in range(len(h))], axis=1)
     square = h @ h.T
     w = np.zeros_like(products)
     for _ in range(INNER_SWEEPS):
@@ -65,7 +73,7 @@ def _row_weights(batch: pd.DataFrame, h: np.ndarray) -> tuple[np.ndarray, np.nda
 def _pass(rows: DataFrame, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """One pass over the rows: W'X (k x columns), W'W (k x k) and the squared error for the given H.
 
-    Each partition sends one partial result per topic; they are added up by topic.
+    Each partition sends its partial sums as cells, which Spark adds up by cell, map side first.
     """
     k, width = h.shape
 
@@ -77,24 +85,20 @@ def _pass(rows: DataFrame, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, float
                 continue
             w, products = _row_weights(batch, h)
             ww += w.T @ w
-            for i, (idx, val) in enumerate(zip(batch["idx"], batch["val"], strict=True)):
-                wx[:, np.asarray(idx, dtype=int)] += np.outer(w[i], np.asarray(val, dtype=float))
-            norms = sum(float(np.dot(v, v)) for v in batch["val"])
+            place, idx, val = _flat(batch)
+            for t in range(k):
+                wx[t] += np.bincount(idx, w[place, t] * val, width)
+            norms = float(np.dot(val, val))
             error += norms - 2 * float((w * products).sum()) + float(np.einsum("ij,jk,ik->", w, square, w))
-        yield pd.DataFrame({"topic": np.arange(k), "wx": list(wx), "ww": list(ww), "error": [error] + [0.0] * (k - 1)})
-
-    parts = rows.select("idx", "val").mapInPandas(partial, "topic int, wx array<double>, ww array<double>, error double")
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"topic": [pdf["topic"].iloc[0]], "wx": [np.sum(np.stack(pdf["wx"]), axis=0)],
-                             "ww": [np.sum(np.stack(pdf["ww"]), axis=0)], "error": [pdf["error"].sum()]})
+        cells = np.concatenate([wx, ww, np.full((k, 1), error / k)], axis=1)
+        topic, column = np.nonzero(cells)
+        yield pd.DataFrame({"topic": topic, "cell": column, "x": cells[topic, column]})
 
-    sums = parts.groupBy("topic").applyInPandas(add, "topic int, wx array<double>, ww array<double>, error double")
-    wx, ww, error = np.zeros((k, width)), np.zeros((k, k)), 0.0
-    for r in sums.collect():
-        wx[r["topic"]], ww[r["topic"]] = r["wx"], r["ww"]
-        error += r["error"]
-    return wx, ww, max(error, 0.0)
+    parts = rows.select("idx", "val").mapInPandas(partial, "topic int, cell int, x double")
+    total = np.zeros((k, width + k + 1))
+    for r in parts.groupBy("topic", "cell").agg(F.sum("x").alias("x")).collect():  # topics x columns cells
+        total[r["topic"], r["cell"]] = r["x"]
+    return total[:, :width], total[:, width:width + k], max(float(total[:, -1].sum()), 0.0)
 
 
 def _improve(h: np.ndarray, wx: np.ndarray, ww: np.ndarray) -> np.ndarray:
@@ -111,13 +115,13 @@ def _improve(h: np.ndarray, wx: np.ndarray, ww: np.ndarray) -> np.ndarray:
 
 
 def fit_topics(df: DataFrame, row: str, col: str, value: str, topics: int, max_iter: int = 500,
-               tolerance: float = 1e-4, seed: int = 42) -> Topics:
+               tolerance: float = 1e-4, seed: int = 42, max_columns: int = MAX_COLUMNS) -> Topics:
     """Alternating non-negative least squares until the error stops falling by ``tolerance``.
 
     Every iteration is one job over the rows. Row weights depend on H alone, so nothing but H is
     carried from one iteration to the next, and a lost executor only repeats its part of one pass.
     """
-    rows, names = sparse_rows(df, row, col, value)
+    rows, names = sparse_rows(df, row, col, value, max_columns)
     rows = materialise(rows, "nmf_rows")
     scale = rows.agg(F.sum(F.aggregate("val", F.lit(0.0), lambda s, v: s + v)).alias("s"),
                      F.count(F.lit(1)).alias("n")).first()

@@ -47,8 +47,8 @@ def rec_popularity(train: DataFrame, users: DataFrame, k: int, order: DataFrame
 
     The j-th seen item of a user, by popularity, lies before the k-th unseen one exactly when fewer
     than k unseen items precede it (position - j < k). So k + m positions are enough, with m counted
-    per user: nothing is capped, and no user is paired with the whole catalogue. The positions at
-    the top are asked for by every user, hence the salted join.
+    per user: nothing is capped, and no user is paired with the whole catalogue. The first k positions
+    are asked for by nearly every user, so the join salts them, without counting the places first.
     """
     order = materialise(popular_order(train), "popular") if order is None else order
     users = users.select("user_id").distinct()
@@ -66,7 +66,8 @@ def rec_popularity(train: DataFrame, users: DataFrame, k: int, order: DataFrame
     last = F.least(F.col("_total"), F.size("_passed") + F.lit(k).cast("bigint"))
     unseen = F.array_except(F.sequence(F.lit(1).cast("bigint"), last), F.col("_passed"))
     places = wanted.filter("_total > 0").select("user_id", F.posexplode(unseen).alias("_i", "position"))
-    named = salted_join(places, order.select("position", "item_id", F.col("popularity").alias("score")), "position")
+    named = salted_join(places, order.select("position", "item_id", F.col("popularity").alias("score")), "position",
+                        hot=order.filter(F.col("position") <= k).select("position"))
     return named.select("user_id", (F.col("_i") + 1).alias("rank"), "item_id", "score")
 
 

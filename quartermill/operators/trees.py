@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermill.operators.linear import prepare
@@ -26,18 +26,31 @@ def _assembled(df: DataFrame, features: Sequence[str], keys: Sequence[str]):
     return VectorAssembler(inputCols=kept, outputCol="x").transform(labelled), target, kept
 
 
-def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES, validation: str | None = None,
+def last_block(df: DataFrame, keys: Sequence[str] = SERIES, folds: int = 5) -> DataFrame:
+    """Adds ``_stop``: true for the last walk-forward block of each series' training rows.
+
+    The block has n // (folds + 1) of its n training rows, as the last fold validates.
+    """
+    series = Window.partitionBy(*keys, "is_test")
+    place = F.row_number().over(series.orderBy(F.desc("date")))
+    size = F.floor(F.count(F.lit(1)).over(series) / (folds + 1))
+    return df.withColumn("_stop", ~F.col("is_test") & (place <= size))
+
+
+def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES, early_stopping: bool = True,
         **settings) -> tuple[GBTRegressionModel, DataFrame, DataFrame, list[str]]:
     """``(model, prepared rows, target statistics, features)``.
 
-    With ``validation``, rows where that column is true decide when boosting stops early.
+    With ``early_stopping``, the last walk-forward block of the training rows decides when boosting
+    ends; the trees learn from the rows before it.
     """
     rows, target, kept = _assembled(df, features, keys)
-    rows = materialise(rows, "boosting")
+    rows = materialise(last_block(rows, keys), "boosting")
     learner = GBTRegressor(featuresCol="x", labelCol="y", predictionCol="y_hat", **{**DEFAULTS, **settings})
-    if validation:
-        learner = learner.setValidationIndicatorCol(validation)
-    return learner.fit(rows.filter(~F.col("is_test"))), rows, target, kept
+    train = rows.filter(~F.col("is_test"))
+    if early_stopping and not train.filter("_stop").isEmpty():
+        learner = learner.setValidationIndicatorCol("_stop")
+    return learner.fit(train), rows, target, kept
 
 
 def fit_predict(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES, **settings) -> DataFrame:

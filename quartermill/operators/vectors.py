@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from quartermill.functions.skew import spread
 
-# Block sizes of the scoring job: a task holds one user block, one item block and their seen pairs.
-USER_BLOCK = 2048
-ITEM_BLOCK = 8192
-CHUNK_ROWS = 256
+# Block sizes of the scoring job: a task holds one user block, one item block and their seen pairs. Each
+# side is copied once per block of the other, so blocks are as large as a task's memory allows (vectors of
+# 100 numbers: 13 and 26 MB); the score matrix is bounded by the chunk.
+USER_BLOCK = 16_384
+ITEM_BLOCK = 32_768
+CHUNK_ROWS = 128
 SCORE_DIGITS = 9
 MAX_TASKS = 100_000
 
@@ -76,14 +78,10 @@ def normalise(df: DataFrame, vec: str = "vec") -> DataFrame:
         vec, F.transform(vec, lambda x: x / F.col("_norm"))).drop("_norm")
 
 
-def _blocked(users: DataFrame, items: DataFrame, seen: DataFrame | None):
+def _blocked(users: DataFrame, items: DataFrame, seen: DataFrame | None, user_block: int, item_block: int):
     """Both sides keyed by (user block, item block); block numbers derive from the ids alone."""
-    n_users, n_items = users.count(), items.count()
-    item_blocks = max(1, math.ceil(n_items / ITEM_BLOCK))
-    # blocks down to a quarter of the size as long as cores would stay idle; items are copied per block
-    cores = users.sparkSession.sparkContext.defaultParallelism
-    finer = min(math.ceil(cores / item_blocks), math.ceil(n_users / max(USER_BLOCK // 4, 1)))
-    user_blocks = max(1, math.ceil(n_users / USER_BLOCK), finer)
+    item_blocks = max(1, math.ceil(items.count() / item_block))
+    user_blocks = max(1, math.ceil(users.count() / user_block))
     ub = F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int")
     ib = F.pmod(F.xxhash64("item_id"), F.lit(item_blocks)).cast("int")
     every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
@@ -124,7 +122,8 @@ def _scores(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarra
         yield ids[start:start + CHUNK_ROWS], items, scores
 
 
-def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
+def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None,
+                 user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """``(user_id, item_id, score, rank)``: the k best unseen items of each user by dot product.
 
     Users and items are hashed into blocks and every (user block, item block) is one task of bounded
@@ -133,7 +132,7 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
     Scores are compared to nine decimals, then by item id descending, so neither the blocking nor
     the order of addition can change a ranking.
     """
-    left, right = _blocked(users, items, seen)
+    left, right = _blocked(users, items, seen, user_block, item_block)
     user_type = users.schema["user_id"].dataType.simpleString()
     item_type = items.schema["item_id"].dataType.simpleString()
     schema = f"user_id {user_type}, item_id {item_type}, score double"
@@ -158,9 +157,9 @@ def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | N
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def score_range(users: DataFrame, items: DataFrame) -> DataFrame:
+def score_range(users: DataFrame, items: DataFrame, user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """``(user_id, lo, hi)``: smallest and largest score of each user over all items."""
-    left, right = _blocked(users, items, None)
+    left, right = _blocked(users, items, None, user_block, item_block)
     user_type = users.schema["user_id"].dataType.simpleString()
 
     def extremes(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:

@@ -37,7 +37,7 @@ cte("annual", """
   FROM lm GROUP BY 1""", "lm")
 cte("interest_monthly", """
   SELECT date, CAST(SUM(discount) AS DOUBLE) * 100 / CAST(SUM(lines) AS DOUBLE) AS interest_rate_90d
-  FROM lm WHERE date >= DATE '2000-10-01' GROUP BY date""", "lm")
+  FROM lm GROUP BY date""", "lm")
 cte("cpi_quarterly", "SELECT * FROM cpi_monthly WHERE month(date) IN (3, 6, 9, 12)", "cpi_monthly")
 cte("annual_gap", """
   SELECT date, unemployment_rate AS v, lead(unemployment_rate) OVER (ORDER BY date) AS nv,
@@ -84,7 +84,8 @@ cte("mfeats_base", features("merged"), "merged")
 cte("mfeats", """
   SELECT *, lag(y, 1) OVER s / nullif(cpi / coalesce(first_value(cpi IGNORE NULLS) OVER whole, 1.0), 0) AS y_real,
          lag(unemployment_rate, 1) OVER s AS unemployment_rate_lag1,
-         lag(unemployment_rate, 4) OVER s AS unemployment_rate_lag4
+         lag(unemployment_rate, 4) OVER s AS unemployment_rate_lag4,
+         lag(interest_rate_90d, 1) OVER s AS interest_rate_90d_lag1, lag(interest_rate_90d, 4) OVER s AS interest_rate_90d_lag4
   FROM mfeats_base
   WINDOW s AS (PARTITION BY series_id ORDER BY date),
          whole AS (PARTITION BY series_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",

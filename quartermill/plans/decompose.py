@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from quartermill.functions.stopwords import ENGLISH
 from quartermill.operators import (
-    accuracy, conform, ensemble, features, linear, nmf, recommend, scaling, spectral, text, trees, vectors,
+    accuracy, ensemble, features, linear, nmf, ranking, recommend, scaling, spectral, text, trees, vectors, verdicts,
 )
 from quartermill.plans import inputs
 from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.models import model_rows
-from quartermill.plans.purchases import K, catalogue, item_text, kept, train_test
+from quartermill.plans.purchases import K, catalogue, item_text, kept, popularity_order, train_test
 from quartermill.session import materialise
 
 DIM = 64
@@ -198,7 +198,7 @@ def pca_sweep(spark, sf):
         scores = spectral.pca_transform(rows, "vec", mean, components[:, :n])
         wide = scores.select("series_id", "date", F.col("actual").alias("y"), "is_test",
                              *[F.col("vec")[j].alias(f"pc_{j + 1}") for j in range(n)])
-        predicted = trees.fit_predict(wide, [f"pc_{j + 1}" for j in range(n)], maxIter=5)
+        predicted = trees.fit_predict(wide, [f"pc_{j + 1}" for j in range(n)])
         one = accuracy.evaluate_forecast(predicted).agg(
             F.avg("mape").alias("gbt_mape"), F.avg("rmse").alias("gbt_rmse"), F.avg("da").alias("gbt_da"))
         one = one.select(F.lit(n).alias("n_components"), "*")
@@ -206,6 +206,16 @@ def pca_sweep(spark, sf):
     return shares.join(ridge, "n_components").join(trees_rows, "n_components")
 
 
+@query("leakage_verdict_sweep")
+def leakage_verdict_sweep(spark, sf):
+    """The gates on the sweep of components: its best error, and ridge on all components against itself."""
+    sweep = materialise(pca_sweep(spark, sf), "sweep")
+    size = sweep.agg(F.max("n_components")).scalar()
+    baseline = sweep.filter(F.col("n_components") == size).select(F.col("ridge_mape").alias("mape"))
+    expected = baseline.first()["mape"]
+    return verdicts.leakage_verdict(sweep.select(F.col("ridge_mape").alias("mape")), baseline, leaked=0.0, expected=expected)
+
+
 # ---- industry topics -------------------------------------------------------------------------
 
 
@@ -239,17 +249,16 @@ def topic_ablation(spark, sf):
                                   with_cv=False).drop("verdict")
 
 
-_GIVEN = ["Brand#1", "Brand#2", "Brand#3"]
+_GIVEN = inputs.BRANDS
 
 
 @query("join_lagged_topics", with_("split industry", """
 , w AS (SELECT date, """ + ", ".join(f"min(value) FILTER (industry = '{b}') AS t{i}" for i, b in enumerate(_GIVEN, 1)) + """
         FROM industry GROUP BY date),
-l AS (SELECT date, lag(t1) OVER (ORDER BY date) AS t1_lag1, lag(t2) OVER (ORDER BY date) AS t2_lag1,
-             lag(t3) OVER (ORDER BY date) AS t3_lag1 FROM w)
-SELECT series_id, date, t1_lag1, t2_lag1, t3_lag1 FROM split LEFT JOIN l USING (date)"""))
+l AS (SELECT date, """ + ", ".join(f"lag(t{i}) OVER (ORDER BY date) AS t{i}_lag1" for i in range(1, len(_GIVEN) + 1)) + """ FROM w)
+SELECT series_id, date, """ + ", ".join(f"t{i}_lag1" for i in range(1, len(_GIVEN) + 1)) + """ FROM split LEFT JOIN l USING (date)"""))
 def join_lagged_topics(spark, sf):
-    names = ["t1", "t2", "t3"]
+    names = [f"t{i}" for i in range(1, len(_GIVEN) + 1)]
     wide = inputs.industry(spark, sf).groupBy("date").pivot("industry", _GIVEN).agg(F.first("value"))
     weights = wide.toDF("date", *names)
     rows = model_rows(spark, sf).select("series_id", "date", "is_test")
@@ -257,17 +266,17 @@ def join_lagged_topics(spark, sf):
 
 
 @query("topic_coverage", with_("split industry", """
-, w AS (SELECT date, min(value) FILTER (industry = 'Brand#1') AS t1, min(value) FILTER (industry = 'Brand#2') AS t2
-        FROM industry WHERE date >= DATE '1998-01-01' GROUP BY date),
-l AS (SELECT date, lag(t1) OVER (ORDER BY date) AS t1, lag(t2) OVER (ORDER BY date) AS t2 FROM w)
-SELECT is_test, round(least(avg((t1 IS NOT NULL)::INTEGER), avg((t2 IS NOT NULL)::INTEGER)), 6) AS coverage
+, w AS (SELECT date, """ + ", ".join(f"min(value) FILTER (industry = '{b}') AS t{i}" for i, b in enumerate(_GIVEN, 1)) + """
+        FROM industry GROUP BY date),
+l AS (SELECT date, """ + ", ".join(f"lag(t{i}) OVER (ORDER BY date) AS t{i}" for i in range(1, len(_GIVEN) + 1)) + """ FROM w)
+SELECT is_test, round(least(""" + ", ".join(f"avg((t{i} IS NOT NULL)::INTEGER)" for i in range(1, len(_GIVEN) + 1)) + """), 6) AS coverage
 FROM split LEFT JOIN l USING (date) GROUP BY 1"""))
 def topic_coverage(spark, sf):
-    """Topics known only from 1998 on cover part of the training rows."""
-    wide = conform.filter_start_date(inputs.industry(spark, sf), "1998-01-01").groupBy("date").pivot(
-        "industry", _GIVEN[:2]).agg(F.first("value")).toDF("date", "t1", "t2")
-    rows = nmf.join_lagged_topics(model_rows(spark, sf).select("series_id", "date", "is_test"), wide, ["t1", "t2"])
-    return rounded(nmf.topic_coverage(rows, ["t1", "t2"]), coverage=6)
+    """Topics lag by a quarter, so they cover all but the first rows."""
+    names = [f"t{i}" for i in range(1, len(_GIVEN) + 1)]
+    wide = inputs.industry(spark, sf).groupBy("date").pivot("industry", _GIVEN).agg(F.first("value")).toDF("date", *names)
+    rows = nmf.join_lagged_topics(model_rows(spark, sf).select("series_id", "date", "is_test"), wide, names)
+    return rounded(nmf.topic_coverage(rows, names), coverage=6)
 
 
 @query("top_terms", with_("industry", """
@@ -344,6 +353,59 @@ def rec_als(spark, sf):
     return recommend.rec_factors(users, items, train, test, K)
 
 
+def fitted_recs(spark: SparkSession, sf: str, k: int = 50) -> DataFrame:
+    """Lists of the five fitted recommenders, in long form and written once."""
+
+    def build() -> DataFrame:
+        train, test = train_test(spark, sf)
+        users, items, _ = svd_factors(spark, sf)
+        als = recommend.als_factors(train, kept(spark, sf))
+        topics = item_topics(spark, sf)[0]
+        lists = {
+            "Popularity": recommend.rec_popularity(train, test, k, popularity_order(spark, sf)),
+            "Truncated SVD": recommend.rec_factors(users, items, train, test, k),
+            "ALS": recommend.rec_factors(*als, train, test, k),
+            "Content-based": recommend.rec_content(train, topics, test, TEXT_TOPICS, k),
+            "Hybrid": recommend.rec_hybrid(users, items, topics, train, test, SVD_RANK, TEXT_TOPICS, k),
+        }
+        out = None
+        for model, recs in lists.items():
+            one = recs.select(F.lit(model).alias("model"), "user_id", "item_id", F.col("rank").cast("int").alias("rank"), "score")
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    return inputs.stage(spark, ("fitted_recs", sf), build)
+
+
+@query("evaluate_fitted")
+def evaluate_fitted(spark, sf):
+    """Ranking metrics of the five fitted recommenders and their verdict against popularity."""
+    scores = ranking.evaluate_all(fitted_recs(spark, sf), train_test(spark, sf)[1])
+    return scores.join(ranking.beat_popularity(scores), "model")
+
+
+@query("fitted_lists", with_("train test pairs", """
+, items AS (SELECT COUNT(DISTINCT item_id) AS n FROM pairs),
+seen AS (SELECT user_id, COUNT(DISTINCT item_id) AS n FROM train GROUP BY 1),
+wanted AS (SELECT CAST(SUM(least(50, items.n - coalesce(seen.n, 0))) AS BIGINT) AS n_rows, COUNT(*) AS n_users
+           FROM (SELECT DISTINCT user_id FROM test) t LEFT JOIN seen USING (user_id), items)
+SELECT model, n_rows, n_users, CAST(0 AS BIGINT) AS n_seen, CAST(0 AS BIGINT) AS n_repeated, CAST(0 AS BIGINT) AS n_misplaced
+FROM wanted, (VALUES ('Popularity'), ('Truncated SVD'), ('ALS'), ('Content-based'), ('Hybrid')) AS m(model)"""))
+def fitted_lists(spark, sf):
+    """Every list is whole: as long as asked for or as there are unseen items, nothing seen or twice, best first."""
+    recs, (train, _) = fitted_recs(spark, sf), train_test(spark, sf)
+    seen = recs.join(train.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_semi").groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_seen"))
+    order = Window.partitionBy("model", "user_id").orderBy(F.desc("score"), F.asc("rank"))
+    placed = recs.withColumn("_at", F.row_number().over(order))
+    whole = placed.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"),
+        (F.count(F.lit(1)) - F.countDistinct("user_id", "item_id")).alias("n_repeated"),
+        F.count_if(F.col("_at") != F.col("rank")).alias("n_misplaced"))
+    return whole.join(seen, "model", "left").fillna(0, ["n_seen"]).select(
+        "model", "n_rows", "n_users", "n_seen", "n_repeated", "n_misplaced")
+
+
 @query("rec_content_topics")
 def rec_content_topics(spark, sf):
     train, test = train_test(spark, sf)

@@ -11,6 +11,8 @@ from quartermill.functions.periods import month_label, quarter_label
 from quartermill.session import materialise
 
 MONEY = "decimal(18,2)"
+# The labels of the industry table, as the pivot needs them: all brands of the parts table.
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 _stages: dict[tuple, DataFrame] = {}
 
@@ -115,11 +117,10 @@ def annual_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interest_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly mean discount in percent, known only from October 2000 on (a sparse series)."""
+    """Monthly mean discount in percent."""
     rate = F.sum("discount").cast("double") * 100 / F.sum("lines").cast("double")
     return (
         lineitem_monthly(spark, sf)
-        .filter(F.col("date") >= F.lit("2000-10-01").cast("date"))
         .groupBy("date")
         .agg(rate.alias("interest_rate_90d"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quartermill.operators import accuracy, ensemble, features, forecast, linear, smoothing, splits, trees, verdicts
@@ -11,8 +11,6 @@ from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.timeseries import _MODELS_SQL, model_scores, split, staged_merged, staged_panel
 
 HORIZON = 8
-# Boosting rounds of the registered queries; the library default is 200.
-ROUNDS = 20
 
 cte("one_stats", """
   SELECT series_id, avg(y_lag_1) AS m, CASE WHEN stddev_pop(y_lag_1) = 0 THEN 1 ELSE stddev_pop(y_lag_1) END AS s,
@@ -66,13 +64,13 @@ def elasticnet_one_feature(spark, sf):
 @query("gbt_fit_predict")
 def gbt_fit_predict(spark, sf):
     df = model_rows(spark, sf)
-    return trees.fit_predict(df, features.feature_columns(df), maxIter=ROUNDS)
+    return trees.fit_predict(df, features.feature_columns(df))
 
 
 @query("top_importance")
 def top_importance(spark, sf):
     df = model_rows(spark, sf)
-    model, _, _, names = trees.fit(df, features.feature_columns(df), maxIter=ROUNDS)
+    model, _, _, names = trees.fit(df, features.feature_columns(df))
     return trees.importance(model, names, spark)
 
 
@@ -139,10 +137,55 @@ def trend_season_regression(spark, sf):
 def stacking(spark, sf):
     """Trees, ridge and elastic net below, ridge above."""
     df = model_rows(spark, sf)
-    base = {"gbt": {"maxIter": 5}, "ridge": {"alpha": 1.0}, "elasticnet": {}}
+    base = {"gbt": {}, "ridge": {"alpha": 1.0}, "elasticnet": {}}
     return ensemble.stacking(df, features.feature_columns(df), base)
 
 
+def fitted_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    """``(model, series_id, date, y, y_hat)`` of every fitted forecaster on the hold-out, written once."""
+
+    def build() -> DataFrame:
+        df, own = model_rows(spark, sf), splits.holdout_split(staged_panel(spark, sf), HORIZON)
+        names = features.feature_columns(df)
+        forecasts = {
+            "ridge": linear.fit_predict(df, names, "ridge"), "elasticnet": linear.fit_predict(df, names, "elasticnet"),
+            "gbt": trees.fit_predict(df, names), "holt_winters": smoothing.holt_winters(own),
+            "seasonal_ar": linear.seasonal_ar_predict(own), "trend_season": linear.trend_season_fit_predict(own),
+        }
+        out = None
+        for model, rows in forecasts.items():
+            one = rows.select(F.lit(model).alias("model"), "series_id", "date", "y", "y_hat")
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    return inputs.stage(spark, ("fitted_forecasts", sf), build)
+
+
+@query("leaderboard_fitted")
+def leaderboard_fitted(spark, sf):
+    """The fitted forecasters by mean error over the series, best first, and their place by MAPE."""
+    scores = accuracy.evaluate_forecast(fitted_forecasts(spark, sf), ["model", "series_id"])
+    means = scores.groupBy("model").agg(*[F.avg(m).alias(m) for m in ("rmse", "mae", "mape", "da")])
+    place = F.row_number().over(Window.orderBy("mape", "model"))  # one row per model
+    return accuracy.leaderboard(means.withColumn("mape_rank", place))
+
+
+@query("best_model_fitted")
+def best_model_fitted(spark, sf):
+    return accuracy.best_model(accuracy.evaluate_forecast(fitted_forecasts(spark, sf), ["model", "series_id"]), keys=["series_id"])
+
+
+@query("forecast_rows", with_("split", """
+SELECT model, series_id, COUNT(*) AS n_rows, MIN(date) AS first_date, round(SUM(y), 2) AS total, COUNT(*) AS n_forecasts
+FROM split, (VALUES ('ridge'), ('elasticnet'), ('gbt'), ('holt_winters'), ('seasonal_ar'), ('trend_season')) AS m(model)
+WHERE is_test GROUP BY 1, 2"""))
+def forecast_rows(spark, sf):
+    """Every fitted model answers every held-out row once."""
+    return rounded(fitted_forecasts(spark, sf).groupBy("model", "series_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first_date"), F.sum(F.col("y").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.count("y_hat").alias("n_forecasts")), total=2)
+
+
 @query("param_search")
 def param_search(spark, sf):
     trials = ensemble.random_trials(30, {"alpha": (1e-3, 10.0, "log"), "l1_ratio": (0.05, 0.95, "linear")})
@@ -161,7 +204,7 @@ def exog_ablation(spark, sf):
 def exog_ablation_trees(spark, sf):
     df = model_rows(spark, sf)
     subsets = {"all": features.feature_columns(df), "own": features.feature_columns(df, "own")}
-    return ensemble.exog_ablation(df, subsets, "gbt", settings={"maxIter": ROUNDS}, with_cv=False)
+    return ensemble.exog_ablation(df, subsets, "gbt")
 
 
 # ---- forecasts beyond the data ---------------------------------------------------------------

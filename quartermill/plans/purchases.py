@@ -266,18 +266,17 @@ def log_weight(spark, sf):
 
 
 @query("item_meta", with_("fi5", """
-SELECT item_id, first(description ORDER BY n DESC, description) AS description, round(sum(p) / sum(n), 6) AS price
-FROM (SELECT item_id, description, COUNT(*) AS n, SUM(price) AS p FROM fi5 GROUP BY 1, 2) GROUP BY 1"""))
+SELECT item_id, first(description ORDER BY n DESC, description) AS description, round(CAST(sum(p) AS DOUBLE) / sum(n), 6) AS price
+FROM (SELECT item_id, description, COUNT(*) AS n, SUM(CAST(price AS DECIMAL(28,9))) AS p FROM fi5 GROUP BY 1, 2) GROUP BY 1"""))
 def item_meta(spark, sf):
     return rounded(interactions.item_meta(cleaned(spark, sf, describe=True), kept(spark, sf)), price=6)
 
 
 @query("lookup_label", with_("train", """
-SELECT item_id, COUNT(*) AS n_users, coalesce(MIN(CASE WHEN p_size <= 25 THEN p_name END), '') AS description
+SELECT item_id, COUNT(*) AS n_users, coalesce(MIN(p_name), '') AS description
 FROM train JOIN part ON CAST(p_partkey AS VARCHAR) = item_id GROUP BY 1"""))
 def lookup_label(spark, sf):
-    """Only part of the catalogue has a label here; the rest gets the empty text."""
-    labels = inputs.table(spark, sf, "part").filter("p_size <= 25").select(
+    labels = inputs.table(spark, sf, "part").select(
         F.col("p_partkey").cast("string").alias("item_id"), F.col("p_name").alias("description"))
     counts = train_test(spark, sf)[0].groupBy("item_id").agg(F.count(F.lit(1)).alias("n_users"))
     return release.lookup_label(counts, labels, "item_id", "description")

@@ -105,9 +105,10 @@ def cpi_adjust(spark, sf):
 
 @query("exog_lags", with_("mfeats", """
 SELECT series_id, date, round(unemployment_rate_lag1, 6) + 0.0 AS unemployment_rate_lag1,
-       round(unemployment_rate_lag4, 6) + 0.0 AS unemployment_rate_lag4 FROM mfeats"""))
+       round(unemployment_rate_lag4, 6) + 0.0 AS unemployment_rate_lag4, round(interest_rate_90d_lag1, 6) + 0.0 AS interest_rate_90d_lag1,
+       round(interest_rate_90d_lag4, 6) + 0.0 AS interest_rate_90d_lag4 FROM mfeats"""))
 def exog_lags(spark, sf):
-    """The sparse interest rate and the empty employment count fall below the coverage gate."""
+    """The empty employment count falls below the coverage gate."""
     df = features.exog_lags(staged_merged(spark, sf))
     lagged = [c for c in df.columns if "_lag" in c]
     return rounded(df.select("series_id", "date", *lagged), **{c: 6 for c in lagged})
@@ -134,7 +135,7 @@ def nan_policy(spark, sf):
 
 
 _EXOG = ["cpi", "unemployment_rate", "interest_rate_90d", "employment_count",
-         "unemployment_rate_lag1", "unemployment_rate_lag4"]
+         "unemployment_rate_lag1", "unemployment_rate_lag4", "interest_rate_90d_lag1", "interest_rate_90d_lag4"]
 _SUBSETS = {
     "all": _ENGINEERED + ["y_real"] + _EXOG,
     "own": _ENGINEERED + ["y_real"],
@@ -261,7 +262,7 @@ def merge_exog(spark, sf):
     return rounded(merged(spark, sf), cpi=6, unemployment_rate=6, interest_rate_90d=6)
 
 
-_BRANDS = [f"Brand#{i}" for i in range(1, 16)]
+_BRANDS = inputs.BRANDS
 
 
 @query("pivot_matrix", with_("industry", "SELECT date, " + ", ".join(
@@ -428,11 +429,9 @@ def src_sdmx_period_totals(spark, sf):
 
 
 @query("src_annual_map", with_("annual", """
-SELECT date, unemployment_rate FROM annual WHERE year(date) % 4 <> 0"""))
+SELECT date, unemployment_rate FROM annual"""))
 def src_annual_map(spark, sf):
-    """Leap years are published as null or as text that is no number; both are skipped."""
-    year = F.year("date")
-    cell = F.when(year % 8 == 0, F.lit("no data")).when(year % 4 != 0, F.col("unemployment_rate").cast("string"))
+    year, cell = F.year("date"), F.col("unemployment_rate").cast("string")
     years = inputs.annual_rate(spark, sf).agg(F.map_from_entries(
         F.collect_list(F.struct(year.cast("string"), cell))).alias("years"))
     body = F.to_json(F.struct(F.create_map(F.lit("RATE"), F.create_map(F.lit("AREA"), F.col("years"))).alias("values")))
@@ -612,11 +611,10 @@ def best_model(spark, sf):
 , m AS (SELECT series_id, sqrt(avg((y - y_hat) ** 2)) AS rmse FROM naive GROUP BY 1)
 SELECT series_id, date, round(y_hat, 2) + 0.0 AS y_hat, round(y_hat - coalesce(rmse, y_hat * 0.05) * 1.28, 2) + 0.0 AS lower_80,
        round(y_hat + coalesce(rmse, y_hat * 0.05) * 1.28, 2) + 0.0 AS upper_80
-FROM naive LEFT JOIN (SELECT * FROM m WHERE series_id <> 'BUILDING') m USING (series_id)"""))
+FROM naive LEFT JOIN m USING (series_id)"""))
 def pred_interval_80(spark, sf):
-    """One series has no known error and takes the 5 % fallback."""
     test = naive(spark, sf)
-    errors = test.groupBy("series_id").agg(accuracy.rmse().alias("rmse")).filter("series_id <> 'BUILDING'")
+    errors = test.groupBy("series_id").agg(accuracy.rmse().alias("rmse"))
     df = accuracy.prediction_interval(test.join(errors, "series_id", "left"))
     return df.select("series_id", "date", "y_hat", "lower_80", "upper_80")
 

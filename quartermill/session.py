@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "quartermill", cores: str | int = "*", partitions: int = 8) -> SparkSession:
-    """Single-machine session for tests and the benchmark; clusters bring their own."""
+    """Single-machine session for tests and the benchmark, with scratch space that ends with it; clusters bring their own."""
+    scratch = tempfile.mkdtemp(prefix="quartermill-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -18,6 +22,7 @@ def local_session(app: str = "quartermill", cores: str | int = "*", partitions:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -26,20 +31,21 @@ def local_session(app: str = "quartermill", cores: str | int = "*", partitions:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder of this application that every executor can reach, below ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine: there, driver and
-    executors share one disk. On a cluster an unset folder is an error, never a silent local path.
+    Without that setting it lies in the warehouse, which the executors share as well; never in a
+    temporary folder of one machine.
     """
     conf = spark.sparkContext.getConf()
     named = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="quartermill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    root = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{root.rstrip('/')}/quartermill-{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has written to its scratch folder, wherever that lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_path(spark: SparkSession, label: str) -> str:

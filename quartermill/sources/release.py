@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -81,31 +82,34 @@ def _member_rows(archive: zipfile.ZipFile, member: str, series: str) -> Iterator
                 yield row[period_at].strip(), row[value_at].strip()
 
 
-def archive_series(archives: DataFrame, series: str, value: str = "y") -> DataFrame:
+def archive_series(archives: DataFrame, series: str, value: str = "y", required: bool = True) -> DataFrame:
     """``(path, member, date, value)`` from a binary-file frame ``(path, content)`` of ZIP archives.
 
     Archives are spread over the tasks; inside one, members are streamed in stored order and the
-    first member that holds the series wins.
+    first member that holds the series wins. A member that can't be read is skipped. An archive in
+    which no readable member holds the series fails the job, unless the series is not ``required``.
+    One archive is one row, as a ZIP file can't be read in parts.
     """
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["path", "member", "period", "data_value"]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
+                found = False
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [n for n in archive.namelist() if n.lower().endswith(".csv")]
-                    for member in members:
-                        found, rows = False, []
-                        for period, text in _member_rows(archive, member, series):
-                            found = True
-                            rows.append((path, member, period, text))
-                            if len(rows) >= BATCH_ROWS:
-                                yield pd.DataFrame(rows, columns=columns)
-                                rows = []
+                    for member in (n for n in archive.namelist() if n.lower().endswith(".csv")):
+                        rows = []
+                        try:
+                            rows = [(path, member, *cells) for cells in _member_rows(archive, member, series)]
+                        except (zipfile.BadZipFile, zlib.error, csv.Error, NotImplementedError, EOFError):
+                            continue
+                        for start in range(0, len(rows), BATCH_ROWS):
+                            yield pd.DataFrame(rows[start:start + BATCH_ROWS], columns=columns)
                         if rows:
-                            yield pd.DataFrame(rows, columns=columns)
-                        if found:
+                            found = True
                             break
+                if required and not found:
+                    raise ValueError(f"series '{series}' not found in {path}")
 
     found = archives.select("path", "content").mapInPandas(
         extract, "path string, member string, period string, data_value string"

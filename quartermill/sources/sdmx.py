@@ -29,14 +29,17 @@ def label_date(label: Column) -> Column:
 
 
 def _parsed(messages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys, data sets, first structure; a message without these parts fails the job."""
+    """Keys, data sets, first structure; a message without these parts or without observations fails the job."""
     parsed = messages.select(*keys, F.from_json("body", MESSAGE_SCHEMA).alias("m"))
     structure = F.get(F.col("m.data.structures"), F.lit(0))
     sets = F.col("m.data.dataSets")
     valid = structure.isNotNull() & sets.isNotNull()
     broken = F.raise_error(F.lit("unexpected message structure: no data, structures or dataSets"))
+    filled = F.exists(sets, lambda s: F.exists(F.map_values(s["series"]), lambda o: F.size(o["observations"]) > 0))
+    empty = F.raise_error(F.lit("no observations in the message"))
     # the check sits on the exploded column itself, so no filter can drop a broken message before it
-    checked = F.when(valid, sets).otherwise(broken.cast(parsed.select(sets.alias("s")).schema["s"].dataType))
+    kind = parsed.select(sets.alias("s")).schema["s"].dataType
+    checked = F.when(~valid, broken.cast(kind)).when(F.coalesce(filled, F.lit(False)), sets).otherwise(empty.cast(kind))
     return parsed.select(*keys, structure.alias("structure"), checked.alias("sets"))
 
 

@@ -27,7 +27,9 @@ class ParquetCache:
 
     def load(self, key: str) -> DataFrame | None:
         try:
-            return self._spark.read.parquet(self.path(key))
+            stored = self._spark.read.parquet(self.path(key))
+            stored.write.format("noop").mode("overwrite").save()  # a damaged file shows only when it is read
+            return stored
         except (PySparkException, Py4JJavaError) as exc:
             logger.info("cache miss for %s: %s", key, type(exc).__name__)
             return None

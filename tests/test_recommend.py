@@ -50,21 +50,19 @@ def test_popularity_equals_brute_force_with_a_user_who_has_nearly_everything(spa
 
 
 @pytest.mark.parametrize("blocks", [(2048, 8192), (7, 11)])
-def test_top_k_equals_brute_force_for_any_blocking(spark, monkeypatch, blocks):
-    monkeypatch.setattr(vectors, "USER_BLOCK", blocks[0])
-    monkeypatch.setattr(vectors, "ITEM_BLOCK", blocks[1])
+def test_top_k_equals_brute_force_for_any_blocking(spark, blocks):
     rng = np.random.default_rng(1)
     u, v = rng.integers(-2, 3, (30, 3)).astype(float), rng.integers(-2, 3, (50, 3)).astype(float)  # many ties
     users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user_id bigint, vec array<double>")
     items = spark.createDataFrame([(f"i{i:02d}", x.tolist()) for i, x in enumerate(v)], "item_id string, vec array<double>")
     seen = {(a, f"i{b:02d}") for a in range(30) for b in range(50) if (a * 7 + b) % 5 == 0} | {(3, f"i{b:02d}") for b in range(48)}
     pairs = spark.createDataFrame(sorted(seen), "user_id bigint, item_id string")
-    got = lists(vectors.top_k_scores(users, items, 4, pairs))
+    got = lists(vectors.top_k_scores(users, items, 4, pairs, *blocks))
     scores = u @ v.T
     for a in range(30):
         free = [(scores[a, b], f"i{b:02d}") for b in range(50) if (a, f"i{b:02d}") not in seen]
         assert got[a] == [i for _, i in sorted(free, reverse=True)[:4]]
-    spans = {r["user_id"]: (r["lo"], r["hi"]) for r in vectors.score_range(users, items).collect()}
+    spans = {r["user_id"]: (r["lo"], r["hi"]) for r in vectors.score_range(users, items, *blocks).collect()}
     assert spans == {a: (scores[a].min(), scores[a].max()) for a in range(30)}
 
 

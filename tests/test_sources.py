@@ -40,9 +40,11 @@ def test_message_skips_unknown_times_and_empty_cells(spark):
 
 
 def test_empty_message_and_malformed_message_are_errors(spark):
-    empty = sdmx.observations(messages(spark, message([], {})), "y")
-    with pytest.raises(ValueError):
-        release.require_rows(empty, "no observations")
+    for body in (message([], {}), message(MONTHS, {"0": {"observations": {}}})):
+        with pytest.raises(Exception, match="no observations"):
+            sdmx.observations(messages(spark, body), "y").collect()
+        with pytest.raises(Exception, match="no observations"):
+            sdmx.period_totals(messages(spark, body), "y").collect()
     with pytest.raises(Exception, match="unexpected message structure"):
         sdmx.observations(messages(spark, '{"error": "nope"}'), "y").collect()
 
@@ -148,8 +150,8 @@ def test_merge_refuses_a_repeated_key_and_fills_missing_sources(spark, retail):
     one = retail.select("date", F.lit(1.0).alias("cpi"))
     out = conform.merge_exog(retail, {"cpi": one, "employment_count": None})
     assert out.count() == 24 and out.filter("employment_count IS NOT NULL").count() == 0
-    with pytest.raises(ValueError):
-        conform.merge_exog(retail, {"cpi": one.unionByName(one)})
+    with pytest.raises(Exception, match="more than one row per date"):
+        conform.merge_exog(retail, {"cpi": one.unionByName(one)}).collect()
 
 
 @pytest.mark.parametrize("date, y, rule", [
@@ -181,3 +183,30 @@ def test_pivot_needs_enough_columns(spark):
     df = spark.createDataFrame([(dt.date(2020, 1, 1), "a", 1.0)], "date date, industry string, value double")
     with pytest.raises(ValueError):
         conform.pivot_matrix(df, ["a", "b"])
+
+
+def test_archive_skips_a_damaged_member_and_misses_a_series_aloud(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("bad.csv", "Series_reference,Period,Data_value\n" + "S1,2020.03,1\n" * 500)
+        z.writestr("good.csv", "Series_reference,Period,Data_value\nS1,2020.06,2\n")
+    raw = bytearray((tmp_path / "a.zip").read_bytes())
+    raw[40:50] = b"\xff" * 10  # inside the packed data of the first member
+    (tmp_path / "a.zip").write_bytes(bytes(raw))
+    archives = release.read_archives(spark, str(tmp_path / "a.zip"))
+    assert [(r["member"], r["y"]) for r in release.archive_series(archives, "S1").collect()] == [("good.csv", 2.0)]
+    with pytest.raises(Exception, match="series 'S9' not found"):
+        release.archive_series(archives, "S9").collect()
+    assert release.archive_series(archives, "S9", required=False).count() == 0
+
+
+def test_cache_fetches_again_when_a_data_file_is_damaged(spark, tmp_path, retail):
+    cache = store.ParquetCache(spark, str(tmp_path / "cache"))
+    cache.get("retail", lambda: retail.repartition(1))
+    part = next((tmp_path / "cache" / "retail").glob("part-*.parquet"))
+    raw = bytearray(part.read_bytes())
+    raw[8:200] = b"\x00" * 192  # pages are gone, the footer still stands
+    part.write_bytes(bytes(raw))
+    for crc in (tmp_path / "cache" / "retail").glob(".part-*.crc"):
+        crc.write_bytes(b"")
+    assert cache.load("retail") is None
+    assert cache.get("retail", lambda: retail).count() == 24
