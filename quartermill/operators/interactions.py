@@ -137,8 +137,12 @@ def bm25_weights(train: DataFrame, users: DataFrame, k1: float = 100.0, b: float
     return train.join(lengths, "user_id").withColumn("bm25", saturated).drop("_len")
 
 
-def leakage_audit(full: DataFrame, train: DataFrame, test: DataFrame, recs: DataFrame) -> DataFrame:
-    """``(check, n_violations)``; every count has to be zero."""
+def leakage_audit(full: DataFrame, train: DataFrame, test: DataFrame, recs: DataFrame,
+                  popularity: DataFrame | None = None) -> DataFrame:
+    """``(check, n_violations)``; every count has to be zero.
+
+    With ``popularity`` (``item_id, popularity``), its numbers must be those of the training rows alone.
+    """
     key = ["user_id", "item_id"]
     sizes = full.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.max("last_at").alias("_last"))
     latest = full.join(test, key, "left_semi").join(sizes, "user_id")
@@ -149,6 +153,10 @@ def leakage_audit(full: DataFrame, train: DataFrame, test: DataFrame, recs: Data
         "seen_recommended": recs.join(train, key, "left_semi"),
         "recommended_outside_catalogue": recs.join(full.select("item_id").distinct(), "item_id", "left_anti"),
     }
+    if popularity is not None:
+        own = train.groupBy("item_id").agg(F.sum(F.col("weight").cast("decimal(20,9)")).cast("double").alias("_own"))
+        apart = F.abs(F.col("popularity") - F.coalesce("_own", F.lit(0.0))) > 1e-6
+        checks["popularity_beyond_train"] = popularity.join(own, "item_id", "left").filter(apart)
     rows = None
     for name, bad in checks.items():
         one = bad.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("check"), "n_violations")

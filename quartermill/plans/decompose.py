@@ -339,6 +339,47 @@ def truncated_svd_factors(spark, sf):
         items.select(F.lit("item").alias("side"), F.col("item_id").alias("id"), "vec"))
 
 
+@query("interaction_spectrum", with_("train", f"""
+SELECT round(SUM(weight * weight), 4) AS energy, CAST({SVD_RANK} AS INTEGER) AS n_components, true AS within FROM train"""))
+def interaction_spectrum(spark, sf):
+    """Energy of the interaction matrix; the truncated spectrum must stay within it."""
+    shares = svd_shares(spark, sf)
+    energy = train_test(spark, sf)[0].agg(F.sum(F.col("weight") * F.col("weight"))).scalar()
+    out = shares.agg(F.count(F.lit(1)).cast("int").alias("n_components"), F.max("cumulative").alias("held"))
+    return rounded(out.select(energy.alias("energy"), "n_components", (F.col("held") <= 1.0).alias("within")), energy=4)
+
+
+def svd_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """``(k, sigma, cumulative)``: share of the whole matrix that the first k components explain."""
+    train, _ = train_test(spark, sf)
+    _, _, sigma = svd_factors(spark, sf)
+    total = train.agg(F.sum(F.col("weight") * F.col("weight")).alias("s")).first()["s"]
+    held = [float(x) for x in (sigma**2).cumsum() / total]
+    return spark.createDataFrame([(k + 1, float(s), c) for k, (s, c) in enumerate(zip(sigma, held))], "k int, sigma double, cumulative double")
+
+
+@query("svd_variance")
+def svd_variance(spark, sf):
+    """Explained share per component, and the components needed for 90 and 95 %; NULL where the rank does not suffice."""
+    shares = svd_shares(spark, sf)
+    return shares.withColumns({f"k{p}": spectral.components_needed(shares, p / 100).scalar() for p in (90, 95)})
+
+
+@query("text_topic_terms")
+def text_topic_terms(spark, sf):
+    """The strongest words of every text topic."""
+    return nmf.top_terms(nmf.topic_table(spark, item_topics(spark, sf)[1]), 10)
+
+
+@query("fitted_loadings")
+def fitted_loadings(spark, sf):
+    """Strongest loadings and the dominant feature of every component of the fitted lag features."""
+    rows, _, names = pooled_matrix(spark, sf, "engineered")
+    _, _, components = spectral.pca_fit(rows.filter(~F.col("is_test")), "vec", len(names))
+    table = spectral.loadings_table(spark, components, names)
+    return spectral.top_loadings(table).join(spectral.dominant_feature(table).withColumnRenamed("feature", "dominant"), "k")
+
+
 @query("rec_svd")
 def rec_svd(spark, sf):
     train, test = train_test(spark, sf)

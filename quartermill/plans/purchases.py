@@ -352,10 +352,12 @@ UNION ALL SELECT 'test_user_with_one_item', (SELECT COUNT(*) FROM test SEMI JOIN
 UNION ALL SELECT 'held_out_not_latest', (SELECT COUNT(*) FROM test t WHERE NOT EXISTS (SELECT 1 FROM fi5 f JOIN lasts l
   ON l.user_id = f.user_id AND l.d = f.invoice_date WHERE f.user_id = t.user_id AND f.item_id = t.item_id))
 UNION ALL SELECT 'seen_recommended', (SELECT COUNT(*) FROM rec_pop JOIN train USING (user_id, item_id))
-UNION ALL SELECT 'recommended_outside_catalogue', (SELECT COUNT(*) FROM rec_pop ANTI JOIN items USING (item_id))"""))
+UNION ALL SELECT 'recommended_outside_catalogue', (SELECT COUNT(*) FROM rec_pop ANTI JOIN items USING (item_id))
+UNION ALL SELECT 'popularity_beyond_train', (SELECT COUNT(*) FROM popular p LEFT JOIN (SELECT item_id, SUM(weight) AS own FROM train GROUP BY 1) t
+  USING (item_id) WHERE abs(p.popularity - coalesce(own, 0)) > 1e-6)"""))
 def leakage_audit(spark, sf):
     train, test = train_test(spark, sf)
-    return interactions.leakage_audit(kept(spark, sf), train, test, popularity_recs(spark, sf, K))
+    return interactions.leakage_audit(kept(spark, sf), train, test, popularity_recs(spark, sf, K), popularity_order(spark, sf))
 
 
 # ---- recommenders ----------------------------------------------------------------------------

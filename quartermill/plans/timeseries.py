@@ -452,20 +452,22 @@ def sink_merged(spark, sf):
     return rounded(store.read_merged(spark, path).select("series_id", "date", "y", "cpi"), cpi=6)
 
 
-@query("sink_results_csv", f"SELECT series_id AS model, n, rmse, mape FROM ({FLAGSHIP_SQL})")
+@query("sink_results_csv", f"""SELECT series_id AS model, n, rmse, mape FROM ({FLAGSHIP_SQL})
+UNION ALL SELECT 'mean', NULL, round(avg(rmse), 6), round(avg(mape), 6) FROM ({FLAGSHIP_SQL})""")
 def sink_results_csv(spark, sf):
     path = new_path(spark, "results")
     results = naive_accuracy(spark, sf).select(F.col("series_id").alias("model"), "n", "rmse", "mape")
-    store.write_results_csv(results, path)
+    store.write_results_csv(rounded(store.with_summary(results, ["rmse", "mape"]), rmse=6, mape=6), path)
     return spark.read.option("header", True).schema("model string, n bigint, rmse double, mape double").csv(path)
 
 
 @query("run_metrics_log", with_("feats", """
-, runs AS (SELECT series_id AS experiment, strftime(date, '%Y') AS run_id, MAX(date) AS start_time,
+, metrics AS (SELECT series_id AS experiment, strftime(date, '%Y') AS run_id, MAX(date) AS start_time,
                   round(avg(abs(y - y_lag_4) / (abs(y) + 1e-8)) * 100, 6) AS value
-           FROM feats WHERE y_lag_4 IS NOT NULL GROUP BY 1, 2)
-SELECT experiment, run_id, CAST(start_time AS DATE) AS run_date, 'naive' AS model, 'mape' AS metric, value
-FROM runs QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC) = 1"""))
+           FROM feats WHERE y_lag_4 IS NOT NULL GROUP BY 1, 2),
+last AS (SELECT * FROM metrics QUALIFY row_number() OVER (PARTITION BY experiment ORDER BY start_time DESC) = 1)
+SELECT experiment, run_id, CAST(start_time AS DATE) AS run_date, 'naive' AS model, 'mape' AS metric, value FROM last
+UNION ALL SELECT experiment, run_id, CAST(start_time AS DATE), 'naive', 'param:lag', 4.0 FROM last"""))
 def run_metrics_log(spark, sf):
     """One run per series and year of the naive forecast; the latest run of each is read back."""
     path = new_path(spark, "runs")
@@ -474,6 +476,7 @@ def run_metrics_log(spark, sf):
         F.max("date").cast("timestamp").alias("start_time"), accuracy.mape().alias("value"))
     runs = runs.select("experiment", "run_id", "start_time", F.lit("naive").alias("model"),
                        F.lit("mape").alias("metric"), "value")
+    runs = store.with_parameters(runs, {"lag": 4})
     store.append_run(runs.filter("run_id < '2000'"), path)
     store.append_run(runs.filter("run_id >= '2000'"), path)
     last = store.latest_run(store.read_runs(spark, path))

@@ -74,11 +74,25 @@ def write_results_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def with_summary(results: DataFrame, columns: list[str], label: str = "mean", name: str = "model") -> DataFrame:
+    """The rows per model and one more with the mean of each column over them."""
+    mean = results.agg(*[F.avg(c).alias(c) for c in columns]).withColumn(name, F.lit(label))
+    rest = [F.lit(None).cast(results.schema[c].dataType).alias(c) for c in results.columns if c not in (*columns, name)]
+    return results.unionByName(mean.select(name, *columns, *rest))
+
+
 def append_run(df: DataFrame, path: str) -> None:
     """Append metric rows of one or more runs; columns as in ``RUN_SCHEMA``."""
     df.select(*[c.split()[0] for c in RUN_SCHEMA.split(", ")]).write.mode("append").parquet(path)
 
 
+def with_parameters(runs: DataFrame, parameters: dict[str, float]) -> DataFrame:
+    """Metric rows of runs and, for each run and model, a row per parameter, named ``param:<name>``."""
+    named = [F.struct(F.lit(f"param:{k}").alias("metric"), F.lit(float(v)).alias("value")) for k, v in parameters.items()]
+    one = runs.select("experiment", "run_id", "start_time", "model").distinct().withColumn("_p", F.explode(F.array(*named)))
+    return runs.unionByName(one.select("experiment", "run_id", "start_time", "model", "_p.metric", "_p.value"))
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).parquet(path)
 

@@ -174,6 +174,11 @@ def test_split_removes_the_whole_cell_and_audit_is_clean(spark):
     recs = recommend.rec_popularity(train, test, 3)
     audit = interactions.leakage_audit(full, train, test, recs).collect()
     assert len(audit) == 5 and all(r["n_violations"] == 0 for r in audit)
+    whole = full.groupBy("item_id").agg(F.sum("weight").alias("popularity"))
+    beyond = interactions.leakage_audit(full, train, test, recs, whole).filter("check = 'popularity_beyond_train'").first()
+    own = train.groupBy("item_id").agg(F.sum("weight").alias("popularity"))
+    assert beyond["n_violations"] > 0
+    assert interactions.leakage_audit(full, train, test, recs, own).filter("check = 'popularity_beyond_train'").first()["n_violations"] == 0
     leaked = interactions.leakage_audit(full, full, test, recs).filter("check = 'held_out_in_train'").first()
     assert leaked["n_violations"] == 1
 
