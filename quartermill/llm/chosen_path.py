@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import spread
-from quartermill.llm.common import Memo, column_type, kept_for_worker, text_or_empty
+from quartermill.llm.common import column_type, text_or_empty
 from quartermill.session import materialise
 
 RUN_SHIFT = np.uint64(57)  # the run stands in the upper bits of a path, so up to 64 runs
@@ -69,11 +69,10 @@ def _seeds(n: int, salt: int) -> np.ndarray:
 
 def shingles(text: str, words: int) -> np.ndarray:
     """Sorted distinct hashes of the word n-grams; a shorter text is one n-gram of all its words."""
-    hashes = kept_for_worker("word hashes", lambda: Memo(xxhash.xxh3_64_intdigest, 300_000))
     found = text.encode().split()
     if not found:
         return np.zeros(0, np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
+    ids = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     width = min(words, len(ids))
     n = len(ids) - width + 1
     total = np.full(n, width, np.uint64)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: Words, as every word-based operator of this package counts them: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+SLICE_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,13 +24,12 @@ def kept_for_worker(key: object, build: Callable[[], object]) -> object:
 
     Functions of this package travel to the workers by value, so their module globals are new in each
     task; what is costly to build (a parsed vocabulary with its memo) is kept in a module of its own.
-    Only the newest 8 objects stay.
+    Only the newest object stays, so that a worker's memory does not grow from stage to stage.
     """
     store = sys.modules.setdefault("_quartermill_worker", types.ModuleType("_quartermill_worker"))
     kept = vars(store).setdefault("kept", {})
     if key not in kept:
-        while len(kept) >= 8:
-            kept.pop(next(iter(kept)))
+        kept.clear()
         kept[key] = build()
     return kept[key]
 
@@ -54,11 +54,12 @@ class Memo(dict):
 
 
 def map_texts(df: DataFrame, schema: str, work: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
-    """Apply ``work`` to every Arrow batch of ``df``; nothing is held across batches."""
+    """Apply ``work`` to every Arrow batch of ``df``, in slices, so that results stay small; nothing is held across batches."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield work(batch)
+            for start in range(0, len(batch), SLICE_ROWS):
+                yield work(batch.iloc[start:start + SLICE_ROWS].reset_index(drop=True))
 
     return df.mapInPandas(run, schema)
 

@@ -30,7 +30,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the file format
 BPE_MODEL = 2
 #: Remembered units per worker (and as many older ones).
-MEMO = 300_000
+MEMO = 200_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
