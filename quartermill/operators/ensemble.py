@@ -6,7 +6,9 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +98,53 @@ def param_search(df: DataFrame, features: Sequence[str], model: str, trials: Seq
     return best.withColumn("_s", settings).select("series_id", "trial", *[f"_s.{n}" for n in names], "cv_rmse")
 
 
+# The search space of the boosted trees, ``(low, high, scale)`` per dimension.
+TREE_SPACE = {
+    "maxIter": (50, 400, "linear"), "stepSize": (0.01, 0.3, "log"), "leaves": (7, 63, "linear"), "minInstancesPerNode": (5, 50, "linear"),
+    "subsamplingRate": (0.5, 1.0, "linear"), "featureShare": (0.4, 1.0, "linear"), "minInfoGain": (1e-8, 1e-2, "log"), "maxBins": (16, 64, "linear"),
+}
+
+
+def tree_settings(trial: Mapping[str, float]) -> dict:
+    """Settings of the learner from a point of the space.
+
+    Spark's trees are bounded by depth, so a number of leaves becomes the depth that can hold them; they
+    have no penalty on leaf values, for which the least gain of a split stands in.
+    """
+    return {
+        "maxIter": round(trial["maxIter"]), "stepSize": trial["stepSize"], "maxDepth": math.ceil(math.log2(trial["leaves"])),
+        "minInstancesPerNode": round(trial["minInstancesPerNode"]), "subsamplingRate": trial["subsamplingRate"],
+        "featureSubsetStrategy": f"{trial['featureShare']:.6f}", "minInfoGain": trial["minInfoGain"], "maxBins": round(trial["maxBins"]),
+    }
+
+
+def tree_search(df: DataFrame, features: Sequence[str], trials: Sequence[Mapping[str, float]], n_folds: int = 5,
+                parallelism: int = 8) -> DataFrame:
+    """``(trial, <params>, cv_rmse, best)``: the mean fold error of every setting of the boosted trees.
+
+    A pooled fit per setting and fold; ``parallelism`` of them run at once, each of them distributed. The
+    trial table has one row per setting.
+    """
+    folds = materialise(training_folds(df, n_folds), "folds")
+    ready = {k: trees.prepared(folds.filter(F.col("fold") == k), features, FOLD_KEYS)[:2] for k in range(1, n_folds + 1)}
+
+    def error(job: tuple[int, int]) -> tuple[int, float]:
+        trial, fold = job
+        rows, target = ready[fold]
+        model = trees.fit_prepared(rows, **tree_settings(trials[trial]))
+        predicted = trees.predict_prepared(model, rows, target, FOLD_KEYS)
+        return trial, cv_rmse(predicted).agg(F.avg("cv_rmse").alias("e")).first()["e"]
+
+    jobs = [(t, k) for t in range(len(trials)) for k in range(1, n_folds + 1)]
+    with ThreadPool(parallelism) as pool:
+        errors = pool.map(inheritable_thread_target(df.sparkSession)(error), jobs)
+    means = [sum(e for t, e in errors if t == i) / n_folds for i in range(len(trials))]
+    best = min(range(len(trials)), key=lambda i: (means[i], i))
+    names = list(trials[0])
+    rows = [(i, *[float(t[n]) for n in names], means[i], i == best) for i, t in enumerate(trials)]
+    return df.sparkSession.createDataFrame(rows, "trial int, " + ", ".join(f"{n} double" for n in names) + ", cv_rmse double, best boolean")
+
+
 def exog_ablation(df: DataFrame, subsets: Mapping[str, Sequence[str]], model: str = "ridge", n_folds: int = 5,
                   settings: Mapping[str, float] | None = None, with_cv: bool = True) -> DataFrame:
     """One row per feature subset: mean metrics over the series and the change against the first.

@@ -44,18 +44,31 @@ def fit(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES, ea
     With ``early_stopping``, the last walk-forward block of the training rows decides when boosting
     ends; the trees learn from the rows before it.
     """
+    rows, target, kept = prepared(df, features, keys)
+    return fit_prepared(rows, early_stopping, **settings), rows, target, kept
+
+
+def prepared(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``(rows, target statistics, features)``, written once for any number of fits."""
     rows, target, kept = _assembled(df, features, keys)
-    rows = materialise(last_block(rows, keys), "boosting")
+    return materialise(last_block(rows, keys), "boosting"), target, kept
+
+
+def fit_prepared(rows: DataFrame, early_stopping: bool = True, **settings) -> GBTRegressionModel:
     learner = GBTRegressor(featuresCol="x", labelCol="y", predictionCol="y_hat", **{**DEFAULTS, **settings})
     train = rows.filter(~F.col("is_test"))
     if early_stopping and not train.filter("_stop").isEmpty():
         learner = learner.setValidationIndicatorCol("_stop")
-    return learner.fit(train), rows, target, kept
+    return learner.fit(train)
 
 
 def fit_predict(df: DataFrame, features: Sequence[str], keys: Sequence[str] = SERIES, **settings) -> DataFrame:
     """``(keys, date, y, y_hat)`` for the test rows, in the units of y."""
     model, rows, target, _ = fit(df, features, keys, **settings)
+    return predict_prepared(model, rows, target, keys)
+
+
+def predict_prepared(model: GBTRegressionModel, rows: DataFrame, target: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     predicted = model.transform(rows.filter("is_test")).select(*keys, "date", F.col("actual").alias("y"), "y_hat")
     return inverse_zscore(predicted, target, {"y_hat": "y"}, keys)
 

@@ -193,6 +193,13 @@ def param_search(spark, sf):
     return ensemble.param_search(df, features.feature_columns(df), "elasticnet", trials)
 
 
+@query("tree_search")
+def tree_search(spark, sf):
+    """Thirty settings over eight dimensions, each on five walk-forward folds."""
+    df = model_rows(spark, sf)
+    return ensemble.tree_search(df, features.feature_columns(df), ensemble.random_trials(30, ensemble.TREE_SPACE))
+
+
 @query("exog_ablation")
 def exog_ablation(spark, sf):
     df = model_rows(spark, sf)
