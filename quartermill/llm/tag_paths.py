@@ -50,7 +50,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</[a-zA-Z][^>]*+(?:>|\Z)"
     r"|<[a-zA-Z][^\s/>]*+(?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+>|<[a-zA-Z][^>]*+(?:>|\Z)", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"\s(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 @dataclass
@@ -59,6 +59,7 @@ class Element:
     parent: Element | None
     dropped: bool
     depth: int
+    in_article: bool = False
 
 
 @dataclass
@@ -70,17 +71,21 @@ class TextNode:
     linked: bool
 
 
-def _is_dropped(tag: str, token: str) -> bool:
-    if tag in DROPPED:
+def _is_dropped(tag: str, token: str, in_article: bool) -> bool:
+    """Whether an element is something else than article text; the header of an article itself is part of it."""
+    heading = in_article and tag == "header"
+    if tag in DROPPED and not heading:
         return True
     if tag in ("html", "body", "main", "article") or len(token) == len(tag) + 2:
         return False
-    for name, a, b, c in _ATTRIBUTE.findall(token):
+    for name, a, b, c in _ATTRIBUTE.findall(token, len(tag) + 1):
         value, name = (a or b or c).lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in DROPPED_ROLES:
             return True
-        if name in ("class", "id") and not DROPPED_NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
+        if name in ("class", "id"):
+            named = DROPPED_NAMES.intersection(re.split(r"[^a-z]+", value))
+            if named - ({"header"} if in_article else set()):
+                return True
     return False
 
 
@@ -137,7 +142,8 @@ def text_nodes(page: str) -> list[TextNode]:
         if tag in ENDS:
             _end_of(here, *ENDS[tag], close)
         if not raw.endswith("/>") or tag in INLINE or tag in ("p", "div"):
-            here = Element(tag, here, here.dropped or _is_dropped(tag, raw), here.depth + 1)
+            article = here.in_article or tag in ("article", "main")
+            here = Element(tag, here, here.dropped or _is_dropped(tag, raw, here.in_article), here.depth + 1, article)
     return nodes
 
 
