@@ -24,6 +24,12 @@ def test_article_without_its_surroundings():
     assert tag_paths.main_text(PAGE) == WANT
 
 
+def test_names_inside_other_attributes_and_article_headers_do_not_count():
+    page = """<body><header class=top>Site, name.</header><article><header class="entry-header"><h1>Head</h1></header>
+    <p title="a hidden class=ad gem">Kept text, of course.</p><p hidden>Not shown, ever.</p><div class='x ad y'>Buy, now.</div></article></body>"""
+    assert tag_paths.main_text(page) == "Head\nKept text, of course."
+
+
 def article_of(page):
     found = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S)
     blocks = re.split(r"</?(?:p|h1|br)\b[^>]*>", found[1]) if found else []
