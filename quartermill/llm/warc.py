@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quartermill.llm.common import text_or_empty
+from quartermill.session import materialise
 
 END = "\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
@@ -44,6 +45,7 @@ def with_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("bigint"), "payload_digest": F.sha1(raw)})
     shared = rows.filter(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(
         F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND first IS NOT NULL").drop("n")
+    shared = materialise(shared, "shared")  # its size is known then, and the payloads travel only if it is large
     rows = rows.join(shared, "payload_digest", "left")
     again = F.coalesce(~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull(), F.lit(False))
     return rows.select("page_id", "url", "payload", "payload_bytes", "payload_digest",
