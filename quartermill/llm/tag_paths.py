@@ -2,8 +2,8 @@
 
 All text nodes with the same path of tags from the root are judged together: how much text and how much
 punctuation a node of that path holds on average. The ratios are smoothed along the page, fused, and paths
-above the spread of the scores are content. The element that holds the content text is the article, and
-of it everything stays but parts that are named, or look, as navigation, adverts, forms or comments.
+above the spread of the scores are content. The element that holds all of the content text is the article, and
+of it everything stays but parts that are named as navigation, adverts, forms or comments.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: Elements that hold a whole article; any other is a part of one and may have siblings that belong to it.
+CONTAINERS = frozenset(("article", "body", "div", "html", "main", ""))
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？]")
 
 _TOKEN = re.compile(
@@ -195,12 +197,7 @@ def main_text(page: str, sigma: float = 1.0, spread: float = 1.0, share: float =
         return ""
     chosen = content_paths(nodes, sigma, spread)
     article = _article(nodes, chosen, share)
-    by_block: dict[int, list[TextNode]] = {}
-    for node in nodes:
-        if _within(node.element, article):
-            by_block.setdefault(node.block, []).append(node)
-    named = article.tag in ("article", "main")
-    kept = {b for b, parts in by_block.items() if named or any(n.path in chosen for n in parts) or not _is_link_list(parts)}
+    kept = {n.block for n in nodes if _within(n.element, article)}
     blocks: dict[int, list[str]] = {}
     for node in spaced:
         if node.block in kept:
@@ -210,40 +207,51 @@ def main_text(page: str, sigma: float = 1.0, spread: float = 1.0, share: float =
 
 
 def _article(nodes: Sequence[TextNode], chosen: set[str], share: float) -> Element:
-    """The deepest element that holds at least ``share`` of the content text; its article or main part, if it lies in one."""
+    """The article or main part with at least ``share`` of the content text, or else the element that holds all of it and its headline."""
     held: dict[int, tuple[Element, int]] = {}
+    content = [n for n in nodes if n.path in chosen]
     total = 0
-    for node in nodes:
-        if node.path in chosen:
-            size = len(node.text.strip())
-            total += size
-            e: Element | None = node.element
-            while e is not None:
-                held[id(e)] = (e, held.get(id(e), (e, 0))[1] + size)
-                e = e.parent
-    found = max((e for e, size in held.values() if size >= share * total), key=lambda e: e.depth)
-    e = found
-    while e is not None:
+    for node in content:
+        size = len(node.text.strip())
+        total += size
+        for e in _upwards(node.element):
+            held[id(e)] = (e, held.get(id(e), (e, 0))[1] + size)
+    most = max((e for e, size in held.values() if size >= share * total), key=lambda e: e.depth)
+    for e in _upwards(most):
         if e.tag in ("article", "main"):
             return e
-        e = e.parent
-    while found.parent is not None and (found.tag in INLINE or found.tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "pre", "blockquote")):
+    found = max((e for e, size in held.values() if size == total), key=lambda e: e.depth)
+    while found.tag not in CONTAINERS:
         found = found.parent
-    return found
+    return _with_headline(found, nodes)
 
 
-def _within(element: Element | None, article: Element) -> bool:
+def _with_headline(found: Element, nodes: Sequence[TextNode]) -> Element:
+    """``found``, or if it has no headline, the nearest element around it that has one before it.
+
+    A headline is a h1 that is no link, or any h1 or h2 right inside an element that holds ``found``.
+    """
+    within = [_within(n.element, found) for n in nodes]
+    first = within.index(True)
+    headings = [next((e for e in _upwards(n.element) if e.tag in ("h1", "h2")), None) for n in nodes]
+    if headings[first] is not None or any(h is not None and h.tag == "h1" for h, own in zip(headings, within) if own):
+        return found
+    around = {id(e): e for e in _upwards(found)}
+    holders = [found]
+    for node, heading in zip(nodes[:first], headings):
+        if heading is not None and (id(heading.parent) in around or heading.tag == "h1" and not node.linked):
+            holders.append(next(e for e in _upwards(heading.parent) if id(e) in around))
+    return max(holders[1:] or holders, key=lambda e: e.depth)
+
+
+def _upwards(element: Element | None) -> Iterator[Element]:
     while element is not None:
-        if element is article:
-            return True
+        yield element
         element = element.parent
-    return False
 
 
-def _is_link_list(block: Sequence[TextNode]) -> bool:
-    """Whether most of a block is linked text and none of it has punctuation."""
-    linked = sum(len(n.text.strip()) for n in block if n.linked)
-    return 2 * linked > sum(len(n.text.strip()) for n in block) and not any(PUNCTUATION.search(n.text) for n in block)
+def _within(element: Element | None, article: Element) -> bool:
+    return any(e is article for e in _upwards(element))
 
 
 def extract(df: DataFrame, page: str = "html", keep: Sequence[str] = ("page_id", "url"), sigma: float = 1.0, spread: float = 1.0,

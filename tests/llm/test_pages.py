@@ -30,6 +30,27 @@ def test_names_inside_other_attributes_and_article_headers_do_not_count():
     assert tag_paths.main_text(page) == "Head\nKept text, of course."
 
 
+def test_headline_lead_and_body_beside_each_other_without_an_article_element():
+    body = "".join(f"<p>Paragraph {i} of the text, with some words. And more of them, too.</p>" for i in range(20))
+    lines = "".join(f"\nParagraph {i} of the text, with some words. And more of them, too." for i in range(20))
+    around = "<body><div class=nav><a href=1>Home</a></div><div id=menu><a href=2>News</a></div>%s<div class=footer>Copyright, all of it.</div></body>"
+    lead = "<div class=lead><p>The lead, a short one.</p></div>"
+    assert tag_paths.main_text(around % f"<div id=post><h1>Head</h1>{lead}<div class=text>{body}</div></div>") == "Head\nThe lead, a short one." + lines
+    assert tag_paths.main_text(around % f"<div id=post><h1>Head</h1><div class=text>{body}</div></div>") == "Head" + lines
+    assert tag_paths.main_text(around % f"<div id=post><div><h1>Head</h1></div><div class=text>{body}</div></div>") == "Head" + lines
+    source = "<p><a href=3>The whole report of the ministry</a></p>"
+    assert tag_paths.main_text(around % f"<div id=post>{source}{body}<ul><li><a href=4>Data</a></ul></div>") == "The whole report of the ministry" + lines + "\nData"
+
+
+@pytest.mark.parametrize("part, row", [("section", "p"), ("ul", "li"), ("table", "td")])
+def test_a_long_part_does_not_displace_its_shorter_siblings(part, row):
+    rows = [f"Row {i} of the long part, with some words. And more of them, too." for i in range(30)]
+    long = f"<{part}>" + "".join(f"<tr><td>{r}</td></tr>" if row == "td" else f"<{row}>{r}</{row}>" for r in rows) + f"</{part}>"
+    short = f"<{part}><tr><td>Short, too.</td></tr></{part}>" if row == "td" else f"<{part}><{row}>Short, too.</{row}></{part}>"
+    page = f"<body><div id=menu><a href=1>News</a></div><div id=post><p>Opening.</p>{short}{long}<p>End.</p></div></body>"
+    assert tag_paths.main_text(page) == "\n".join(["Opening.", "Short, too.", *rows, "End."])
+
+
 def article_of(page):
     found = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S)
     blocks = re.split(r"</?(?:p|h1|br)\b[^>]*>", found[1]) if found else []
