@@ -41,7 +41,26 @@ class JoinSettings:
     split_gain: float = 0.5  # a split must leave at most this share of a bucket's comparisons
     depth: int = 6
     recall: float = 0.9995  # of pairs at exactly the similarity asked for, in the worst case
-    sketch_margin: float = 0.2  # pairs whose sketches agree less than similarity minus this are not compared exactly
+    sketch_loss: float = 1e-9  # share of the pairs the recall may lose that sketches may lose
+
+    @property
+    def sketch_limit(self) -> int:
+        """Positions in which the sketches of a pair must agree to be compared exactly."""
+        return self._sketch()[0]
+
+    def _sketch(self) -> tuple[int, float]:
+        """The limit, and the share of pairs at exactly the similarity asked for whose sketches agree in fewer positions.
+
+        A byte agrees with the chance of its token, or else by accident.
+        """
+        same = self.similarity + (1 - self.similarity) / 256
+        limit, below = 0, 0.0
+        while limit < self.positions:
+            more = below + math.comb(self.positions, limit) * same**limit * (1 - same) ** (self.positions - limit)
+            if more > self.sketch_loss * (1 - self.recall):
+                break
+            limit, below = limit + 1, more
+        return limit, below
 
     @property
     def runs(self) -> int:
@@ -49,11 +68,13 @@ class JoinSettings:
 
         A similar pair shares a Poisson number of sampled tokens at a node, with the mean
         ``children * similarity``, and meets at the last level if one line of shared tokens survives.
+        What the sketches lose, no run finds again.
         """
         mean, lost = self.children * self.similarity, 0.0
         for _ in range(self.depth):
             lost = math.exp(-mean * (1 - lost))
-        return min(MAX_RUNS, math.ceil(math.log(1 - self.recall) / math.log(lost)))
+        below = self._sketch()[1]
+        return min(MAX_RUNS, math.ceil(math.log((1 - self.recall - below) / (1 - below)) / math.log(lost)))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -149,7 +170,7 @@ def _first_meeting(path: int, paths: list[np.ndarray]) -> np.ndarray:
     return met == 0
 
 
-def _candidates(group: pd.DataFrame, limit: float, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def _candidates(group: pd.DataFrame, limit: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a bucket to compare: similar sketches and sizes, from different blocks, met here first."""
     n = len(group)
     own, i, j = group["own"].to_numpy(), group["i"].iat[0], group["j"].iat[0]
@@ -157,12 +178,12 @@ def _candidates(group: pd.DataFrame, limit: float, similarity: float) -> tuple[n
     sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(n, -1)
     if n == 2:
         a, b = group["paths"]
-        ok = ((sketch[0] == sketch[1]).mean() >= limit and sizes.min() >= similarity * sizes.max() - 1e-9
+        ok = ((sketch[0] == sketch[1]).sum() >= limit and sizes.min() >= similarity * sizes.max() - 1e-9
               and np.intersect1d(a, b, assume_unique=True)[0] == group["path"].iat[0] and (i == j or own[0] != own[1]))
         return (np.array([0]), np.array([1])) if ok else (np.zeros(0, int), np.zeros(0, int))
     pair = np.zeros((n, n), bool)
     for at in range(n):
-        pair[at, at + 1:] = (sketch[at + 1:] == sketch[at]).mean(axis=1) >= limit
+        pair[at, at + 1:] = (sketch[at + 1:] == sketch[at]).sum(axis=1) >= limit
     if not pair.any():
         return np.nonzero(pair)
     pair &= np.minimum(sizes[:, None], sizes) >= similarity * np.maximum(sizes[:, None], sizes) - 1e-9
@@ -307,7 +328,7 @@ def _bucket_rows(members: DataFrame, s: JoinSettings) -> DataFrame:
 
 def _marked(rows: DataFrame, s: JoinSettings) -> DataFrame:
     """Members of buckets that may have a link there."""
-    limit, similarity = s.similarity - s.sketch_margin, s.similarity
+    limit, similarity = s.sketch_limit, s.similarity
 
     def mark(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -338,7 +359,7 @@ def _with_hashes(words: int):
 
 def _links(marked: DataFrame, groups: DataFrame, texts: DataFrame, s: JoinSettings) -> DataFrame:
     """``(gid, links, root)``: rows that each member of a bucket is linked to there, and the bucket's smallest linked member."""
-    similarity, limit = s.similarity, s.similarity - s.sketch_margin
+    similarity, limit = s.similarity, s.sketch_limit
     # The buckets of a group pass through Python as one string, to be taken apart again behind it.
     bucket = F.concat_ws(":", "path", "i", "j", "own")
     per_group = marked.groupBy("gid").agg(

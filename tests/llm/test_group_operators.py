@@ -94,6 +94,28 @@ def test_runs_follow_from_the_recall():
     assert chosen_path.JoinSettings(recall=0.5).runs < chosen_path.JoinSettings().runs <= chosen_path.MAX_RUNS
 
 
+def test_links_whose_sketches_agree_little_are_found(spark):
+    texts = []
+    for seed in (24910, 33291, 51852):  # similarity 0.8, sketches that agree in 37, 37 and 38 of 64 positions
+        rng = random.Random(seed)
+        base = [f"w{rng.randint(0, 10**9)}" for _ in range(94)]
+        own = list(base)
+        own[20] = own[60] = "x"
+        texts += [" ".join(base), " ".join(own)]
+    assert plain_classes(texts) == ([0, 0, 2, 2, 4, 4], [1] * 6)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in chosen_path.near_duplicates(df, s=chosen_path.JoinSettings(recall=1 - 1e-9)).collect())
+    assert got == [(i, i // 2 * 2, 1) for i in range(6)]
+
+
+@pytest.mark.parametrize("settings", [chosen_path.JoinSettings(), chosen_path.JoinSettings(similarity=0.5, positions=32), chosen_path.JoinSettings(recall=0.9)])
+def test_sketches_lose_next_to_nothing_of_the_recall(settings):
+    rng = np.random.default_rng(3)
+    limit, below = settings._sketch()
+    assert 0 <= below <= settings.sketch_loss * (1 - settings.recall) and limit == settings.sketch_limit
+    assert (rng.binomial(settings.positions, settings.similarity, 200_000) >= limit).all()
+
+
 def docs_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("tokens", F.lit("x"))
 
