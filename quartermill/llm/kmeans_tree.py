@@ -2,7 +2,8 @@
 
 The tree is grown on a bounded sample; every vector is then led to a leaf. A query keeps the branches it
 has not taken in a priority queue and goes on with the nearest, so leaves come in the order of their
-promise. How many it visits is found by widening until the recall on known neighbours is reached.
+promise. How many it visits is found by widening until the recall on known neighbours is reached, and
+a query goes on beyond that until its leaves hold enough candidates.
 """
 
 from __future__ import annotations
@@ -77,11 +78,11 @@ class Tree:
             todo += [(int(below[k]), rows[nearest == k]) for k in range(len(below)) if (nearest == k).any()]
         return out
 
-    def visit(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, nearest branch first."""
+    def visit(self, query: np.ndarray, least: int, candidates: np.ndarray | None = None, wanted: int = 0) -> list[int]:
+        """The first ``least`` leaves, nearest branch first, and more until they hold ``wanted`` of the ``candidates`` per leaf."""
         distance = ((self.table - query) ** 2).sum(axis=1)
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < most:
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < least or held < wanted):
             _, node = heapq.heappop(queue)
             while self.leaf[node] < 0:
                 below = self.children[node]
@@ -90,6 +91,7 @@ class Tree:
                     heapq.heappush(queue, (float(distance[other]), int(other)))
                 node = int(order[0])
             found.append(self.leaf[node])
+            held += 0 if candidates is None else int(candidates[self.leaf[node]])
         return found
 
 
@@ -114,12 +116,14 @@ def _clusters(x: np.ndarray, s: TreeSettings, rng: np.random.Generator) -> list[
 def calibrate(tree: Tree, sample: np.ndarray, neighbours: int, s: TreeSettings) -> int:
     """Leaves to visit so that the sample's own nearest neighbours are found with the recall asked for.
 
-    The sample is thinner than the whole, so its neighbours lie farther off and are harder to find.
+    The sample is thinner than the whole, so its neighbours lie farther off and are harder to find. Copies
+    of a vector, which have their neighbours in one leaf, are one query.
     """
     if len(sample) < 2:
         return max(1, tree.leaves)
     leaf = tree.assign(sample)
-    queries = np.linspace(0, len(sample) - 1, min(s.calibration_queries, len(sample))).astype(int)
+    distinct = np.sort(np.unique(sample, axis=0, return_index=True)[1])
+    queries = distinct[np.linspace(0, len(distinct) - 1, min(s.calibration_queries, len(distinct))).astype(int)]
     place = np.empty((len(queries), tree.leaves), int)
     needed = []
     for row, q in enumerate(queries):
@@ -175,12 +179,18 @@ def nearest_neighbours(df: DataFrame, is_query, neighbours: int = 10, vec_id: st
         for batch in batches:
             yield batch.assign(leaf=shared.value.assign(_matrix(batch["vector"], dim)))
 
+    index = materialise(rows.mapInPandas(lead, f"vec_id {id_type}, vector array<double>, leaf int"), "leaves")
+    # A row for each leaf of the tree. One id of a leaf may be the query's own, wherever its rows lie.
+    others = np.zeros(tree.leaves, int)
+    for r in index.groupBy("leaf").agg(F.countDistinct("vec_id").alias("n")).collect():
+        others[r["leaf"]] = r["n"] - 1
+    candidates = spark.sparkContext.broadcast(others)
+
     def search(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = [shared.value.visit(np.asarray(v, float), visits) for v in batch["vector"]]
+            seen = [shared.value.visit(np.asarray(v, float), visits, candidates.value, neighbours) for v in batch["vector"]]
             yield batch.assign(leaves=seen)
 
-    index = materialise(rows.mapInPandas(lead, f"vec_id {id_type}, vector array<double>, leaf int"), "leaves")
     queries = index.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query")).distinct()
     asked = queries.select("query_id", F.col("query").alias("vector")).mapInPandas(
         search, f"query_id {id_type}, vector array<double>, leaves array<int>")

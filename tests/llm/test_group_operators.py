@@ -203,6 +203,32 @@ def test_equal_vectors_are_cut_into_blocks(spark):
     assert [(r["query_id"], r["vec_id"]) for r in got] == [(0, 1), (0, 2), (0, 3), (100, 0), (100, 1), (100, 2), (200, 0), (200, 1), (200, 2)]
 
 
+def copies_and_lone_vectors(groups, copies, lone, dim=8):
+    rng = np.random.default_rng(1)
+    return np.concatenate([np.repeat(rng.normal(size=(groups, dim)), copies, axis=0), 4 * rng.normal(size=(lone, dim))])
+
+
+def test_every_query_gets_its_neighbours_beside_a_hot_group(spark):
+    x = copies_and_lone_vectors(4, 300, 60)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    small = kmeans_tree.TreeSettings(leaf_rows=8, calibration_queries=100)
+    got = kmeans_tree.nearest_neighbours(df, F.col("vec_id") >= 1200, 10, s=small).groupBy("query_id").count().collect()
+    assert len(got) == 60 and {r["count"] for r in got} == {10}
+
+
+def test_calibration_counts_copies_as_one_query():
+    s = kmeans_tree.TreeSettings(leaf_rows=32)
+    x = copies_and_lone_vectors(10, 480, 200)
+    tree = kmeans_tree.Tree(8).grow(x, s)
+    leaf, visits = tree.assign(x), kmeans_tree.calibrate(tree, x, 10, s)
+    hits = 0
+    for q in range(4800, 5000):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += np.isin(leaf[np.argsort(d, kind="stable")[:10]], tree.visit(x[q], visits)).sum()
+    assert hits / 2000 >= 0.95
+
+
 TURNS = "conv_id bigint, turn bigint, role string, text string"
 
 
