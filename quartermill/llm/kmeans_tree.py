@@ -213,6 +213,8 @@ def nearest_neighbours(df: DataFrame, is_query, neighbours: int = 10, vec_id: st
             vectors = vectors if vectors["vec_id"].is_unique else _without_repeats(vectors)
             ids, x = vectors["vec_id"].to_numpy(), _matrix(vectors["vector"], dim)
             q = _matrix(wanted["query"], dim)
+            # More than what rounding can change in a rough distance, which grows with the norms.
+            margin = 64 * np.finfo(float).eps * dim * ((q * q).sum(axis=1) + (x * x).sum(axis=1).max())
             for at in range(0, len(q), 256):
                 rough = _squares(q[at:at + 256], x)
                 for k, query_id in enumerate(wanted["query_id"].iloc[at:at + 256]):
@@ -220,7 +222,7 @@ def nearest_neighbours(df: DataFrame, is_query, neighbours: int = 10, vec_id: st
                     near[ids == query_id] = np.inf
                     most = min(neighbours, len(near)) - 1
                     edge = np.partition(near, most)[most]
-                    picked = np.flatnonzero(near <= edge + 1e-9) if np.isfinite(edge) else np.flatnonzero(np.isfinite(near))
+                    picked = np.flatnonzero(near <= edge + margin[at + k]) if np.isfinite(edge) else np.flatnonzero(np.isfinite(near))
                     score = np.sqrt(((x[picked] - q[at + k]) ** 2).sum(axis=1))
                     order = np.lexsort((ids[picked], score))[:neighbours]
                     out += zip([query_id] * len(order), ids[picked][order], score[order])

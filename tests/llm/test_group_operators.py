@@ -203,6 +203,15 @@ def test_equal_vectors_are_cut_into_blocks(spark):
     assert [(r["query_id"], r["vec_id"]) for r in got] == [(0, 1), (0, 2), (0, 3), (100, 0), (100, 1), (100, 2), (200, 0), (200, 1), (200, 2)]
 
 
+def test_close_copies_of_long_vectors_are_ranked_exactly(spark):
+    rng = np.random.default_rng(4)
+    x = 1e4 + 1e-3 * rng.normal(size=(300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = kmeans_tree.nearest_neighbours(df, F.col("vec_id") % 100 == 0, 10, s=kmeans_tree.TreeSettings(leaf_rows=1000)).orderBy("query_id", "rank").collect()
+    want = exact(np.arange(300), x, 10)
+    assert [(r["query_id"], r["vec_id"]) for r in got] == [(q, n[0]) for q in sorted(want) for n in want[q]]
+
+
 def copies_and_lone_vectors(groups, copies, lone, dim=8):
     rng = np.random.default_rng(1)
     return np.concatenate([np.repeat(rng.normal(size=(groups, dim)), copies, axis=0), 4 * rng.normal(size=(lone, dim))])
