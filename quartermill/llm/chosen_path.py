@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import spread
-from quartermill.llm.common import column_type, text_or_empty
+from quartermill.llm.common import column_type, text_or_empty, whole_groups
 from quartermill.session import materialise
 
 RUN_SHIFT = np.uint64(57)  # the run stands in the upper bits of a path, so up to 64 runs
@@ -127,29 +127,6 @@ def _roots(runs: int) -> np.ndarray:
 # Buckets in tasks
 
 
-def _whole_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Groups of equal keys from sorted batches; only the group that a batch breaks off is carried over."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        values = batch[keys].to_numpy()
-        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
-        edges = [0, *cuts.tolist(), len(batch)]
-        if held and (held[-1][keys].to_numpy()[-1] != values[0]).any():
-            yield pd.concat(held) if len(held) > 1 else held[0]
-            held = []
-        for start, end in zip(edges[:-1], edges[1:]):
-            part = batch.iloc[start:end]
-            if end < len(batch):
-                yield pd.concat([*held, part]) if held else part
-                held = []
-            else:
-                held.append(part)
-    if held:
-        yield pd.concat(held) if len(held) > 1 else held[0]
-
-
 def _first_meeting(path: int, paths: list[np.ndarray]) -> np.ndarray:
     """For all pairs of a bucket, whether they share no earlier bucket."""
     n = len(paths)
@@ -332,7 +309,7 @@ def _marked(rows: DataFrame, s: JoinSettings) -> DataFrame:
 
     def mark(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
-        for group in _whole_groups(batches, _BUCKET):
+        for group in whole_groups(batches, _BUCKET):
             if len(group) > 1:
                 a, b = _candidates(group, limit, similarity)
                 if len(a):
@@ -377,7 +354,7 @@ def _links(marked: DataFrame, groups: DataFrame, texts: DataFrame, s: JoinSettin
 
     def compare(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = []
-        for group in _whole_groups(batches, _BUCKET):
+        for group in whole_groups(batches, _BUCKET):
             if len(group) < 2:
                 continue
             group = group.sort_values("gid")

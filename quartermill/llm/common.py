@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +71,26 @@ def column_type(df: DataFrame, name: str) -> str:
 
 def text_or_empty(name: str):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def whole_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Groups of equal keys from sorted batches; only the group that a batch breaks off is carried over."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        values = batch[keys].to_numpy()
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        edges = [0, *cuts.tolist(), len(batch)]
+        if held and (held[-1][keys].to_numpy()[-1] != values[0]).any():
+            yield pd.concat(held) if len(held) > 1 else held[0]
+            held = []
+        for start, end in zip(edges[:-1], edges[1:]):
+            part = batch.iloc[start:end]
+            if end < len(batch):
+                yield pd.concat([*held, part]) if held else part
+                held = []
+            else:
+                held.append(part)
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quartermill.llm import chosen_path, kmeans_tree, line_rules, mixing, pieces, preferences, prefix_tokens, quality, tag_paths, warc
+from quartermill.llm import chosen_path, kmeans_tree, lexical, line_rules, mixing, pieces, preferences, prefix_tokens, quality, tag_paths, warc
 from quartermill.llm.common import table
 from quartermill.session import new_path
 
@@ -95,3 +95,8 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen, rejected = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
     pairs = preferences.format_preferences(chosen, rejected)
     return pairs.withColumns({c: preferences.spans_text(c) for c in ("chosen_spans", "rejected_spans")})
+
+
+@query("op11_block_max", lexical.SQL)
+def op11_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
