@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from quartermill.llm import chosen_path, kmeans_tree, lexical, line_rules, mixing, pieces, preferences, prefix_tokens, quality, tag_paths, warc
+from quartermill.llm import chosen_path, kmeans_tree, lexical, line_rules, mixing, pieces, preferences, prefix_tokens, prefix_trie, quality, tag_paths, token_files, warc
 from quartermill.llm.common import table
 from quartermill.session import new_path
 
@@ -100,3 +100,14 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_block_max", lexical.SQL)
 def op11_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op12_prefix_trie", prefix_trie.SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.family_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return token_files.round_trip(documents, public_tokenizers.path("word_bpe_49k.json"), new_path(spark, "token-ids"), end_id=2)
