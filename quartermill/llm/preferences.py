@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -85,23 +85,24 @@ def format_preferences(chosen: DataFrame, rejected: DataFrame, pair: str = "conv
         _rendered(F.col("r"), t).alias("rejected"), _spans(F.col("c"), t).alias("chosen_spans"), _spans(F.col("r"), t).alias("rejected_spans"))
 
 
-def swapped_replies(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+def diverging_pairs(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected sides from plain conversations ``(conv_id, turn, role, text)``.
 
-    The table has no preferences, so the last reply of the assistant is the chosen one, and the rejected
-    one is the last reply of the neighbour: ids 2k and 2k + 1 are neighbours. Turns after the last reply
-    are left out on both sides. Without a neighbour's reply the rejected side ends before the reply;
-    without an own reply both sides are the conversation as it is.
+    The table has no preferences, so a whole conversation is the chosen side and the rejected one goes on as its
+    neighbour does: after one to three turns, by the id, it has the neighbour's turns from that place on. Ids 2k and
+    2k + 1 are neighbours. How far both sides agree is left to be found. Every turn is on the chosen side of its own pair:
+    a null turn is the first of its conversation, equal ones go by role and text. Without a neighbour the rejected side
+    ends where it would diverge; a neighbour without its conversation has a rejected side only.
     """
-    turns = turns.select("conv_id", "turn", "role", "text").filter("conv_id IS NOT NULL")
-    last = turns.filter("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("m")).select(
-        "conv_id", F.col("m.turn").alias("last"), F.coalesce("m.text", F.lit("")).alias("reply"))
-    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("bigint")).alias("conv_id"), F.col("reply").alias("swapped"))
-    known = last.select("conv_id", "last").join(other, "conv_id", "left")
-    chosen = turns.join(known, "conv_id", "left").filter("last IS NULL OR turn <= last")
-    replied = F.coalesce((F.col("turn") == F.col("last")) & (F.col("role") == "assistant"), F.lit(False))
-    rejected = chosen.filter(~replied | F.col("swapped").isNotNull())
-    return chosen.select(turns.columns), rejected.withColumn("text", F.when(replied, F.col("swapped")).otherwise(F.col("text"))).select(turns.columns)
+    plain = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
+    rows = turns.filter("conv_id IS NOT NULL").select("conv_id", "turn", plain("role"), plain("text"))
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
+    chosen = rows.withColumn("turn", F.row_number().over(order))
+    kept = lambda conv: 1 + F.pmod(conv, F.lit(3))
+    neighbour = F.col("conv_id").bitwiseXOR(F.lit(1).cast("bigint"))
+    own = chosen.filter(F.col("turn") <= kept(F.col("conv_id")))
+    taken = chosen.filter(F.col("turn") > kept(neighbour)).withColumn("conv_id", neighbour)
+    return chosen, own.unionByName(taken)
 
 
 def spans_text(spans: str) -> Column:
@@ -109,16 +110,15 @@ def spans_text(spans: str) -> Column:
 
 
 SQL = r"""
-WITH last AS (
-  SELECT conv_id, max(turn) AS last, arg_max(coalesce(text, ''), turn) AS reply FROM conversations WHERE role = 'assistant' GROUP BY conv_id
-), c AS (
-  SELECT v.conv_id, v.turn, v.role, v.text, l.last, o.reply AS swapped, coalesce(v.turn = l.last AND v.role = 'assistant', false) AS replied
-  FROM conversations v LEFT JOIN last l ON l.conv_id = v.conv_id LEFT JOIN last o ON o.conv_id = xor(v.conv_id, 1)
-  WHERE l.last IS NULL OR v.turn <= l.last
+WITH c AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, role, text) AS turn, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
 ), sides AS (
   SELECT 'c' AS side, conv_id, turn, role, text FROM c
   UNION ALL
-  SELECT 'r', conv_id, turn, role, CASE WHEN replied THEN swapped ELSE text END FROM c WHERE NOT replied OR swapped IS NOT NULL
+  SELECT 'r', conv_id, turn, role, text FROM c WHERE turn <= 1 + (conv_id % 3 + 3) % 3
+  UNION ALL
+  SELECT 'r', xor(conv_id, 1), turn, role, text FROM c WHERE turn > 1 + (xor(conv_id, 1) % 3 + 3) % 3
 ), placed AS (
   SELECT *, row_number() OVER (PARTITION BY side, conv_id ORDER BY turn, role, text) AS k,
          '<|im_start|>' || replace(role, '<|', '< |') || chr(10) AS head, replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body

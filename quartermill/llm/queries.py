@@ -92,7 +92,7 @@ def op9_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_preferences", preferences.SQL)
 def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen, rejected = preferences.swapped_replies(table(spark, sf_dir, "conversations"))
+    chosen, rejected = preferences.diverging_pairs(table(spark, sf_dir, "conversations"))
     pairs = preferences.format_preferences(chosen, rejected)
     return pairs.withColumns({c: preferences.spans_text(c) for c in ("chosen_spans", "rejected_spans")})
 

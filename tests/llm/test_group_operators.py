@@ -260,6 +260,26 @@ def test_shared_prefix_is_rendered_once_and_spans_cut_the_replies(spark):
     assert preferences.format_preferences(chosen.limit(0), rejected.limit(0)).count() == 0
 
 
+def test_pairs_keep_every_turn_and_diverge_where_the_neighbour_goes_on(spark):
+    rows = [(0, 0, "user", "q"), (0, 1, "assistant", "a"), (0, 2, "user", "later"), (0, None, "system", "s"), (1, 0, "user", "q1"), (1, 1, "assistant", "a1"),
+            (1, 2, "user", "u1"), (1, 3, "assistant", "b1"), (4, 0, None, None), (4, 0, "user", "tie"), (7, 5, "user", "x"), (7, 6, "assistant", "y"), (None, 0, "user", "nobody")]
+    df = spark.createDataFrame(rows, TURNS).withColumn("side", F.lit(1))
+    got = {r["pair_id"]: r for r in preferences.format_preferences(*preferences.diverging_pairs(df)).collect()}
+    assert set(got) == {0, 1, 4, 6, 7}
+    assert got[0]["prompt"] == "<|im_start|>system\ns<|im_end|>\n" and got[0]["n_common"] == 1  # a null turn is the first
+    assert "later" in got[0]["chosen"] and got[0]["chosen"].count("im_start") == 3 and "b1" in got[0]["rejected"]
+    assert got[1]["n_common"] == 2 and "later" in got[1]["rejected"] and "b1" in got[1]["chosen"]
+    assert (got[4]["n_common"], got[4]["chosen"], got[4]["rejected"]) == (2, "", "")
+    assert (got[6]["n_common"], got[6]["chosen"], got[6]["rejected"].count("im_start")) == (0, "", 1)
+
+
+def test_every_given_turn_is_in_the_result(spark):
+    table = spark.read.parquet(f"{SF}/conversations.parquet")
+    result = {r["pair_id"]: r["prompt"] + r["chosen"] for r in queries.op10_preferences(spark, SF).collect()}
+    assert all((r["text"] or "").replace("<|", "< |") in result[r["conv_id"]] for r in table.collect())
+    assert {r["n_common"] for r in queries.op10_preferences(spark, SF).select("n_common").collect()} >= {1, 2, 3}
+
+
 def test_preferences_run_no_python(spark):
     plan = queries.op10_preferences(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
