@@ -204,11 +204,3 @@ def seasonal_ar_coefficients(df: DataFrame, season: int = 4) -> DataFrame:
         "series_id",
         F.try_divide(F.col("c") * F.col("d") - F.col("b") * F.col("e"), det).alias("phi_1"),
         F.try_divide(F.col("a") * F.col("e") - F.col("b") * F.col("d"), det).alias("phi_s"))
-
-
-def seasonal_ar_predict(df: DataFrame, season: int = 4) -> DataFrame:
-    """One-step forecasts of the test rows: undo both differences around the fitted part."""
-    terms = seasonal_ar_terms(df, season).filter("is_test")
-    coefficients = seasonal_ar_coefficients(df, season)
-    y_hat = F.col("base") + F.col("phi_1") * F.col("z1") + F.col("phi_s") * F.col("zs")
-    return terms.join(coefficients, "series_id").select("series_id", "date", "y", y_hat.alias("y_hat"))

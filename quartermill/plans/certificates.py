@@ -7,16 +7,19 @@ spectrum. The numbers come from the data and the fitted parameters, not from the
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import ensemble, features, linear, nmf, scaling, spectral, trees, vectors
+from quartermill.operators import ensemble, features, linear, nmf, scaling, smoothing, spectral, splits, trees, vectors
 from quartermill.plans import inputs
 from quartermill.plans.catalog import query, rounded, with_
 from quartermill.plans.decompose import DIM, INDUSTRY_TOPICS, embeddings, standard, svd_factors
-from quartermill.plans.models import model_rows
+from quartermill.plans.models import HORIZON, model_rows
 from quartermill.plans.purchases import train_test
+from quartermill.plans.timeseries import staged_panel
 
 _TRAIN_ROWS = with_("split", "SELECT series_id, COUNT(*) AS n_rows, CAST(0 AS DOUBLE) AS violation FROM split WHERE NOT is_test GROUP BY 1")
 
@@ -64,6 +67,35 @@ def elasticnet_optimality(spark, sf):
     return rounded(optimality(df, features.feature_columns(df), "elasticnet", linear.ELASTICNET_ALPHA, linear.ELASTICNET_L1_RATIO), violation=4)
 
 
+@query("holt_winters_optimality", with_("panel", """
+SELECT series_id, COUNT(*) - 8 AS n_rows, CAST(0 AS DOUBLE) AS violation, CAST(0 AS DOUBLE) AS moved_start, false AS above_grid, true AS converged FROM panel GROUP BY 1"""))
+def holt_winters_optimality(spark, sf):
+    """The fold in the JVM finds no smaller squared errors around a fit: not for parameters 0.001 away, not for a
+    starting state moved in one part, and not for any point of the grid with a starting state of its own."""
+    train = splits.holdout_split(staged_panel(spark, sf), HORIZON).filter("NOT is_test")
+    period = 4
+    fits = smoothing.holt_winters_optimised(train, period).join(smoothing.ordered_values(train).select("series_id", "ys"), "series_id")
+    params, step = ("alpha", "beta", "gamma"), smoothing.PRECISION
+    error = lambda start, a, b, c: smoothing.smooth_from(F.col("ys"), start, a, b, c, period)["sse"]
+    shifts = [p for p in product((-1, 0, 1), repeat=3) if any(p)]
+    near = F.explode(F.array(*[F.array(*[F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col(n) + step * k)) for n, k in zip(params, p)]) for p in shifts])).alias("_p")
+    around = fits.select("series_id", "ys", "start", near).groupBy("series_id").agg(F.min(error(F.col("start"), *[F.col("_p")[k] for k in range(3)])).alias("around"))
+    scale = F.aggregate("ys", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v))) * 1e-4
+    part = lambda level, trend, season: F.struct((F.col("start.level") + level).alias("level"), (F.col("start.trend") + trend).alias("trend"), season.alias("season"), F.lit(0.0).alias("sse"))
+    same, none = F.col("start.season"), F.lit(0.0)
+    bent = lambda k, by: F.transform(F.col("start.season"), lambda v, i: F.when(i == k, v + by).otherwise(v))
+    moves = [m for by in (scale, -scale) for m in (part(by, none, same), part(none, by, same), *[part(none, none, bent(k, by)) for k in range(period)])]
+    starts = fits.select("series_id", "ys", *params, F.explode(F.array(*moves)).alias("_s")).groupBy("series_id").agg(F.min(error(F.col("_s"), *map(F.col, params))).alias("starts"))
+    grid = F.inline(F.array(*[F.struct(*[F.lit(v).alias(f"_{n}") for n, v in zip(params, g)]) for g in product(smoothing.ALPHAS, smoothing.BETAS, smoothing.GAMMAS)]))
+    first = smoothing.first_state(F.col("ys"), period)
+    before = F.struct((first["level"] - first["trend"]).alias("level"), first["trend"].alias("trend"), first["season"].alias("season"), F.lit(0.0).alias("sse"))
+    coarse = fits.select("series_id", "ys", grid).groupBy("series_id").agg(F.min(error(before, *[F.col(f"_{n}") for n in params])).alias("coarse"))
+    rows = fits.join(around, "series_id").join(starts, "series_id").join(coarse, "series_id")
+    gap = lambda other: F.greatest(F.lit(0.0), 1 - F.col(other) / F.col("sse"))
+    return rounded(rows.select("series_id", F.size("ys").cast("bigint").alias("n_rows"), gap("around").alias("violation"), gap("starts").alias("moved_start"),
+                               (F.col("sse") > F.col("coarse")).alias("above_grid"), "converged"), violation=9, moved_start=9)
+
+
 def component_certificate(df: DataFrame, vec: str, components: np.ndarray, values: np.ndarray, divisor: float) -> DataFrame:
     """``(k, error, overlap)``: how far the mean square of each component's scores is from its value, and the
     largest product with another component's scores, both as shares of the first value."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, ensemble, features, forecast, linear, smoothing, splits, trees, verdicts
+from quartermill.operators import accuracy, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees, verdicts
 from quartermill.plans import inputs
 from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.timeseries import _MODELS_SQL, model_scores, split, staged_merged, staged_panel
@@ -121,11 +121,61 @@ def seasonal_ar(spark, sf):
     return rounded(linear.seasonal_ar_coefficients(df), phi_1=6, phi_s=6)
 
 
-@query("seasonal_ar_forecast", with_("panel", _AR_SQL + """
-SELECT series_id, date, y, round(base + phi_1 * z1 + phi_s * z4, 2) + 0.0 AS y_hat
-FROM q JOIN phi USING (series_id) WHERE is_test"""))
+_ARMA_SQL = """
+, tr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) <= 8 AS is_test FROM panel) WHERE NOT is_test),
+z0 AS (SELECT series_id, date, y, y - lag(y) OVER s - (lag(y, 4) OVER s - lag(y, 5) OVER s) AS z FROM tr WINDOW s AS (PARTITION BY series_id ORDER BY date)),
+zz AS (SELECT *, lag(z) OVER s AS z1, lag(z, 4) OVER s AS z4, lag(z, 5) OVER s AS z5 FROM z0 WINDOW s AS (PARTITION BY series_id ORDER BY date)),
+n3 AS (SELECT series_id, sum(z1*z1) AS a, sum(z1*z4) AS b, sum(z1*z5) AS c, sum(z4*z4) AS d, sum(z4*z5) AS e, sum(z5*z5) AS f,
+              sum(z1*z) AS p, sum(z4*z) AS q, sum(z5*z) AS r FROM zz WHERE z5 IS NOT NULL GROUP BY 1),
+-- the three equations by elimination: first z1 from the others, then z4 from the last
+el AS (SELECT *, d - b*b/a AS d2, e - b*c/a AS e2, f - c*c/a AS f2, q - b*p/a AS q2, r - c*p/a AS r2 FROM n3),
+psi AS (SELECT *, (q2 - e2 * k5) / d2 AS k4, (p - b * (q2 - e2 * k5) / d2 - c * k5) / a AS k1
+        FROM (SELECT *, (r2 - e2*q2/d2) / (f2 - e2*e2/d2) AS k5 FROM el)),
+res AS (SELECT zz.*, z - k1*z1 - k4*z4 - k5*z5 AS e FROM zz JOIN psi USING (series_id)),
+inn AS (SELECT *, lag(e) OVER (PARTITION BY series_id ORDER BY date) AS e1 FROM res),
+m AS (SELECT series_id, sum(z*z1) AS zx, sum(z*z4) AS zs, sum(z*z5) AS zp, sum(z*e1) AS ze, sum(z1*z1) AS xx, sum(z1*z4) AS xs, sum(z1*z5) AS xp,
+             sum(z1*e1) AS xe, sum(z4*z4) AS ss, sum(z4*z5) AS sp, sum(z4*e1) AS se, sum(z5*z5) AS pp, sum(z5*e1) AS pe, sum(e1*e1) AS ee
+      FROM inn WHERE e1 IS NOT NULL GROUP BY 1),
+turn AS (
+  SELECT series_id, 0 AS k, 0.0::DOUBLE AS ar, 0.0::DOUBLE AS sar, 0.0::DOUBLE AS ma, 0.0::DOUBLE AS moved FROM m
+  UNION ALL
+  SELECT series_id, k + 1, ar2, sar2, ma2, greatest(abs(ar2 - ar), abs(sar2 - sar), abs(ma2 - ma)) FROM (
+    SELECT *, ((zs - ar2*xs - ma2*se) - ar2 * (zp - ar2*xp - ma2*pe)) / (ss - 2*ar2*sp + ar2*ar2*pp) AS sar2 FROM (
+      SELECT *, (xw*ee - xe2*we) / (x2*ee - xe2*xe2) AS ar2, (x2*we - xe2*xw) / (x2*ee - xe2*xe2) AS ma2 FROM (
+        SELECT t.k, t.ar, t.sar, t.ma, m.*, xx - 2*sar*xp + sar*sar*pp AS x2, xe - sar*pe AS xe2, ze - sar*se AS we, zx - sar*(xs + zp) + sar*sar*sp AS xw
+        FROM turn t JOIN m ON m.series_id = t.series_id AND t.k < 200)))),
+fit AS (SELECT series_id, ar, sar, ma, moved FROM turn WHERE k = 200)"""
+
+
+@query("seasonal_arma", with_("panel", _ARMA_SQL + """
+SELECT series_id, round(ar, 6) + 0.0 AS ar, round(sar, 6) + 0.0 AS seasonal_ar, round(ma, 6) + 0.0 AS ma, moved <= 1e-8 AS converged FROM fit""", recursive=True))
+def seasonal_arma_fit(spark, sf):
+    df = splits.holdout_split(staged_panel(spark, sf), HORIZON)
+    return rounded(seasonal_arma.coefficients(df), ar=6, seasonal_ar=6, ma=6)
+
+
+@query("seasonal_ar_forecast", with_("panel", _ARMA_SQL + """
+, ends AS (SELECT inn.*, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS back FROM inn),
+state AS (
+  SELECT series_id, 0 AS step, any_value(ar) AS ar, any_value(sar) AS sar, any_value(ma) AS ma,
+         max(y) FILTER (back = 1) AS y1, max(y) FILTER (back = 2) AS y2, max(y) FILTER (back = 3) AS y3, max(y) FILTER (back = 4) AS y4, max(y) FILTER (back = 5) AS y5,
+         max(z) FILTER (back = 1) AS w1, max(z) FILTER (back = 2) AS w2, max(z) FILTER (back = 3) AS w3, max(z) FILTER (back = 4) AS w4, max(z) FILTER (back = 5) AS w5,
+         max(z - ar*z1 - sar*z4 + ar*sar*z5 - ma*e1) FILTER (back = 1) AS shock
+  FROM ends JOIN fit USING (series_id) GROUP BY 1
+  UNION ALL
+  SELECT series_id, step + 1, ar, sar, ma, y1 + y4 - y5 + w, y1, y2, y3, y4, w, w1, w2, w3, w4, 0.0
+  FROM (SELECT *, ar*w1 + sar*w4 - ar*sar*w5 + ma*shock AS w FROM state WHERE step < 8)),
+test AS (SELECT series_id, date, y, 9 - back AS step FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS back FROM panel) WHERE back <= 8)
+SELECT t.series_id, t.date, t.y, round(s.y1, 2) + 0.0 AS y_hat FROM test t JOIN state s ON s.series_id = t.series_id AND s.step = t.step""", recursive=True))
 def seasonal_ar_forecast(spark, sf):
-    return _points(linear.seasonal_ar_predict(splits.holdout_split(staged_panel(spark, sf), HORIZON)))
+    """Eight steps from the end of the training rows; no value of the test rows is read."""
+    return _points(seasonal_arma.predict(splits.holdout_split(staged_panel(spark, sf), HORIZON)))
+
+
+@query("holt_winters_fitted")
+def holt_winters_fitted(spark, sf):
+    """Forecasts with parameters and starting state fitted; ``holt_winters_optimality`` certifies the fit."""
+    return _points(smoothing.holt_winters(splits.holdout_split(staged_panel(spark, sf), HORIZON), optimised=True))
 
 
 @query("trend_season_regression")
@@ -149,8 +199,8 @@ def fitted_forecasts(spark: SparkSession, sf: str) -> DataFrame:
         names = features.feature_columns(df)
         forecasts = {
             "ridge": linear.fit_predict(df, names, "ridge"), "elasticnet": linear.fit_predict(df, names, "elasticnet"),
-            "gbt": trees.fit_predict(df, names), "holt_winters": smoothing.holt_winters(own),
-            "seasonal_ar": linear.seasonal_ar_predict(own), "trend_season": linear.trend_season_fit_predict(own),
+            "gbt": trees.fit_predict(df, names), "holt_winters": smoothing.holt_winters(own, optimised=True),
+            "seasonal_ar": seasonal_arma.predict(own), "stacking": stacking(spark, sf), "trend_season": linear.trend_season_fit_predict(own),
         }
         out = None
         for model, rows in forecasts.items():
@@ -177,7 +227,7 @@ def best_model_fitted(spark, sf):
 
 @query("forecast_rows", with_("split", """
 SELECT model, series_id, COUNT(*) AS n_rows, MIN(date) AS first_date, round(SUM(y), 2) AS total, COUNT(*) AS n_forecasts
-FROM split, (VALUES ('ridge'), ('elasticnet'), ('gbt'), ('holt_winters'), ('seasonal_ar'), ('trend_season')) AS m(model)
+FROM split, (VALUES ('ridge'), ('elasticnet'), ('gbt'), ('holt_winters'), ('seasonal_ar'), ('stacking'), ('trend_season')) AS m(model)
 WHERE is_test GROUP BY 1, 2"""))
 def forecast_rows(spark, sf):
     """Every fitted model answers every held-out row once."""

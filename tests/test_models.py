@@ -5,7 +5,7 @@ import pytest
 from conftest import PANEL, month_starts
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, ensemble, features, forecast, linear, smoothing, splits, trees
+from quartermill.operators import accuracy, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees
 
 
 def featured(panel, horizon=6):
@@ -84,6 +84,80 @@ def test_seasonal_ar_is_exact_on_line_plus_season(seasonal_panel):
     assert terms.filter(F.abs("z") > 1e-9).count() == 0
 
 
+def plain_smoothing_error(ys, alpha, beta, gamma, level, trend, season, period=4):
+    season, total = list(season), 0.0
+    for i, y in enumerate(ys):
+        old = season[i % period]
+        total += (y - level - trend - old) ** 2
+        before, level = level, alpha * (y - old) + (1 - alpha) * (level + trend)
+        season[i % period] = gamma * (y - before - trend) + (1 - gamma) * old
+        trend = beta * (level - before) + (1 - beta) * trend
+    return total
+
+
+def test_fitted_smoothing_is_not_beaten_nearby_or_at_random(spark):
+    panel = noisy_panel(spark)
+    rng = np.random.default_rng(3)
+    ys = {r["series_id"]: r["ys"] for r in smoothing.ordered_values(panel).collect()}
+    fits = smoothing.holt_winters_optimised(panel).collect()
+    assert len(fits) == len(ys) and all(f["converged"] for f in fits)
+    for f in fits:
+        y, start = ys[f["series_id"]], f["start"]
+        own = plain_smoothing_error(y, f["alpha"], f["beta"], f["gamma"], start["level"], start["trend"], start["season"])
+        assert own == pytest.approx(f["sse"], rel=1e-9) and abs(sum(start["season"])) < 1e-6
+        params = np.array([f["alpha"], f["beta"], f["gamma"]])
+        for _ in range(300):
+            near = np.clip(params + rng.choice([-1e-3, 0, 1e-3], 3), 0, 1)
+            state = np.array([start["level"], start["trend"], *start["season"]]) + rng.normal(size=6) * rng.choice([0, 1e-3, 1])
+            assert plain_smoothing_error(y, *near, state[0], state[1], state[2:]) >= own * (1 - 1e-9)
+    coarse = {r["series_id"]: r["sse"] for r in smoothing.holt_winters_fit(panel).collect()}
+    assert all(f["sse"] <= coarse[f["series_id"]] * 1.5 for f in fits)  # of all values, where the grid counts from the second season on
+
+
+def test_fitted_smoothing_recovers_an_exact_pattern_and_says_when_it_did_not_end(seasonal_panel, monkeypatch):
+    out = smoothing.holt_winters(splits.holdout_split(seasonal_panel, 8), optimised=True).collect()
+    assert len(out) == 16 and max(abs(r["y"] - r["y_hat"]) for r in out) < 1e-6
+    short = seasonal_panel.filter("date < '2001-09-01'").withColumn("y", F.when(F.col("date") > "2000-06-01", F.col("y")))
+    assert smoothing.holt_winters_optimised(short).count() == 0
+    monkeypatch.setattr(smoothing, "PASS_STEPS", 1)
+    monkeypatch.setattr(smoothing, "MAX_PASSES", 2)
+    assert {r["converged"] for r in smoothing.holt_winters_optimised(seasonal_panel).collect()} == {False}
+
+
+def arma_panel(spark, n=400, ar=0.5, seasonal=0.4, ma=0.6):
+    rng = np.random.default_rng(8)
+    rows = []
+    for name in ("a", "b"):
+        shocks, z = rng.normal(size=n), np.zeros(n)
+        for t in range(5, n):
+            z[t] = ar * z[t - 1] + seasonal * z[t - 4] - ar * seasonal * z[t - 5] + shocks[t] + ma * shocks[t - 1]
+        y = np.zeros(n)
+        for t in range(n):
+            y[t] = z[t] + (y[t - 1] if t else 0) + (y[t - 4] if t > 3 else 0) - (y[t - 5] if t > 4 else 0)
+        rows += [(name, d, float(v)) for d, v in zip(month_starts(n, dt.date(1901, 3, 1), 3), y)]
+    return spark.createDataFrame(rows, "series_id string, date date, y double")
+
+
+def test_seasonal_arma_finds_planted_terms(spark):
+    fits = seasonal_arma.coefficients(splits.holdout_split(arma_panel(spark), 8)).collect()
+    for f in fits:
+        assert f["converged"]
+        assert f["ma"] > 0.25 and abs(f["ar"] - 0.5) < 0.3 and abs(f["seasonal_ar"] - 0.4) < 0.2
+
+
+def test_forecasts_do_not_read_held_out_values(spark):
+    df = splits.holdout_split(arma_panel(spark, 60), 8)
+    changed = df.withColumn("y", F.when(F.col("is_test"), F.lit(-1e6)).otherwise(F.col("y")))
+    for predict in (seasonal_arma.predict, lambda d: smoothing.holt_winters(d, optimised=True), linear.trend_season_fit_predict):
+        one, two = ({(r["series_id"], r["date"]): r["y_hat"] for r in predict(d).collect()} for d in (df, changed))
+        assert len(one) == 16 and one == {k: pytest.approx(v, rel=1e-9) for k, v in two.items()}
+
+
+def test_seasonal_arma_continues_line_and_season(seasonal_panel):
+    out = seasonal_arma.predict(splits.holdout_split(seasonal_panel, 8)).collect()
+    assert len(out) == 16 and max(abs(r["y"] - r["y_hat"]) for r in out) < 1e-3
+
+
 def test_trend_season_regression_learns_line_and_season(seasonal_panel):
     out = linear.trend_season_fit_predict(splits.holdout_split(seasonal_panel, 8), alpha=0.01)
     assert accuracy.evaluate_forecast(out).agg(F.max("mape")).first()[0] < 3
