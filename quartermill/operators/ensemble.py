@@ -12,8 +12,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.operators import linear, trees
+from quartermill.operators import histogram_trees, linear, trees
 from quartermill.operators.accuracy import cv_rmse, evaluate_forecast
+from quartermill.operators.forecast import Fitted
 from quartermill.operators.splits import walk_forward_folds
 from quartermill.session import materialise
 
@@ -28,7 +29,9 @@ def training_folds(df: DataFrame, folds: int = 5) -> DataFrame:
 
 def predict(df: DataFrame, features: Sequence[str], model: str, keys: Sequence[str] = ("series_id",),
             settings: Mapping[str, float] | None = None) -> DataFrame:
-    """Test predictions of one model family; ``gbt`` is pooled, the others are fitted per group."""
+    """Test predictions of one model family; ``gbt`` and ``trees`` are pooled, the others are fitted per group."""
+    if model == "trees":
+        return histogram_trees.fit_predict(df, features, keys, histogram_trees.Settings(**(settings or {})))
     if model == "gbt":
         return trees.fit_predict(df, features, keys, **(settings or {}))
     return linear.fit_predict(df, features, model, keys, **(settings or {}))
@@ -38,7 +41,7 @@ def fold_predictions(folds: DataFrame, features: Sequence[str], model: str, n_fo
                      settings: Mapping[str, float] | None = None) -> DataFrame:
     """``(series_id, fold, date, y, y_hat)`` of the validation blocks, each from its own past only.
 
-    Models fitted per series take all folds in one job; a pooled model needs one fit per fold.
+    Models fitted per series and histogram trees take all folds together; Spark's trees need one fit per fold.
     """
     if model != "gbt":
         return predict(folds, features, model, FOLD_KEYS, settings)
@@ -47,25 +50,33 @@ def fold_predictions(folds: DataFrame, features: Sequence[str], model: str, n_fo
     return reduce(DataFrame.unionByName, parts)
 
 
-def stacking(df: DataFrame, features: Sequence[str], models: Mapping[str, Mapping[str, float]],
-             n_folds: int = 5, alpha: float = 1.0) -> DataFrame:
-    """Ridge over the out-of-fold predictions of the base models: ``(series_id, date, y, y_hat)``.
+def second_level(df: DataFrame, features: Sequence[str], models: Mapping[str, Mapping[str, float]], n_folds: int = 5) -> DataFrame:
+    """``(series_id, date, y, is_test, <model>...)``: out-of-fold predictions of training rows, plain ones of test rows.
 
     Rows no fold ever validates have no out-of-fold prediction and stay out of the second level.
     """
     folds = materialise(training_folds(df, n_folds), "folds")
     names = list(models)
+    inner = [fold_predictions(folds, features, m, n_folds, s).select("series_id", "date", F.lit(m).alias("model"), "y_hat") for m, s in models.items()]
+    outer = [predict(df, features, m, settings=s).select("series_id", "date", F.lit(m).alias("model"), "y_hat") for m, s in models.items()]
+    wide = reduce(DataFrame.unionByName, inner + outer).groupBy("series_id", "date").pivot("model", names).agg(F.first("y_hat"))
+    return materialise(wide.join(df.select("series_id", "date", "y", "is_test"), ["series_id", "date"]), "level_two")
 
-    def wide(long: DataFrame) -> DataFrame:
-        return long.groupBy("series_id", "date").pivot("model", names).agg(F.first("y_hat")).join(
-            df.select("series_id", "date", "y", "is_test"), ["series_id", "date"])
 
-    inner = [fold_predictions(folds, features, m, n_folds, s).select(
-        "series_id", "date", F.lit(m).alias("model"), "y_hat") for m, s in models.items()]
-    outer = [predict(df, features, m, settings=s).select(
-        "series_id", "date", F.lit(m).alias("model"), "y_hat") for m, s in models.items()]
-    level_two = wide(reduce(DataFrame.unionByName, inner + outer))
-    return linear.fit_predict(materialise(level_two, "level_two"), names, "ridge", alpha=alpha)
+def stacking(df: DataFrame, features: Sequence[str], models: Mapping[str, Mapping[str, float]],
+             n_folds: int = 5, alpha: float = 1.0) -> DataFrame:
+    """Ridge over the out-of-fold predictions of the base models: ``(series_id, date, y, y_hat)``."""
+    return linear.fit_predict(second_level(df, features, models, n_folds), list(models), "ridge", alpha=alpha)
+
+
+def stacked_forecaster(df: DataFrame, features: Sequence[str], models: Mapping[str, Mapping[str, float]], n_folds: int = 5,
+                       alpha: float = 1.0) -> Fitted:
+    """The stack as a model that a recursion can go on with; its base models are fitted on the training rows."""
+    names = list(models)
+    weights = linear.fit_coefficients(second_level(df, features, models, n_folds), names, "ridge", alpha=alpha)
+    coefficients = {m: linear.fit_coefficients(df, features, m, **s) for m, s in models.items() if m != "trees"}
+    forest, scales = histogram_trees.fit(df, features, histogram_trees.Settings(**models["trees"])) if "trees" in models else (None, None)
+    return Fitted(tuple(features), coefficients, forest, scales, weights, tuple(names))
 
 
 def random_trials(n: int, space: Mapping[str, tuple[float, float, str]], seed: int = 42) -> list[dict[str, float]]:

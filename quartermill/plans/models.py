@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees, verdicts
+from quartermill.operators import accuracy, ensemble, features, forecast, histogram_trees, linear, seasonal_arma, smoothing, splits, trees, verdicts
 from quartermill.plans import inputs
 from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.timeseries import _MODELS_SQL, model_scores, split, staged_merged, staged_panel
@@ -74,6 +74,47 @@ def top_importance(spark, sf):
     return trees.importance(model, names, spark)
 
 
+#: One tree of two leaves, every known value a bin, so that the best cut can be stated in SQL.
+STUMP = histogram_trees.Settings(rounds=1, leaves=2, bins=1000, min_rows=5, rate=0.5, l2=1.0, feature_share=1.0)
+
+
+def _stump_sql(rows: str, features: list[str]) -> str:
+    """CTEs ``scale``, ``z`` and ``best``: every cut of every feature, with missing values on either side."""
+    stats = ", ".join(f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) = 0 THEN 1 ELSE stddev_pop({f}) END AS s_{f}" for f in (*features, "y"))
+    scaled = ", ".join(f"(r.{f} - m_{f}) / s_{f} AS z_{f}" for f in (*features, "y"))
+    cases = " UNION ALL ".join(f"SELECT {k} AS f, z_{f} AS x, g FROM train" for k, f in enumerate(features))
+    return f"""
+, scale AS (SELECT series_id, {stats} FROM {rows} WHERE NOT is_test GROUP BY 1),
+z AS (SELECT r.series_id, r.date, r.y, r.is_test, {scaled} FROM {rows} r JOIN scale USING (series_id)),
+train AS (SELECT *, avg(z_y) OVER () AS base, avg(z_y) OVER () - z_y AS g FROM z WHERE NOT is_test),
+cells AS ({cases}),
+whole AS (SELECT sum(g) AS gw, count(*) AS nw, any_value(base) AS base FROM train),
+cuts AS (SELECT DISTINCT f, x AS cut, ml FROM cells, (VALUES (true), (false)) AS m(ml) WHERE x IS NOT NULL),
+tried AS (SELECT c.f, cut, ml, sum(g) FILTER (CASE WHEN x IS NULL THEN ml ELSE x <= cut END) AS gl, count(*) FILTER (CASE WHEN x IS NULL THEN ml ELSE x <= cut END) AS nl
+          FROM cuts c JOIN cells USING (f) GROUP BY 1, 2, 3),
+best AS (SELECT f, cut, ml, base - 0.5 * gl / (nl + 1) AS below, base - 0.5 * (gw - gl) / (nw - nl + 1) AS above FROM tried, whole WHERE nl >= 5 AND nw - nl >= 5
+         ORDER BY round(gl * gl / (nl + 1) + (gw - gl) * (gw - gl) / (nw - nl + 1), 9) DESC, f, cut, ml DESC LIMIT 1)"""
+
+
+cte("gapped", "SELECT series_id, date, y, is_test, y_lag_1, CASE WHEN month(date) IN (3, 9) THEN y_lag_4 END AS x_gapped FROM split", "split")
+
+
+@query("tree_stump", with_("gapped", _stump_sql("gapped", ["y_lag_1", "x_gapped"]) + """
+SELECT z.series_id, z.date, z.y, round(m_y + s_y * CASE WHEN CASE f WHEN 0 THEN coalesce(z_y_lag_1 <= cut, ml) ELSE coalesce(z_x_gapped <= cut, ml) END
+       THEN below ELSE above END, 2) + 0.0 AS y_hat FROM z JOIN scale USING (series_id), best WHERE is_test"""))
+def tree_stump(spark, sf):
+    """One boosting round over a full feature and one that is missing every other quarter."""
+    df = own_rows(spark, sf).withColumn("x_gapped", F.when(F.month("date").isin(3, 9), F.col("y_lag_4")))
+    return _points(histogram_trees.fit_predict(df, ["y_lag_1", "x_gapped"], s=STUMP, early_stopping=False))
+
+
+@query("tree_forecast")
+def tree_forecast(spark, sf):
+    """Histogram trees over all features, missing ones included, stopped by the last walk-forward block."""
+    df = model_rows(spark, sf)
+    return _points(histogram_trees.fit_predict(df, features.feature_columns(df)))
+
+
 def _values(numbers) -> str:
     return ", ".join(f"{float(n)}::DOUBLE" for n in numbers)
 
@@ -185,9 +226,9 @@ def trend_season_regression(spark, sf):
 
 @query("stacking")
 def stacking(spark, sf):
-    """Trees, ridge and elastic net below, ridge above."""
+    """Histogram trees, ridge and elastic net below, ridge above."""
     df = model_rows(spark, sf)
-    base = {"gbt": {}, "ridge": {"alpha": 1.0}, "elasticnet": {}}
+    base = {"trees": {}, "ridge": {"alpha": 1.0}, "elasticnet": {}}
     return ensemble.stacking(df, features.feature_columns(df), base)
 
 
@@ -261,7 +302,7 @@ def exog_ablation(spark, sf):
 def exog_ablation_trees(spark, sf):
     df = model_rows(spark, sf)
     subsets = {"all": features.feature_columns(df), "own": features.feature_columns(df, "own")}
-    return ensemble.exog_ablation(df, subsets, "gbt")
+    return ensemble.exog_ablation(df, subsets, "trees")
 
 
 # ---- forecasts beyond the data ---------------------------------------------------------------
@@ -303,6 +344,42 @@ def recursive_forecast_full(spark, sf):
     return forecast.recursive_forecast(staged_merged(spark, sf), linear.fit_coefficients(df, names), HORIZON)
 
 
+@query("recursive_stump", with_("split", _stump_sql("split", ["y_lag_4"]) + """
+, back AS (SELECT series_id, date, y, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS k FROM panel),
+path AS (SELECT series_id, 0 AS step, max(y) FILTER (k = 1) AS y1, max(y) FILTER (k = 2) AS y2, max(y) FILTER (k = 3) AS y3, max(y) FILTER (k = 4) AS y4,
+                max(date) AS d FROM back GROUP BY 1
+         UNION ALL
+         SELECT p.series_id, step + 1, m_y + s_y * CASE WHEN (y4 - m_y_lag_4) / s_y_lag_4 <= cut THEN below ELSE above END, y1, y2, y3, d
+         FROM path p JOIN scale ON scale.series_id = p.series_id, best WHERE step < 8)
+SELECT series_id, step, CAST(d + to_months(3 * step) AS DATE) AS date, round(y1, 2) + 0.0 AS y_hat FROM path WHERE step > 0""", recursive=True))
+def recursive_stump(spark, sf):
+    """Eight steps of a tree, each from the values predicted before."""
+    forest, scales = histogram_trees.fit(own_rows(spark, sf), ["y_lag_4"], STUMP, early_stopping=False)
+    return rounded(forecast.recursive_fitted(staged_panel(spark, sf), forecast.Fitted(("y_lag_4",), forest=forest, scales=scales), HORIZON), y_hat=2)
+
+
+def carried_features(df: DataFrame) -> list[str]:
+    return features.feature_columns(df, "engineered") + ["cpi", "unemployment_rate", "interest_rate_90d"]
+
+
+@query("recursive_forecast_trees")
+def recursive_forecast_trees(spark, sf):
+    """Boosted trees carried on for eight quarters; exogenous columns keep their last value, missing ones stay missing."""
+    df = model_rows(spark, sf)
+    names = carried_features(df)
+    forest, scales = histogram_trees.fit(df, names)
+    return forecast.recursive_fitted(staged_merged(spark, sf), forecast.Fitted(tuple(names), forest=forest, scales=scales), HORIZON)
+
+
+@query("recursive_forecast_stack")
+def recursive_forecast_stack(spark, sf):
+    """A stack of trees, ridge and elastic net carried on for eight quarters."""
+    df = model_rows(spark, sf)
+    names = features.feature_columns(df, "engineered") + ["cpi", "unemployment_rate"]
+    model = ensemble.stacked_forecaster(df, names, {"trees": {}, "ridge": {"alpha": 1.0}, "elasticnet": {}})
+    return forecast.recursive_fitted(staged_merged(spark, sf), model, HORIZON)
+
+
 @query("append_forecast", with_("one_sums", _PATH.format(panel="panel") + """
 SELECT series_id, date, round(y, 2) + 0.0 AS y, FALSE AS predicted FROM panel
 UNION ALL SELECT series_id, date, round(y_hat, 2) + 0.0, TRUE FROM dated""", recursive=True))
