@@ -6,24 +6,22 @@ the driver; tables of vectors never do.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.functions.skew import spread
+from quartermill.functions.skew import global_rank
+from quartermill.session import materialise
 
-# Block sizes of the scoring job: a task holds one user block, one item block and their seen pairs. Each
-# side is copied once per block of the other, so blocks are as large as a task's memory allows (vectors of
-# 100 numbers: 13 and 26 MB); the score matrix is bounded by the chunk.
-USER_BLOCK = 16_384
+# Items of one block, which is held by every task of a round (vectors of 100 numbers: 26 MB), and users that are scored at a time.
 ITEM_BLOCK = 32_768
-CHUNK_ROWS = 128
+USER_BLOCK = 128
 SCORE_DIGITS = 9
-MAX_TASKS = 100_000
+#: What rounding to so many digits may add to a score.
+ROUNDING = 1e-9
 
 
 def stack(column: pd.Series) -> np.ndarray:
@@ -78,94 +76,126 @@ def normalise(df: DataFrame, vec: str = "vec") -> DataFrame:
         vec, F.transform(vec, lambda x: x / F.col("_norm"))).drop("_norm")
 
 
-def _blocked(users: DataFrame, items: DataFrame, seen: DataFrame | None, user_block: int, item_block: int):
-    """Both sides keyed by (user block, item block); block numbers derive from the ids alone."""
-    item_blocks = max(1, math.ceil(items.count() / item_block))
-    user_blocks = max(1, math.ceil(users.count() / user_block))
-    ub = F.pmod(F.xxhash64("user_id"), F.lit(user_blocks)).cast("int")
-    ib = F.pmod(F.xxhash64("item_id"), F.lit(item_blocks)).cast("int")
-    every_user_block = F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1)))
-    every_item_block = F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
-    item_type = items.schema["item_id"].dataType
-    left = users.select(ub.alias("ub"), every_item_block.alias("ib"), "user_id",
-                        F.lit(None).cast(item_type).alias("item_id"), "vec")
+# Scoring of all users against all items
+
+
+def _blocks(items: DataFrame, item_block: int) -> tuple[DataFrame, list[float]]:
+    """Items with the number of their block, in falling order of length, and the greatest length in each block."""
+    sized = items.select("item_id", "vec", l2_norm(F.col("vec")).alias("norm"))
+    placed = global_rank(sized, [F.desc("norm"), F.desc("item_id")], "_place")
+    stored = materialise(placed.withColumn("block", F.floor((F.col("_place") - 1) / item_block).cast("int")).drop("_place"), "item_blocks")
+    lengths = stored.groupBy("block").agg(F.max("norm").alias("norm")).orderBy("block").collect()  # a row for each block
+    return stored, [r["norm"] for r in lengths]
+
+
+def _rounds(users: DataFrame, items: DataFrame, item_block: int, update, reaches) -> tuple[DataFrame, int]:
+    """``(state, blocks)``: users after all blocks that can still change what they have.
+
+    A round sends one block of items, of bounded size, to all tasks, and the users stream past it. ``update`` is given the block's ids in
+    falling order and its matrix and maps batches of users; ``reaches`` is a condition, given the greatest length in the next
+    block, whether that block can change anything for a user. Blocks are in falling order of length, so a user that one can't
+    reach is done. No side is copied for blocks of the other, so what moves grows with users + items.
+    """
+    spark = users.sparkSession
+    stored, lengths = _blocks(items, item_block)
+    active, done = users, None
+    for b in range(len(lengths)):
+        own = stored.filter(F.col("block") == b).select("item_id", "vec").toPandas().sort_values("item_id", ascending=False)
+        shared = spark.sparkContext.broadcast((own["item_id"].to_numpy(), stack(own["vec"]).T))
+        state = materialise(active.mapInPandas(update(shared), users.schema), "scoring")
+        shared.unpersist()
+        if b + 1 == len(lengths):
+            ended = state
+        else:
+            going = F.coalesce(reaches(F.lit(lengths[b + 1])), F.lit(True))
+            ended, active = state.filter(~going), state.filter(going)
+        done = ended if done is None else done.unionByName(ended)
+        if b + 1 == len(lengths) or active.isEmpty():
+            break
+    return (users if done is None else done), len(lengths)
+
+
+def top_k_state(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None,
+                user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> tuple[DataFrame, int]:
+    """``(state, blocks)`` with ``(user_id, vec, norm, seen, best, scores, visited)``: lists so far and the blocks looked at by each user."""
+    user_type, item_type = (df.schema[c].dataType.simpleString() for df, c in ((users, "user_id"), (items, "item_id")))
+    none = F.array().cast(f"array<{item_type}>")
+    start = users.select("user_id", "vec", l2_norm(F.col("vec")).alias("norm"))
     if seen is not None:
-        pairs = seen.join(users.select("user_id"), "user_id", "left_semi").select(
-            ub.alias("ub"), ib.alias("ib"), "user_id", "item_id",
-            F.lit(None).cast("array<double>").alias("vec"))
-        left = left.unionByName(pairs)
-    right = items.select(every_user_block.alias("ub"), ib.alias("ib"), "item_id", "vec")
-    tasks = min(user_blocks * item_blocks, MAX_TASKS)
-    return tuple(spread(side, "ub", "ib", partitions=tasks).groupBy("ub", "ib") for side in (left, right))
-
-
-def _scores(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[tuple[np.ndarray, pd.Index, np.ndarray]]:
-    """Chunks of (users, items by descending id, exact scores); seen pairs score minus infinity."""
-    is_user = left["item_id"].isna()
-    users, seen = left[is_user], left[~is_user]
-    if users.empty or right.empty:
-        return
-    right = right.sort_values("item_id", ascending=False)
-    items = pd.Index(right["item_id"])
-    factors = stack(right["vec"]).T
-    ids = users["user_id"].to_numpy()
-    position = pd.Series(np.arange(len(ids)), index=ids)
-    rows = position.reindex(seen["user_id"]).to_numpy()
-    cols = items.get_indexer(seen["item_id"])
-    valid = ~np.isnan(rows.astype(float)) & (cols >= 0)
-    rows, cols = rows[valid].astype(int), cols[valid]
-    vecs = stack(users["vec"])
-    for start in range(0, len(ids), CHUNK_ROWS):
-        scores = vecs[start:start + CHUNK_ROWS] @ factors
-        inside = (rows >= start) & (rows < start + CHUNK_ROWS)
-        scores[rows[inside] - start, cols[inside]] = -np.inf
-        yield ids[start:start + CHUNK_ROWS], items, scores
+        # A user has at most one cell for each item of the catalogue.
+        own = seen.groupBy("user_id").agg(F.collect_list(F.col("item_id").cast(item_type)).alias("seen"))
+        start = start.join(own, "user_id", "left").withColumn("seen", F.coalesce("seen", none))
+    else:
+        start = start.withColumn("seen", none)
+    start = start.withColumns({"best": none, "scores": F.array().cast("array<double>"), "visited": F.lit(0)})
+    start = start.select("user_id", "vec", "norm", "seen", "best", "scores", "visited")
+
+    def update(shared):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, matrix = shared.value
+            index = pd.Index(ids)
+            for batch in batches:
+                for at in range(0, len(batch), user_block):
+                    some = batch.iloc[at:at + user_block].reset_index(drop=True)
+                    scores = np.round(stack(some["vec"]) @ matrix, SCORE_DIGITS)
+                    rows = np.repeat(np.arange(len(some)), some["seen"].map(len))
+                    cols = index.get_indexer(np.concatenate([np.asarray(s, dtype=object) for s in some["seen"]])) if len(rows) else np.zeros(0, int)
+                    scores[rows[cols >= 0], cols[cols >= 0]] = -np.inf
+                    top = min(k, scores.shape[1])
+                    edge = np.partition(scores, scores.shape[1] - top, axis=1)[:, scores.shape[1] - top]
+                    r, c = np.nonzero((scores >= edge[:, None]) & np.isfinite(scores))
+                    before = np.repeat(np.arange(len(some)), some["best"].map(len))
+                    merged = pd.DataFrame({
+                        "row": np.concatenate([before, r]), "score": np.concatenate([*some["scores"], scores[r, c]]).astype(float),
+                        "item": np.concatenate([*[np.asarray(b, dtype=object) for b in some["best"]], np.asarray(ids[c], dtype=object)])})
+                    merged = merged.sort_values(["row", "score", "item"], ascending=[True, False, False], kind="stable")
+                    merged = merged[merged.groupby("row").cumcount() < k]
+                    cuts = np.searchsorted(merged["row"].to_numpy(), np.arange(1, len(some)))
+                    yield some.assign(best=[x.tolist() for x in np.split(merged["item"].to_numpy(), cuts)],
+                                      scores=[x.tolist() for x in np.split(merged["score"].to_numpy(), cuts)], visited=some["visited"] + 1)
+
+        return run
+
+    def reaches(length: Column) -> Column:
+        return (F.size("scores") < k) | (F.col("norm") * length * (1 + 1e-12) + ROUNDING >= F.get("scores", F.lit(k - 1)))
+
+    return _rounds(start, items, item_block, update, reaches)
 
 
 def top_k_scores(users: DataFrame, items: DataFrame, k: int, seen: DataFrame | None = None,
                  user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """``(user_id, item_id, score, rank)``: the k best unseen items of each user by dot product.
 
-    Users and items are hashed into blocks and every (user block, item block) is one task of bounded
-    size that emits only its k best per user; a window then merges k rows per item block. Seen
-    pairs travel to the block they belong to, so they are masked exactly, without over-fetching.
-    Scores are compared to nine decimals, then by item id descending, so neither the blocking nor
+    Items come in blocks of falling length; a user is done with its k-th score above what its own length and the next
+    block's can give, so most of the products with short vectors are never made. Nothing is left out: the bound is
+    that of Cauchy and Schwarz. Scores are compared to nine decimals, then by item id descending, so neither blocks nor
     the order of addition can change a ranking.
     """
-    left, right = _blocked(users, items, seen, user_block, item_block)
-    user_type = users.schema["user_id"].dataType.simpleString()
-    item_type = items.schema["item_id"].dataType.simpleString()
-    schema = f"user_id {user_type}, item_id {item_type}, score double"
-
-    def best(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for ids, names, exact in _scores(lhs, rhs):
-            scores = np.round(exact, SCORE_DIGITS)
-            top = min(k, scores.shape[1])
-            edge = np.partition(scores, scores.shape[1] - top, axis=1)[:, scores.shape[1] - top]
-            r, c = np.nonzero((scores >= edge[:, None]) & np.isfinite(scores))
-            order = np.lexsort((c, -scores[r, c], r))
-            r, c = r[order], c[order]
-            first = np.searchsorted(r, np.arange(len(ids)))
-            keep = np.arange(len(r)) - first[r] < top
-            out.append(pd.DataFrame({"user_id": ids[r[keep]], "item_id": names[c[keep]],
-                                     "score": scores[r[keep], c[keep]]}))
-        return pd.concat(out) if out else pd.DataFrame({"user_id": [], "item_id": [], "score": []})
-
-    candidates = left.cogroup(right).applyInPandas(best, schema)
-    order = Window.partitionBy("user_id").orderBy(F.desc("score"), F.desc("item_id"))
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    state, _ = top_k_state(users, items, k, seen, user_block, item_block)
+    rows = state.select("user_id", F.posexplode(F.arrays_zip("best", "scores")).alias("_i", "_m"))
+    return rows.select("user_id", F.col("_m.best").alias("item_id"), F.col("_m.scores").alias("score"), (F.col("_i") + 1).alias("rank"))
 
 
 def score_range(users: DataFrame, items: DataFrame, user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
-    """``(user_id, lo, hi)``: smallest and largest score of each user over all items."""
-    left, right = _blocked(users, items, None, user_block, item_block)
-    user_type = users.schema["user_id"].dataType.simpleString()
-
-    def extremes(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"user_id": ids, "lo": s.min(axis=1), "hi": s.max(axis=1)})
-               for ids, _, s in _scores(lhs, rhs)]
-        return pd.concat(out) if out else pd.DataFrame({"user_id": [], "lo": [], "hi": []})
-
-    parts = left.cogroup(right).applyInPandas(extremes, f"user_id {user_type}, lo double, hi double")
-    return parts.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    """``(user_id, lo, hi)``: smallest and largest score of each user over all items, from the blocks that can widen it."""
+    nothing = F.lit(None).cast("double")
+    start = users.select("user_id", "vec", l2_norm(F.col("vec")).alias("norm"), nothing.alias("lo"), nothing.alias("hi"))
+
+    def update(shared):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            _, matrix = shared.value
+            for batch in batches:
+                for at in range(0, len(batch), user_block):
+                    some = batch.iloc[at:at + user_block]
+                    scores = stack(some["vec"]) @ matrix
+                    lo, hi = some["lo"].to_numpy(float), some["hi"].to_numpy(float)
+                    yield some.assign(lo=np.fmin(lo, scores.min(axis=1)), hi=np.fmax(hi, scores.max(axis=1)))
+
+        return run
+
+    def reaches(length: Column) -> Column:
+        most = F.col("norm") * length * (1 + 1e-12)
+        return (most > F.col("hi")) | (-most < F.col("lo"))
+
+    state, _ = _rounds(start, items, item_block, update, reaches)
+    return state.select("user_id", "lo", "hi")

@@ -387,6 +387,19 @@ def rec_svd(spark, sf):
     return recommend.rec_factors(users, items, train, test, K)
 
 
+@query("scoring_blocks", with_("train", """
+SELECT COUNT(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_unvisited FROM train"""))
+def scoring_blocks(spark, sf):
+    """Small blocks of items in falling order of length give every user the list that one block gives."""
+    train, _ = train_test(spark, sf)
+    users, items, _ = svd_factors(spark, sf)
+    state, _ = vectors.top_k_state(users, items, K, train, item_block=200)
+    whole, _ = vectors.top_k_state(users, items, K, train)
+    both = state.select("user_id", "best", "visited").join(whole.select("user_id", F.col("best").alias("other")), "user_id", "full")
+    return both.agg(F.count(F.lit(1)).alias("n_users"), F.sum((~F.col("best").eqNullSafe(F.col("other"))).cast("bigint")).alias("n_changed"),
+                    F.sum((F.coalesce("visited", F.lit(0)) < 1).cast("bigint")).alias("n_unvisited"))
+
+
 @query("rec_als")
 def rec_als(spark, sf):
     train, test = train_test(spark, sf)

@@ -66,6 +66,31 @@ def test_top_k_equals_brute_force_for_any_blocking(spark, blocks):
     assert spans == {a: (scores[a].min(), scores[a].max()) for a in range(30)}
 
 
+def test_short_items_are_skipped_and_lists_stay_the_same(spark):
+    rng = np.random.default_rng(4)
+    u, v = rng.normal(size=(40, 6)), rng.normal(size=(300, 6)) * (1 / np.arange(1, 301))[:, None]
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user_id bigint, vec array<double>")
+    items = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "item_id bigint, vec array<double>").repartition(3)
+    seen = spark.createDataFrame([(i, j) for i in range(0, 40, 2) for j in range(12)], "user_id bigint, item_id bigint")
+    state, blocks = vectors.top_k_state(users, items, 5, seen, item_block=20)
+    rows = state.collect()
+    assert blocks == 15 and sum(r["visited"] for r in rows) < 0.5 * blocks * len(rows) and len(rows) == 40
+    for r in rows:
+        scores = np.round(v @ u[r["user_id"]], vectors.SCORE_DIGITS)
+        if r["user_id"] % 2 == 0:
+            scores[:12] = -np.inf
+        assert r["best"] == sorted(range(300), key=lambda i: (-scores[i], -i))[:5]
+    plan = vectors.top_k_scores(users, items, 5, seen, item_block=20)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CoGroup" not in plan  # the lists are read as they were written
+
+
+def test_scoring_of_nobody_or_nothing(spark):
+    users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id bigint, vec array<double>")
+    items = spark.createDataFrame([("a", [0.0, 0.0])], "item_id string, vec array<double>")
+    assert [tuple(r) for r in vectors.top_k_scores(users, items, 3).select("item_id", "score", "rank").collect()] == [("a", 0.0, 1)]
+    assert vectors.top_k_scores(users.limit(0), items, 3).count() == vectors.top_k_scores(users, items.limit(0), 3).count() == 0
+
+
 def test_hybrid_equals_the_written_out_blend(spark):
     rng = np.random.default_rng(2)
     su, si = rng.normal(size=(6, 3)), rng.normal(size=(20, 3))
