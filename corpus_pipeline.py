@@ -12,32 +12,44 @@ from quartermill.session import materialise
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labels of ``sf_dir``, takes for good ones."""
+    """Documents that the classifier, trained on the labels of ``sf_dir``, takes for good ones.
+
+    Null and empty texts are scored like any other and go; repeated rows stay or go together; an empty table
+    gives none. Columns beyond those of ``documents`` stay as they are, whatever their names.
+    """
     trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, trees, keep=docs.columns).filter("predicted = 1").select(docs.columns)
+    return quality.good_ones(docs, trees)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line rules keep, without their failed lines."""
-    cleaned = line_rules.clean(docs, keep=docs.columns, outputs=["kept", "clean_text"]).filter("kept")
-    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast(docs.schema["n_chars"].dataType)}
-    return cleaned.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    """Documents that the line rules keep, without their failed lines.
+
+    Null and empty texts go, repeated rows stay or go together, an empty table gives none; other columns stay.
+    """
+    kept = line_rules.cleaned(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one with the smallest id.
+
+    Texts without words have no copies and stay; repeated rows are copies; a null id yields to any other.
+    """
     return chosen_path.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the target mix, a row for each epoch that takes them."""
+    """Documents in the target mix, a row for each epoch that takes them.
+
+    Null sources and languages are leaves of their own, texts without words cost nothing, ties go by id.
+    """
     taken = mixing.select_mix(docs, mixing.count_words("text"), MIX, extra={"domain": F.substring("source", 1, 4)})
     repeated = taken.withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("_mix_epochs"))))
     return repeated.select(docs.columns)
 
 
 def piece_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, with digests of the ids and of the text decoded from them."""
+    """Ids of every document, with digests of the ids and of the text decoded from them; a null text is empty."""
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id", "lang", "source"],
                          outputs=["n_tokens", "ids", "ids_sha256", "decoded_sha256"])
 
