@@ -29,6 +29,7 @@ from quartermill.session import materialise
 RUN_SHIFT = np.uint64(57)  # the run stands in the upper bits of a path, so up to 64 runs
 MAX_RUNS = 64
 CHUNK = 1 << 16
+STRIP_CELLS = 1 << 22  # cells of the strip of a membership matrix that is held at once
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,7 @@ class JoinSettings:
     positions: int = 64  # min-hash tokens of a set
     children: float = 2.0  # tokens sampled at a node, on average
     leaf: int = 1024  # buckets up to this size are compared pair by pair, larger ones in the end in blocks of it
+    block_shingles: int = 1 << 21  # n-grams that a block's sets have together, about
     split_gain: float = 0.5  # a split must leave at most this share of a bucket's comparisons
     depth: int = 6
     recall: float = 0.9995  # of pairs at exactly the similarity asked for, in the worst case
@@ -138,13 +140,22 @@ def _first_meeting(path: int, paths: list[np.ndarray]) -> np.ndarray:
     owner = np.repeat(np.arange(n), sizes)
     several = times[number] > 1  # a bucket named once can't be shared
     owner, number = owner[several], np.unique(number[several], return_inverse=True)[1]
-    met = np.zeros((n, n), np.float32)
-    for start in range(0, int(number.max(initial=-1)) + 1, CHUNK // 16):
-        inside = (number >= start) & (number < start + CHUNK // 16)
-        member = np.zeros((n, CHUNK // 16), np.float32)
-        member[owner[inside], number[inside] - start] = 1
-        met += member @ member.T
-    return met == 0
+    return _shared(owner, number, n) == 0
+
+
+def _shared(owner: np.ndarray, number: np.ndarray, n: int) -> np.ndarray:
+    """How many numbers each two of ``n`` owners share, from a membership matrix that is made strip by strip."""
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    names = int(number[-1]) + 1 if len(number) else 0
+    width = max(1, min(names, STRIP_CELLS // n))
+    shared, member = np.zeros((n, n), np.float32), np.zeros((n, width), np.float32)
+    for start in range(0, names, width):
+        low, high = np.searchsorted(number, [start, start + width])
+        member[:] = 0
+        member[owner[low:high], number[low:high] - start] = 1
+        shared += member @ member.T
+    return shared
 
 
 def _candidates(group: pd.DataFrame, limit: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -176,17 +187,9 @@ def _linked(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, similarity: fl
     if len(a) <= 2 * len(sets):
         both = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)])
     else:
-        used, owner = np.unique(np.concatenate([a, b])), None
-        names, number = np.unique(np.concatenate([sets[x] for x in used]), return_inverse=True)
-        owner = np.repeat(np.arange(len(used)), sizes[used])
-        shared = np.zeros((len(used), len(used)), np.float32)
-        order = np.argsort(number, kind="stable")
-        number, owner = number[order], owner[order]
-        for start in range(0, len(names), CHUNK // 4):
-            low, high = np.searchsorted(number, [start, start + CHUNK // 4])
-            member = np.zeros((len(used), CHUNK // 4), np.float32)
-            member[owner[low:high], number[low:high] - start] = 1
-            shared += member @ member.T
+        used = np.unique(np.concatenate([a, b]))
+        number = np.unique(np.concatenate([sets[x] for x in used]), return_inverse=True)[1].astype(np.int32)
+        shared = _shared(np.repeat(np.arange(len(used), dtype=np.int32), sizes[used]), number, len(used))
         both = shared[np.searchsorted(used, a), np.searchsorted(used, b)]
     return both + 1e-9 >= similarity * (sizes[a] + sizes[b] - both)
 
@@ -242,7 +245,7 @@ def _text_key(text: str):
 
 
 def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
-    """``(path, gid, n)``: membership in the buckets that are compared, ``n`` rows each.
+    """``(path, gid, n, held)``: membership in the buckets that are compared, ``n`` rows and ``held`` n-grams each.
 
     A bucket above ``leaf`` is split, if that pays: if its members are near copies of each other, nearly
     all of them go on together into every child, and the children would need more comparisons than
@@ -252,19 +255,21 @@ def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
 
     def expand(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            gids, parents, paths = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for gid, own, tokens in zip(batch["gid"], batch["own"], batch["tokens"]):
+            gids, sizes, parents, paths = [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for gid, size, own, tokens in zip(batch["gid"], batch["n_shingles"], batch["own"], batch["tokens"]):
                 own = np.asarray(own, np.int64)
                 found, parent = children_of(own.astype(np.uint64), np.frombuffer(tokens, np.uint32), share)
                 gids += [gid] * len(found)
+                sizes += [size] * len(found)
                 parents.append(own[parent])
                 paths.append(found.astype(np.int64))
-            yield pd.DataFrame({"path": np.concatenate(paths), "parent": np.concatenate(parents), "gid": gids})
+            yield pd.DataFrame({"path": np.concatenate(paths), "parent": np.concatenate(parents), "gid": gids, "n_shingles": np.array(sizes, np.int32)})
 
-    found = groups.select(F.explode("paths").alias("path"), "gid")
-    counts = found.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = materialise(found.join(counts, "path"), "level1")
-    leaves, active = [], groups.select("gid", "tokens")
+    size = F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("held")
+    found = groups.select(F.explode("paths").alias("path"), "gid", "n_shingles")
+    counts = found.groupBy("path").agg(*size).filter("n > 1")
+    met = materialise(found.drop("n_shingles").join(counts, "path"), "level1")
+    leaves, active = [], groups.select("gid", "n_shingles", "tokens")
     for level in range(2, s.depth + 2):
         leaves.append(met.filter(F.col("n") <= s.leaf))
         large = met.filter(F.col("n") > s.leaf)
@@ -275,16 +280,16 @@ def leaf_buckets(groups: DataFrame, s: JoinSettings) -> DataFrame:
             break
         # Only groups in large buckets go on, and with them their tokens.
         own = large.groupBy("gid").agg(F.collect_list("path").alias("own"))
-        active = materialise(active.join(own, "gid").select("gid", "tokens", "own"), f"active{level}")
-        below = materialise(active.mapInPandas(expand, "path bigint, parent bigint, gid binary"), f"below{level}")
+        active = materialise(active.join(own, "gid").select("gid", "n_shingles", "tokens", "own"), f"active{level}")
+        below = materialise(active.mapInPandas(expand, "path bigint, parent bigint, gid binary, n_shingles int"), f"below{level}")
         active = active.drop("own")
-        counts = below.groupBy("path", "parent").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        counts = below.groupBy("path", "parent").agg(*size).filter("n > 1")
         work = counts.groupBy(F.col("parent").alias("path")).agg(F.sum(F.col("n").cast("double") ** 2).alias("work"))
         sizes = large.groupBy("path").agg(F.first("n").alias("size"))
         pays = F.coalesce("work", F.lit(0.0)) <= s.split_gain * F.col("size").cast("double") ** 2
         parents = materialise(sizes.join(work, "path", "left").select("path", pays.alias("split")), f"parents{level}")
         leaves.append(large.join(parents.filter("NOT split").select("path"), "path", "left_semi"))
-        going = counts.join(parents.filter("split").select(F.col("path").alias("parent")), "parent", "left_semi").select("path", "n")
+        going = counts.join(parents.filter("split").select(F.col("path").alias("parent")), "parent", "left_semi").select("path", "n", "held")
         met = materialise(below.select("path", "gid").join(going, "path"), f"level{level}")
     out = leaves[0]
     for more in leaves[1:]:
@@ -296,7 +301,7 @@ def _bucket_rows(members: DataFrame, s: JoinSettings) -> DataFrame:
     """Each group once per bucket, or once per pair of blocks where it is larger than one."""
     one = members.select("gid", "n_shingles", "sketch", F.transform("met", lambda m: m["path"]).alias("paths"), F.explode("met").alias("m"))
     one = one.select("gid", "n_shingles", "sketch", "paths", F.col("m.path").alias("path"),
-                     F.ceil(F.col("m.n") / s.leaf).cast("int").alias("blocks"))
+                     F.ceil(F.greatest(F.col("m.n") / s.leaf, F.col("m.held") / s.block_shingles)).cast("int").alias("blocks"))
     one = one.withColumn("own", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
     one = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return one.select("path", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "gid",
@@ -428,7 +433,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     positions = s.positions
     # One byte of each token is a sketch: the lowest of its four.
     sketch = F.concat(*[F.substring("tokens", 4 * p + 1, 1) for p in range(positions)])
-    members = met.groupBy("gid").agg(F.collect_list(F.struct("path", "n")).alias("met")).join(
+    members = met.groupBy("gid").agg(F.collect_list(F.struct("path", "n", "held")).alias("met")).join(
         groups.select("gid", "n_shingles", sketch.alias("sketch")), "gid")
     marked = materialise(_marked(_bucket_rows(members, s), s), "marked")
     texts = df.select(_text_key(text).alias("text_key"), text_or_empty(text).alias("_text"))

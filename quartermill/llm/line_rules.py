@@ -156,6 +156,21 @@ def clean(df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",),
     return map_texts(df.select(*[F.col(c) for c in keep], text_or_empty(text).alias("_text")), schema, rows)
 
 
+def cleaned(df: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
+    """The rows of ``df`` that ``clean`` keeps, with the cleaned text in place of the text.
+
+    Only the texts go to Python, and only kept ones come back. Nulls, repeats and empty tables as in ``clean``.
+    """
+
+    @F.pandas_udf("string")
+    def without_failed_lines(texts: pd.Series) -> pd.Series:
+        judged = (clean_text(value, rules) for value in texts)
+        return pd.Series([row["clean_text"] if row["kept"] else None for row in judged], dtype=object)
+
+    # Not deterministic, so that the filter is not moved below and the texts are not judged twice.
+    return df.withColumn(text, without_failed_lines.asNondeterministic()(text_or_empty(text))).filter(F.col(text).isNotNull())
+
+
 def sql(rules: LineRules = LineRules()) -> str:
     """The same verdicts over ``documents`` as one SQL statement; row numbers stand in for the document."""
     quoted = ", ".join(f"'{p}'" for p in rules.phrases)

@@ -219,3 +219,18 @@ def score(documents: DataFrame, trees: Trees, text: str = "text", keep: Sequence
         return batch[keep].assign(score=scores, predicted=(scores >= threshold).astype(np.int32))
 
     return map_texts(documents.select(*keep, text_or_empty(text).alias("_text")), schema, rows)
+
+
+def good_ones(documents: DataFrame, trees: Trees, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``documents`` with a score of at least ``threshold``, as ``score`` gives it.
+
+    Only the texts go to Python and only their scores come back. Nulls, repeats and empty tables as in ``score``.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(trees)
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        x = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(STATISTICS))
+        return pd.Series(np.concatenate([shared.value.score(x[i:i + 4096]) for i in range(0, len(x), 4096)] or [np.zeros(0)]))
+
+    return documents.filter(scored(text_or_empty(text)) >= threshold)
