@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import global_rank, salted_join
+from quartermill.operators.implicit_als import als
 from quartermill.operators.interactions import bm25_weights
 from quartermill.operators.vectors import l2_norm, normalise, score_range, top_k_scores, weighted_sum
 from quartermill.session import materialise
@@ -14,7 +14,6 @@ from quartermill.session import materialise
 # Popularity sums run in decimals: the order of addition must not decide between equal items.
 EXACT_WEIGHT = "decimal(20,9)"
 SVD_WEIGHT = 0.6
-MAX_ALS_IDS = 2 ** 31 - 1
 
 
 def popular_items(train: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
@@ -150,26 +149,5 @@ def rec_hybrid(svd_users: DataFrame, svd_items: DataFrame, topics: DataFrame, tr
 
 def als_factors(train: DataFrame, users: DataFrame, rank: int = 64, iterations: int = 30, reg: float = 0.1,
                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """``(user_factors, item_factors)`` of implicit ALS on BM25 weights.
-
-    The library needs integer ids, so both sides get their position in id order. Its confidence is
-    1 + weight and its penalty grows with the number of ratings, which differs in scale from other
-    implementations of the method.
-    """
-    u = materialise(global_rank(train.select("user_id").distinct(), [F.asc("user_id")], "_u"), "als_users")
-    i = materialise(global_rank(train.select("item_id").distinct(), [F.asc("item_id")], "_i"), "als_items")
-    if max(u.count(), i.count()) > MAX_ALS_IDS:
-        raise ValueError("implicit ALS numbers users and items with 32-bit integers")
-    weighted = bm25_weights(train, users)
-    ratings = weighted.join(u, "user_id").join(i, "item_id").select(
-        F.col("_u").cast("int").alias("user"), F.col("_i").cast("int").alias("item"),
-        F.col("bm25").cast("float").alias("rating"))
-    model = ALS(rank=rank, maxIter=iterations, regParam=reg, implicitPrefs=True, seed=seed,
-                userCol="user", itemCol="item", ratingCol="rating").fit(materialise(ratings, "ratings"))
-    vec = F.transform("features", lambda x: x.cast("double")).alias("vec")
-    return (
-        model.userFactors.join(u, F.col("id") == F.col("_u")).select("user_id", vec),
-        model.itemFactors.join(i, F.col("id") == F.col("_i")).select("item_id", vec),
-    )
-
-
+    """``(user_factors, item_factors)`` of implicit ALS with BM25 weights as confidences."""
+    return als(bm25_weights(train, users).select("user_id", "item_id", F.col("bm25").alias("weight")), rank, iterations, reg, seed)

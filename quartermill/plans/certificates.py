@@ -13,13 +13,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import ensemble, features, linear, nmf, scaling, smoothing, spectral, splits, trees, vectors
+from quartermill.operators import ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, trees, vectors
 from quartermill.plans import inputs
 from quartermill.plans.catalog import query, rounded, with_
 from quartermill.plans.decompose import DIM, INDUSTRY_TOPICS, embeddings, standard, svd_factors
 from quartermill.plans.models import HORIZON, model_rows
-from quartermill.plans.purchases import train_test
+from quartermill.plans.purchases import kept, train_test
 from quartermill.plans.timeseries import staged_panel
+from quartermill.session import materialise
 
 _TRAIN_ROWS = with_("split", "SELECT series_id, COUNT(*) AS n_rows, CAST(0 AS DOUBLE) AS violation FROM split WHERE NOT is_test GROUP BY 1")
 
@@ -168,6 +169,34 @@ def truncated_svd_certificate(spark, sf):
     return rounded(counts.withColumns({"overlap": F.lit(worst), "residual": F.lit(residual.first()["residual"])}), overlap=5, residual=3)
 
 
+@query("als_optimality", with_("train", """
+SELECT COUNT(*) AS n_cells, COUNT(DISTINCT user_id) AS n_users, COUNT(DISTINCT item_id) AS n_items, CAST(0 AS DOUBLE) AS item_gradient, true AS users_settled FROM train"""))
+def als_optimality(spark, sf):
+    """The gradient of the loss that is left after the last half-step, from sums over the cells in the JVM.
+
+    For the items, solved last, it is zero; that of the users is small beside what the cells alone would give.
+    """
+    train, _ = train_test(spark, sf)
+    size, reg = 16, 0.1
+    weighted = materialise(interactions.bm25_weights(train, kept(spark, sf)).select("user_id", "item_id", F.col("bm25").alias("c")), "weighted")
+    users, items = (materialise(t, "factors") for t in recommend.als_factors(train, kept(spark, sf), rank=size, iterations=15, reg=reg))
+    cells = weighted.join(users.withColumnRenamed("vec", "u"), "user_id").join(items.withColumnRenamed("vec", "v"), "item_id")
+    dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    pull = F.col("c") - (F.col("c") - 1) * dot  # of a cell on one side along the vector of the other
+
+    def left(key: str, side: str, own: DataFrame, other: DataFrame) -> float:
+        gram = vectors.gram(other, "vec", size) + reg * np.eye(size)
+        sums = vectors.weighted_sum(cells.withColumn("pull", pull), key, "pull", side, size).withColumnRenamed("vec" if side == "vec" else side, "sum")
+        both = sums.join(own.withColumn("held", vectors.apply_matrix(F.col("vec"), gram)), key)
+        square = lambda x: F.aggregate(x, F.lit(0.0), lambda s, e: s + e * e)
+        gap = both.agg(F.sqrt(F.sum(square(F.zip_with("sum", "held", lambda a, b: a - b))) / F.sum(square("sum"))).alias("gap"))
+        return gap.first()["gap"]
+
+    item_gap, user_gap = left("item_id", "u", items, users), left("user_id", "v", users, items)
+    counts = train.agg(F.count(F.lit(1)).alias("n_cells"), F.countDistinct("user_id").alias("n_users"), F.countDistinct("item_id").alias("n_items"))
+    return rounded(counts.withColumns({"item_gradient": F.lit(item_gap), "users_settled": F.lit(bool(user_gap < 0.05))}), item_gradient=9)
+
+
 @query("nmf_certificate", with_("industry", f"""
 SELECT COUNT(DISTINCT date) AS n_rows, COUNT(DISTINCT industry) AS n_columns, CAST({INDUSTRY_TOPICS} AS INTEGER) AS n_topics,
        CAST(0 AS BIGINT) AS n_negative, true AS falling, true AS same_error FROM industry"""))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import global_rank, hot_keys, salted_join
-from quartermill.operators import interactions, ranking, recommend, spectral, vectors
+from quartermill.operators import implicit_als, interactions, ranking, recommend, spectral, vectors
 
 CELL = "user_id bigint, item_id string, n_rows bigint, quantity bigint, last_at struct<invoice_date: date, invoice: string, line_no: int>"
 
@@ -91,6 +91,31 @@ def test_scoring_of_nobody_or_nothing(spark):
     assert vectors.top_k_scores(users.limit(0), items, 3).count() == vectors.top_k_scores(users, items.limit(0), 3).count() == 0
 
 
+def test_implicit_als_equals_a_dense_solver_with_rows_cut_into_pieces(spark):
+    rng = np.random.default_rng(7)
+    n_users, n_items, size, reg = 25, 18, 3, 0.3
+    weights = np.where(rng.random((n_users, n_items)) < 0.3, rng.uniform(0.5, 4, (n_users, n_items)), 0.0)
+    weights[0], weights[:, 0] = rng.uniform(0.5, 4, n_items), rng.uniform(0.5, 4, n_users)  # one user and one item with everything
+    cells = spark.createDataFrame([(int(u), f"i{i:02d}", float(weights[u, i])) for u, i in zip(*np.nonzero(weights))], "user_id bigint, item_id string, weight double")
+    users, items = implicit_als.als(cells, size, 4, reg, block_cells=20, piece_cells=5)
+    x = np.array([r["vec"] for r in users.orderBy("user_id").collect()])
+    y = np.array([r["vec"] for r in items.orderBy("item_id").collect()])
+    start = cells.select(F.col("item_id").alias("id")).distinct().orderBy("id").select(F.array(*[F.xxhash64("id", F.lit(42 * 10_007 + j)) / float(2**63) * 0.01 for j in range(size)]).alias("v"))
+    b = np.array([r["v"] for r in start.collect()])
+
+    def solve(fixed, c):
+        return np.array([np.linalg.solve(fixed.T @ (fixed * np.where(row > 0, row, 1.0)[:, None]) + reg * np.eye(size), fixed.T @ row) for row in c])
+
+    for _ in range(4):
+        a = solve(b, weights)
+        b = solve(a, weights.T)
+    assert np.allclose(x, a, atol=1e-9) and np.allclose(y, b, atol=1e-9)
+    rows, _ = implicit_als._grid(cells, "user_id", "item_id", 200, 20, 5)
+    assert rows.filter("id = 0").select("block").distinct().count() > 1 and rows.filter("id = 0 AND NOT split").count() == 0
+    empty = implicit_als.als(cells.limit(0), 2, 1)
+    assert empty[0].count() == empty[1].count() == 0
+
+
 def test_hybrid_equals_the_written_out_blend(spark):
     rng = np.random.default_rng(2)
     su, si = rng.normal(size=(6, 3)), rng.normal(size=(20, 3))
