@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,84 @@ def test_a_long_part_does_not_displace_its_shorter_siblings(part, row):
     assert tag_paths.main_text(page) == "\n".join(["Opening.", "Short, too.", *rows, "End."])
 
 
+WORDS = "Lorem ipsum dolor sit amet, consetetur sadipscing elitr. Sed diam nonumy eirmod tempor, invidunt ut labore et dolore magna. At vero eos."
+MENUS = [
+    "<ul>" + "".join(f"<li><a href=/{i}>Topic {i}</a></li>" for i in range(7)) + "</ul>",
+    "<table><tr>" + "".join(f"<td><a href=/{i}>Part {i}</a></td>" for i in range(6)) + "</tr></table>",
+    "<div><a href=1>One</a> | <a href=2>Two</a> | <a href=3>Three</a></div>",
+]
+NOTICES = ["<div><p>This site uses small files, as all do.</p><p>Fine.</p></div>", "<div>Sign up for news.</div>"]
+FOOTS = ["<div><p>All rights are ours, 2024.</p><p><a href=x>Imprint</a></p></div>", "<table><tr><td>Buy one now</td><td><a href=y>Cheap things</a></td></tr></table>"]
+
+
+def written_pages():
+    """Pages without an article element and without telling names: menus, notices and feet around articles of several makes."""
+    for m, menu in enumerate(MENUS):
+        for n, notice in enumerate(NOTICES):
+            for f, foot in enumerate(FOOTS):
+                paragraphs = [f"Paragraph {i}. {WORDS}" for i in range(3 + m + 2 * n + f)]
+                lines = ["The headline", "A short line.", *paragraphs, "first point", "second point", "Quoted, once.", "The end."]
+                inner = ("<h1>The headline</h1><p>A short line.</p>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+                         + "<ul><li>first point</li><li>second point</li></ul><blockquote>Quoted, once.</blockquote><p>The end.</p>")
+                for article in (f"<div>{inner}</div>", f"<div><div>{inner}</div></div>"):
+                    yield f"<html><head><title>T</title></head><body><div>{menu}</div>{notice}{article}{foot}</body></html>", lines
+
+
+def test_articles_without_an_article_element_or_names_are_found_by_their_ratios(monkeypatch):
+    pages = list(written_pages())
+    assert len(pages) >= 20
+    for page, lines in pages:
+        assert tag_paths.main_text(page) == "\n".join(lines)
+    # with the same ratio everywhere nothing tells the article from what is around it
+    monkeypatch.setattr(tag_paths, "path_ratios", lambda page, nodes: {page.path[page.owner[k]]: 1.0 for k in nodes})
+    assert all(tag_paths.main_text(page) != "\n".join(lines) for page, lines in pages)
+
+
+def plain_ratios(page):
+    """Mean length, marks and links of text nodes by path, from a second reading of simple markup."""
+    sums, stack, places = {}, [], {}
+    for token in re.findall(r"<[^>]*>|[^<]+", page):
+        if token.startswith("</"):
+            stack.pop()
+        elif token.startswith("<"):
+            tag = re.match(r"<(\w+)", token)[1]
+            parent = tuple(stack)
+            key = (parent, tag)
+            places[key] = places.get(key, 0) + 1
+            stack.append((tag, places[key]))
+        elif token.strip():
+            path = tuple(f"{t}:{k}" if t in tag_paths.CONTAINERS else t for t, k in stack if t == "a" or t not in tag_paths.INLINE)
+            own = sums.setdefault(path, [0, 0, 0, 0])
+            size = len(token.strip())
+            for i, v in enumerate((size, len(re.findall(r"[.,;:!?]", token)), size * any(t == "a" for t, _ in stack), 1)):
+                own[i] += v
+    return sorted(size / n * (1 + marks / n) * (1 - linked / size) for size, marks, linked, n in sums.values())
+
+
+def test_ratios_equal_a_plain_count():
+    for page, _ in written_pages():
+        body = page[page.index("<body>"):page.index("</html>")]
+        tree = tag_paths.read_page(body)
+        nodes = [k for k, t in enumerate(tree.text) if t.strip()]
+        assert sorted(tag_paths.path_ratios(tree, nodes).values()) == pytest.approx(plain_ratios(body))
+
+
+def test_forms_formulas_and_names_that_say_little_do_not_cost_text():
+    text = "".join(f"<p>Paragraph {i}, with some words. And more of them.</p>" for i in range(6))
+    lines = [f"Paragraph {i}, with some words. And more of them." for i in range(6)]
+    form = f"<body><div class=nav><a href=1>Home</a></div><form action=/><div id=content><h1>Head</h1>{text}</div><label>Name</label><input><button>Go</button></form></body>"
+    assert tag_paths.main_text(form) == "\n".join(["Head", *lines])
+    named = f"<body><article><h1>Head</h1><p class=social>A word on it, in short.</p>{text}<div class=share-price>Up 3, to 20.</div><p>So <math><mi>x</mi>=1</math>.</p></article></body>"
+    assert tag_paths.main_text(named) == "\n".join(["Head", "A word on it, in short.", *lines, "Up 3, to 20.", "So x=1."])
+
+
+@pytest.mark.parametrize("unit", ["<i>word ", "<div>word ", "<p><b>word ", "</x><u>word ", "<li><i>word "])
+def test_time_is_linear_in_unclosed_tags(unit):
+    start = time.process_time()
+    assert tag_paths.main_text("<html><body>" + unit * 8000).split() == ["word"] * 8000
+    assert time.process_time() - start < 2
+
+
 def article_of(page):
     found = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S)
     blocks = re.split(r"</?(?:p|h1|br)\b[^>]*>", found[1]) if found else []
