@@ -4,46 +4,26 @@ The loss counts every cell: an observed one has confidence equal to its weight a
 and target 0, and the penalty is the same for every row. With one side fixed, a row solves
 ``(G + reg + sum (c - 1) v v') x = sum c v`` over its observed cells, where G is the Gram matrix of the fixed side.
 
-The cells are dealt once into blocks of bounded size by row, and once by column. In each half-step a vector is sent
-once to every block that holds its id, not once for each cell. Rows with very many cells are cut into pieces that
-lie in different blocks; the sums of the pieces meet before they are solved.
+The cells are dealt once by row and once by column, as :mod:`quartermill.operators.grid` says; the sums of the pieces of a
+very long row meet before they are solved.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.functions.skew import spread
+from quartermill.operators.grid import BLOCK_CELLS, PIECE_CELLS, Grid, deal
 from quartermill.operators.vectors import gram, stack
 from quartermill.session import materialise
 
-BLOCK_CELLS = 200_000
-PIECE_CELLS = 20_000
-
-
-def _grid(cells: DataFrame, key: str, other: str, total: int, block_cells: int, piece_cells: int) -> tuple[DataFrame, DataFrame]:
-    """``(rows, links)``: rows ``(block, id, split, ids, weights)`` and the blocks ``(block, id)`` that need a vector of the other side."""
-    sizes = cells.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / piece_cells).cast("int").alias("_pieces"))
-    piece = F.pmod(F.xxhash64(other, F.lit(1)), F.col("_pieces"))
-    blocks = max(1, -(-total // block_cells))
-    dealt = cells.join(sizes, key).withColumn("_piece", piece).withColumn("block", F.pmod(F.xxhash64(key, "_piece"), F.lit(blocks)).cast("int"))
-    rows = dealt.groupBy("block", key, "_piece").agg(
-        F.first("_pieces").alias("_pieces"), F.collect_list(F.struct(F.col(other).alias("o"), F.col("weight").alias("w"))).alias("cells"))
-    rows = rows.select("block", F.col(key).alias("id"), (F.col("_pieces") > 1).alias("split"), F.col("cells.o").alias("ids"), F.col("cells.w").alias("weights"))
-    rows = materialise(rows, "als_rows")
-    links = materialise(rows.select("block", F.explode("ids").alias("id")).distinct(), "als_links")
-    return rows, links
-
 
-def _half_step(rows: DataFrame, links: DataFrame, fixed: DataFrame, size: int, reg: float) -> DataFrame:
+def _half_step(grid: Grid, fixed: DataFrame, size: int, reg: float) -> DataFrame:
     """``(id, vec)`` of one side, solved against the vectors ``fixed`` of the other."""
     base = gram(fixed, "vec", size) + reg * np.eye(size)
-    kind = rows.schema["id"].dataType.simpleString()
+    kind = grid.id_type
 
     def solve(own: pd.DataFrame, vecs: pd.DataFrame) -> pd.DataFrame:
         index, matrix = pd.Index(vecs["id"]), stack(vecs["vec"])
@@ -64,9 +44,7 @@ def _half_step(rows: DataFrame, links: DataFrame, fixed: DataFrame, size: int, r
         a, b = total[:size * size].reshape(size, size), total[size * size:]
         return pd.DataFrame({"id": [own["id"].iloc[0]], "vec": [np.linalg.solve(base + a, b)]})
 
-    right = links.join(fixed, "id").select("block", "id", "vec")
-    left = spread(rows, "block").groupBy("block").cogroup(spread(right, "block").groupBy("block"))
-    solved = materialise(left.applyInPandas(solve, f"id {kind}, vec array<double>, part binary"), "als_half")
+    solved = materialise(grid.meet(fixed).applyInPandas(solve, f"id {kind}, vec array<double>, part binary"), "als_half")
     whole = solved.filter("part IS NULL").select("id", "vec")
     pieces = solved.filter("part IS NOT NULL").select("id", "part").groupBy("id").applyInPandas(join, f"id {kind}, vec array<double>")
     return whole.unionByName(pieces)
@@ -80,12 +58,12 @@ def als(cells: DataFrame, rank: int = 64, iterations: int = 30, reg: float = 0.1
     """
     cells = materialise(cells.select("user_id", "item_id", F.col("weight").cast("double").alias("weight")), "als_cells")
     total = cells.count()
-    by_user = _grid(cells, "user_id", "item_id", total, block_cells, piece_cells)
-    by_item = _grid(cells, "item_id", "user_id", total, block_cells, piece_cells)
+    by_user = deal(cells, "user_id", "item_id", total, block_cells, piece_cells)
+    by_item = deal(cells, "item_id", "user_id", total, block_cells, piece_cells)
     start = F.array(*[F.xxhash64("id", F.lit(seed * 10_007 + j)) / float(2**63) * 0.01 for j in range(rank)])
     items = cells.select(F.col("item_id").alias("id")).distinct().withColumn("vec", start)
     users = cells.select(F.col("user_id").alias("id")).distinct().withColumn("vec", start)
     for _ in range(iterations):
-        users = _half_step(*by_user, items, rank, reg)
-        items = _half_step(*by_item, users, rank, reg)
+        users = _half_step(by_user, items, rank, reg)
+        items = _half_step(by_item, users, rank, reg)
     return users.withColumnRenamed("id", "user_id"), items.withColumnRenamed("id", "item_id")

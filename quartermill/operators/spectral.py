@@ -12,7 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators.vectors import apply_matrix, gram, weighted_sum
+from quartermill.operators import grid
+from quartermill.operators.vectors import apply_matrix, gram
 from quartermill.session import materialise
 
 OVERSAMPLE = 10
@@ -158,20 +159,22 @@ def truncated_svd_factors(train: DataFrame, items: DataFrame, k: int = 50, seed:
                           iterations: int = POWER_ITERATIONS) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """``(user factors, item factors, singular values)`` of the weight matrix given as triples.
 
-    Randomised subspace iteration. A product with the matrix is a join on one id and a keyed sum by
-    the other with map-side combine, so neither side is ever held in one place; only the small Gram
-    matrices reach the driver. Both factor tables absorb the square root of the singular values.
+    Randomised subspace iteration. A product with the matrix goes through its blocks, dealt once by user and once by item,
+    so a vector is sent once to each block that needs it and a hot user or item is cut over several; only the small
+    Gram matrices reach the driver. Both factor tables absorb the square root of the singular values.
     Items without training rows get zero factors.
     """
     size = k + OVERSAMPLE
     triples = materialise(train.select("user_id", "item_id", "weight"), "triples")
+    total = triples.count()
+    by_user, by_item = grid.deal(triples, "user_id", "item_id", total), grid.deal(triples, "item_id", "user_id", total)
     basis = triples.select("item_id").distinct().withColumn("vec", _seeded_vector("item_id", size, seed))
 
     def to_users(item_vecs: DataFrame) -> DataFrame:
-        return weighted_sum(triples.join(item_vecs, "item_id"), "user_id", "weight", "vec", size)
+        return grid.product(by_user, item_vecs.withColumnRenamed("item_id", "id"), size).withColumnRenamed("id", "user_id")
 
     def to_items(user_vecs: DataFrame) -> DataFrame:
-        return weighted_sum(triples.join(user_vecs, "user_id"), "item_id", "weight", "vec", size)
+        return grid.product(by_item, user_vecs.withColumnRenamed("user_id", "id"), size).withColumnRenamed("id", "item_id")
 
     for _ in range(iterations):
         product = materialise(to_items(to_users(basis)), "svd_product")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import global_rank, hot_keys, salted_join
-from quartermill.operators import implicit_als, interactions, ranking, recommend, spectral, vectors
+from quartermill.operators import grid, implicit_als, interactions, ranking, recommend, spectral, vectors
 
 CELL = "user_id bigint, item_id string, n_rows bigint, quantity bigint, last_at struct<invoice_date: date, invoice: string, line_no: int>"
 
@@ -110,12 +110,27 @@ def test_implicit_als_equals_a_dense_solver_with_rows_cut_into_pieces(spark):
         a = solve(b, weights)
         b = solve(a, weights.T)
     assert np.allclose(x, a, atol=1e-9) and np.allclose(y, b, atol=1e-9)
-    rows, _ = implicit_als._grid(cells, "user_id", "item_id", 200, 20, 5)
+    rows = grid.deal(cells, "user_id", "item_id", 200, 20, 5).rows
     assert rows.filter("id = 0").select("block").distinct().count() > 1 and rows.filter("id = 0 AND NOT split").count() == 0
     empty = implicit_als.als(cells.limit(0), 2, 1)
     assert empty[0].count() == empty[1].count() == 0
 
 
+def test_products_go_through_blocks_and_cut_a_hot_item(spark):
+    rng = np.random.default_rng(5)
+    dense = np.where(rng.random((60, 20)) < 0.2, rng.normal(size=(60, 20)), 0.0)
+    dense[:, 3] = rng.normal(size=60)  # one item with a third of the cells
+    cells = spark.createDataFrame([(int(u), f"i{i:02d}", float(dense[u, i])) for u, i in zip(*np.nonzero(dense))], "user_id bigint, item_id string, weight double")
+    vecs = rng.normal(size=(60, 4))
+    users = spark.createDataFrame([(u, v.tolist()) for u, v in enumerate(vecs)], "id bigint, vec array<double>")
+    dealt = grid.deal(cells, "item_id", "user_id", cells.count(), block_cells=30, piece_cells=10)
+    got = {r["id"]: r["vec"] for r in grid.product(dealt, users, 4).collect()}
+    assert all(np.allclose(got[f"i{i:02d}"], dense[:, i] @ vecs) for i in range(20)) and len(got) == 20
+    hot = dealt.rows.filter("id = 'i03'").select("block", F.size("ids").alias("n")).collect()
+    assert len({r["block"] for r in hot}) > 2 and max(r["n"] for r in hot) < 25 and sum(r["n"] for r in hot) == 60
+    assert dealt.links.count() == dealt.links.distinct().count() <= cells.count()
+
+
 def test_hybrid_equals_the_written_out_blend(spark):
     rng = np.random.default_rng(2)
     su, si = rng.normal(size=(6, 3)), rng.normal(size=(20, 3))
