@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quartermill.llm.common import column_type, kept_for_worker, text_or_empty
+from quartermill.llm.common import Memo, column_type, kept_for_worker, text_or_empty
+from quartermill.llm.prefix_tokens import _byte_letters
 from quartermill.session import materialise
 
 # Fixed values of the format.
@@ -226,14 +227,15 @@ class Encoder:
     """Ids of texts as the library gives them.
 
     Where normalisation and splitting can't reach across white space and drop it, texts are cut there and the
-    parts remembered, so that the library sees each part once while it is remembered: all new parts at once,
-    with a sign between them that is one token and that no part holds.
+    ids of the parts remembered. A part that is one word of Latin letters, but for a final mark, goes to the library's merges
+    right away, because normalising and splitting only change its case; any other part goes through the whole library.
     """
 
     # The steps whose result for a text is that of its parts between white space.
     STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
     SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-    SIGN, MEMO, LONG, RUN = "0", 400_000, 48, 1 << 20
+    MEMO, RUN = 400_000, 1 << 20
+    BEYOND_LATIN = "\u0250"
 
     def __init__(self, data: bytes):
         spec = json.loads(data)
@@ -246,57 +248,30 @@ class Encoder:
             steps == self.STEPS and bool(split) and len(split) == 2 and split[0].get("pattern") == {"Regex": self.SPLIT}
             and split[0].get("behavior") == "Removed" and split[0].get("invert") is True
             and split[1].get("type") == "ByteLevel" and split[1].get("add_prefix_space") is False and split[1].get("use_regex") is False
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in spec["added_tokens"])
-            and not spec["model"].get("dropout"))
-        sign = self._library([self.SIGN])[0]
-        self.parted = self.parted and len(sign) == 1
-        self.sign = int(sign[0]) if len(sign) else -1
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() or c.isalpha() and len(t["content"]) == 1 for c in t["content"]) for t in spec["added_tokens"])
+            and not any(t["content"].isalpha() for t in spec["added_tokens"]) and not spec["model"].get("dropout"))
+        self.letters = {byte: letter for letter, byte in _byte_letters().items()}
+        self.merges = self.library.model
+        self.parts = Memo(self._part, self.MEMO)
 
     def _library(self, texts: Sequence[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.word) for e in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    @staticmethod
-    def _pieces(part: bytes) -> tuple[bytes, ...]:
-        """A part as pieces that are split from each other anyway: a final mark from a word, words in lower case."""
-        if part.isalpha():  # letters from a to z only
-            return (part.lower(),)
-        word, mark = part[:-1], part[-1:]
-        if not mark.isalnum() and mark < b"\x80" and word:
-            if word.isalpha():
-                return word.lower(), mark
-            last = word.decode()[-1]
-            if last < "\u0250" and last.lower().isalpha() and b"'" not in part and b"<" not in part:
-                return word, mark
-        return (part,)
-
-    def _learn(self, parts: set[bytes]) -> None:
-        if len(self.new) + len(parts) > self.MEMO:
-            self.old, self.new = self.new, {}
-        pieces = {part: self._pieces(part) for part in parts}
-        known = {p: self.new.get(p, self.old.get(p)) for own in pieces.values() for p in own}
-        self.new.update((p, ids) for p, ids in known.items() if ids is not None)
-        self._ask([p for p, ids in known.items() if ids is None])
-        for part, own in pieces.items():
-            if own != (part,):
-                self.new[part] = b"".join(map(self.new.__getitem__, own))
-
-    def _ask(self, parts: list[bytes]) -> None:
-        plain = [p for p in parts if self.SIGN.encode() not in p]
-        for at in range(0, len(plain), 2000):
-            some = plain[at:at + 2000]
-            ids = self._library([f" {self.SIGN} ".join(p.decode() for p in some)])[0]
-            cuts = np.flatnonzero(ids == self.sign)
-            if len(cuts) != len(some) - 1:
-                raise ValueError("the sign between parts is not a token of its own")
-            edges = [0, *(cuts + 1).tolist(), len(ids) + 1]
-            raw, step = ids.tobytes(), self.word.itemsize
-            for part, start, end in zip(some, edges[:-1], edges[1:]):
-                self.new[part] = raw[start * step:(end - 1) * step]
-        rest = [p for p in parts if self.SIGN.encode() in p]
-        for part, ids in zip(rest, self._library([p.decode() for p in rest])):
-            self.new[part] = ids.tobytes()
+    def _is_latin(self, word: str) -> bool:
+        return word.isalpha() and max(word) < self.BEYOND_LATIN and word.lower().isalpha()
+
+    def _merged(self, word: str) -> bytes:
+        shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        return np.array([token.id for token in self.merges.tokenize(shown)], self.word).tobytes()
+
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode()
+        if self._is_latin(text):
+            small = text.lower()
+            return self._merged(text) if small == text else self.parts[small.encode()]
+        if text[-1].isascii() and not text[-1].isalnum() and self._is_latin(text[:-1]):
+            return self.parts[text[:-1].lower().encode()] + self.parts[part[-1:]]
+        return self._library([text])[0].tobytes()
 
     def _runs(self, text: str) -> Iterator[list[bytes]]:
         data, at = text.encode(), 0
@@ -310,42 +285,8 @@ class Encoder:
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         if not self.parted:
             return self._library(texts)
-        out: list[list[bytes]] = [[] for _ in texts]
-        held: list[tuple[int, list[bytes]]] = []
-        size = 0
-
-        def settle() -> None:
-            unknown = set()
-            for _, parts in held:
-                for part in parts:
-                    if part not in self.new:
-                        known = self.old.get(part)
-                        if known is None:
-                            unknown.add(part)
-                        else:
-                            self.new[part] = known
-            kept = self.new
-            if unknown:
-                self._learn(unknown)
-            if kept is not self.new:  # what this run needs of the older ones
-                for _, parts in held:
-                    for part in parts:
-                        if part not in self.new:
-                            self.new[part] = self.old[part]
-            get = self.new.__getitem__
-            for k, parts in held:
-                out[k].append(b"".join(map(get, parts)))
-            held.clear()
-
-        for k, text in enumerate(texts):
-            for parts in self._runs(text):
-                held.append((k, parts))
-                size += len(parts)
-                if size > 100_000:
-                    settle()
-                    size = 0
-        settle()
-        return [np.frombuffer(b"".join(parts), self.word) for parts in out]
+        get = self.parts.__getitem__
+        return [np.frombuffer(b"".join(b"".join(map(get, run)) for run in self._runs(text)), self.word) for text in texts]
 
 
 # Steps on Spark

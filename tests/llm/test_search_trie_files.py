@@ -223,7 +223,7 @@ def test_ids_equal_those_of_the_library():
         encoder = token_files.Encoder(file.read())
     assert encoder.parted
     library = Tokenizer.from_file(WORD_BPE)
-    encoder.MEMO = 500  # so that much is forgotten
+    encoder.parts.size = 500  # so that much is forgotten
     texts = odd_texts(4000) + ["x" * 3_000_000 + " end.", " ".join(odd_texts(300))]
     for got, want in zip(encoder.encode(texts), library.encode_batch(texts, add_special_tokens=False)):
         assert got.tolist() == want.ids
