@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, trees, vectors
+from quartermill.operators import changepoints, ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, trees, vectors
 from quartermill.plans import inputs
 from quartermill.plans.catalog import query, rounded, with_
 from quartermill.plans.decompose import DIM, INDUSTRY_TOPICS, embeddings, standard, svd_factors
@@ -97,6 +97,26 @@ def holt_winters_optimality(spark, sf):
                                (F.col("sse") > F.col("coarse")).alias("above_grid"), "converged"), violation=9, moved_start=9)
 
 
+@query("changepoint_optimality", with_("panel", """
+SELECT series_id, COUNT(*) - 8 AS n_rows, CAST(0 AS DOUBLE) AS free_gradient, CAST(0 AS DOUBLE) AS violation, true AS converged FROM panel GROUP BY 1"""))
+def changepoint_optimality(spark, sf):
+    """No gradient is left for level, slope and season; that of a slope change is the threshold where it is used, and not above it elsewhere."""
+    df = splits.holdout_split(staged_panel(spark, sf), HORIZON)
+    fits = changepoints.fit_predict(df).groupBy("series_id").agg(F.first("weights").alias("w"), F.first("threshold").alias("threshold"), F.first("converged").alias("converged"))
+    rows, free, hinges = changepoints.design(df)
+    columns = ["one", *free, *hinges]
+    rows = rows.filter("NOT is_test").withColumn("one", F.lit(1.0)).join(fits, "series_id")
+    rows = rows.withColumn("r", F.col("y") - sum((F.col(c) * F.col("w")[k] for k, c in enumerate(columns)), F.lit(0.0)))
+    sums = rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.abs("y")).alias("scale"), F.first("w").alias("w"), F.first("threshold").alias("threshold"),
+                                         F.first("converged").alias("converged"), *[F.avg(F.col(c) * F.col("r")).alias(f"g_{c}") for c in columns])
+    gradient = lambda c: F.col(f"g_{c}") / F.col("scale")
+    limit = F.col("threshold") / F.col("scale")
+    at = {c: F.col("w")[k] for k, c in enumerate(columns)}
+    over = [F.when(F.abs(at[c]) > 1e-9 * F.col("scale"), F.abs(gradient(c) - limit * F.signum(at[c]))).otherwise(F.greatest(F.lit(0.0), F.abs(gradient(c)) - limit)) for c in hinges]
+    return rounded(sums.select("series_id", "n_rows", F.greatest(*[F.abs(gradient(c)) for c in ["one", *free]]).alias("free_gradient"), F.greatest(*over).alias("violation"), "converged"),
+                   free_gradient=8, violation=8)
+
+
 def component_certificate(df: DataFrame, vec: str, components: np.ndarray, values: np.ndarray, divisor: float) -> DataFrame:
     """``(k, error, overlap)``: how far the mean square of each component's scores is from its value, and the
     largest product with another component's scores, both as shares of the first value."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, ensemble, features, forecast, histogram_trees, linear, seasonal_arma, smoothing, splits, trees, verdicts
+from quartermill.operators import accuracy, changepoints, ensemble, features, forecast, histogram_trees, linear, seasonal_arma, smoothing, splits, trees, verdicts
 from quartermill.plans import inputs
 from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.timeseries import _MODELS_SQL, model_scores, split, staged_merged, staged_panel
@@ -232,6 +232,13 @@ def stacking(spark, sf):
     return ensemble.stacking(df, features.feature_columns(df), base)
 
 
+@query("changepoint_forecast")
+def changepoint_forecast(spark, sf):
+    """Trend with chosen slope changes and season, with intervals; ``changepoint_optimality`` certifies the fit."""
+    out = changepoints.fit_predict(splits.holdout_split(staged_panel(spark, sf), HORIZON))
+    return rounded(out.select("series_id", "date", "y", "y_hat", "lower_80", "upper_80", "n_changes"), y_hat=2, lower_80=2, upper_80=2)
+
+
 def fitted_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     """``(model, series_id, date, y, y_hat)`` of every fitted forecaster on the hold-out, written once."""
 
@@ -241,7 +248,7 @@ def fitted_forecasts(spark: SparkSession, sf: str) -> DataFrame:
         forecasts = {
             "ridge": linear.fit_predict(df, names, "ridge"), "elasticnet": linear.fit_predict(df, names, "elasticnet"),
             "gbt": trees.fit_predict(df, names), "holt_winters": smoothing.holt_winters(own, optimised=True),
-            "seasonal_ar": seasonal_arma.predict(own), "stacking": stacking(spark, sf), "trend_season": linear.trend_season_fit_predict(own),
+            "seasonal_ar": seasonal_arma.predict(own), "stacking": stacking(spark, sf), "trend_season": changepoints.fit_predict(own),
         }
         out = None
         for model, rows in forecasts.items():

@@ -5,7 +5,7 @@ import pytest
 from conftest import PANEL, month_starts
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees
+from quartermill.operators import accuracy, changepoints, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees
 
 
 def featured(panel, horizon=6):
@@ -158,6 +158,24 @@ def test_seasonal_arma_continues_line_and_season(seasonal_panel):
     assert len(out) == 16 and max(abs(r["y"] - r["y_hat"]) for r in out) < 1e-3
 
 
+def test_a_planted_break_is_found_and_the_season_is_not_penalised(spark):
+    rng = np.random.default_rng(2)
+    wave, rows = [30.0, -10.0, -30.0, 10.0], []
+    for name, at in (("early", 20), ("late", 40), ("none", 999)):
+        rows += [(name, d, 500 + 4.0 * i - (12.0 * max(0, i - at)) + wave[i % 4] + float(rng.normal(scale=0.5))) for i, d in enumerate(month_starts(80, dt.date(1990, 3, 1), 3))]
+    df = splits.holdout_split(spark.createDataFrame(rows, PANEL), 8)
+    out = changepoints.fit_predict(df).collect()
+    assert len(out) == 24 and all(r["converged"] and abs(r["y"] - r["y_hat"]) < 12 and r["lower_80"] < r["y_hat"] < r["upper_80"] for r in out)
+    weights = {r["series_id"]: np.array(r["weights"][2 + 2 * changepoints.HARMONICS:]) for r in out}
+    places = np.array([changepoints.SHARE * j / (changepoints.CANDIDATES + 1) for j in range(1, changepoints.CANDIDATES + 1)]) * 71
+    for name, at in (("early", 20), ("late", 40)):
+        w = weights[name]
+        assert abs((places * np.abs(w)).sum() / np.abs(w).sum() - at) < 2 and abs(w.sum() / 71 + 12) < 1.5
+    assert np.abs(weights["none"]).sum() < 0.1 * np.abs(weights["late"]).sum()
+    gone = df.withColumn("y", F.when(F.col("is_test") | (F.col("series_id") != "none"), F.col("y")))
+    assert {r["y_hat"] is None for r in changepoints.fit_predict(gone).filter("series_id = 'none'").collect()} == {True}
+
+
 def test_trend_season_regression_learns_line_and_season(seasonal_panel):
     out = linear.trend_season_fit_predict(splits.holdout_split(seasonal_panel, 8), alpha=0.01)
     assert accuracy.evaluate_forecast(out).agg(F.max("mape")).first()[0] < 3
