@@ -13,11 +13,11 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import changepoints, ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, trees, vectors
+from quartermill.operators import accuracy, adaptive, changepoints, ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, trees, vectors
 from quartermill.plans import inputs
 from quartermill.plans.catalog import query, rounded, with_
 from quartermill.plans.decompose import DIM, INDUSTRY_TOPICS, embeddings, standard, svd_factors
-from quartermill.plans.models import HORIZON, model_rows
+from quartermill.plans.models import HORIZON, best_model_fitted, fitted_forecasts, leaderboard_fitted, model_rows
 from quartermill.plans.purchases import kept, train_test
 from quartermill.plans.timeseries import staged_panel
 from quartermill.session import materialise
@@ -250,3 +250,43 @@ def stacking_rows(spark, sf):
     df = model_rows(spark, sf)
     out = ensemble.stacking(df, features.feature_columns(df), {"ridge": {"alpha": 1.0}, "elasticnet": {}})
     return out.groupBy("series_id").agg(F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first_date"), F.count("y_hat").alias("n_forecasts"))
+
+
+@query("search_agrees", """
+SELECT CAST(30 AS BIGINT) AS n_trials, CAST(1 AS BIGINT) AS n_best, CAST(0 AS BIGINT) AS n_better, CAST(0 AS DOUBLE) AS gap, COUNT(DISTINCT c_mktsegment) AS n_series
+FROM customer JOIN orders ON o_custkey = c_custkey""")
+def search_agrees(spark, sf):
+    """The best trial of the adaptive search has the error that a search over its setting alone gives, and no whole trial beats it."""
+    df = model_rows(spark, sf)
+    names = features.feature_columns(df)
+    found = materialise(adaptive.linear_search(df, names, "elasticnet", {"alpha": (1e-3, 10.0, "log"), "l1_ratio": (0.05, 0.95, "linear")}), "trials")
+    best = found.filter("best").first()
+    own = ensemble.param_search(df, names, "elasticnet", [{"alpha": best["alpha"], "l1_ratio": best["l1_ratio"]}])
+    folds = ensemble.training_folds(df).groupBy("series_id").agg(F.avg(F.abs("y")).alias("level"))
+    again = own.join(folds, "series_id").agg(F.avg(F.col("cv_rmse") / F.col("level")).alias("e"), F.count(F.lit(1)).alias("n_series")).first()
+    counts = found.agg(F.count(F.lit(1)).alias("n_trials"), F.sum(F.col("best").cast("bigint")).alias("n_best"),
+                       F.sum(((F.col("cv_rmse") < best["cv_rmse"]) & (F.col("folds") == 5)).cast("bigint")).alias("n_better"))
+    return rounded(counts.withColumns({"gap": F.lit(abs(again["e"] / best["cv_rmse"] - 1)), "n_series": F.lit(again["n_series"]).cast("bigint")}), gap=6)
+
+
+@query("leaderboard_agrees", with_("split", """
+SELECT model, COUNT(DISTINCT series_id) AS n_series, CAST(0 AS DOUBLE) AS rmse_gap, CAST(0 AS DOUBLE) AS mape_gap, CAST(0 AS BIGINT) AS n_wrong_best, true AS in_order
+FROM split, (VALUES ('ridge'), ('elasticnet'), ('gbt'), ('holt_winters'), ('seasonal_ar'), ('stacking'), ('trend_season')) AS m(model) GROUP BY 1"""))
+def leaderboard_agrees(spark, sf):
+    """The fitted leaderboard against errors from the written forecasts by a second formula (norms of arrays), its order, and
+    the best model of each series against the least error by a plain comparison."""
+    points = fitted_forecasts(spark, sf)
+    gaps = F.collect_list(F.abs(F.col("y") - F.col("y_hat")))
+    relative = F.collect_list(F.abs(F.col("y") - F.col("y_hat")) / (F.abs("y") + F.lit(1e-8)))
+    own = points.groupBy("model", "series_id").agg(gaps.alias("d"), relative.alias("p"))
+    total = lambda c, f: F.aggregate(c, F.lit(0.0), f)
+    own = materialise(own.select("model", "series_id", F.sqrt(total("d", lambda s, x: s + x * x) / F.size("d")).alias("r"), (total("p", lambda s, x: s + x) / F.size("p") * 100).alias("m")), "errors")
+    board = leaderboard_fitted(spark, sf).select("model", "rmse", "mape", F.row_number().over(Window.orderBy("rmse", "model")).alias("place"), "mape_rank")  # a row for each model
+    means = own.groupBy("model").agg(F.count(F.lit(1)).alias("n_series"), F.avg("r").alias("r"), F.avg("m").alias("m"))
+    means = means.withColumns({"r_place": F.row_number().over(Window.orderBy("r", "model")), "m_place": F.row_number().over(Window.orderBy("m", "model"))})
+    chosen = best_model_fitted(spark, sf).select("series_id", F.col("model").alias("chosen"))
+    least = own.groupBy("series_id").agg(F.min("m").alias("least"))
+    wrong = own.join(chosen, "series_id").join(least, "series_id").filter((F.col("model") == F.col("chosen")) & (F.col("m") > F.col("least") * (1 + 1e-12))).count()
+    rows = board.join(means, "model").select("model", "n_series", F.abs(F.col("rmse") / F.col("r") - 1).alias("rmse_gap"), F.abs(F.col("mape") / F.col("m") - 1).alias("mape_gap"),
+                                             F.lit(wrong).cast("bigint").alias("n_wrong_best"), ((F.col("place") == F.col("r_place")) & (F.col("mape_rank") == F.col("m_place"))).alias("in_order"))
+    return rounded(rows, rmse_gap=9, mape_gap=9)

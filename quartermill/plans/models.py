@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, changepoints, ensemble, features, forecast, histogram_trees, linear, seasonal_arma, smoothing, splits, trees, verdicts
+from quartermill.operators import accuracy, adaptive, changepoints, ensemble, features, forecast, histogram_trees, linear, seasonal_arma, smoothing, splits, trees, verdicts
 from quartermill.plans import inputs
 from quartermill.plans.catalog import cte, query, rounded, with_
 from quartermill.plans.timeseries import _MODELS_SQL, model_scores, split, staged_merged, staged_panel
@@ -291,6 +291,14 @@ def param_search(spark, sf):
     return ensemble.param_search(df, features.feature_columns(df), "elasticnet", trials)
 
 
+@query("adaptive_search")
+def adaptive_search(spark, sf):
+    """Thirty trials in batches of ten, drawn from what the ones before have shown; the error is relative to the level of a series."""
+    df = model_rows(spark, sf)
+    space = {"alpha": (1e-3, 10.0, "log"), "l1_ratio": (0.05, 0.95, "linear")}
+    return adaptive.linear_search(df, features.feature_columns(df), "elasticnet", space)
+
+
 @query("tree_search")
 def tree_search(spark, sf):
     """Thirty settings over eight dimensions, each on five walk-forward folds."""

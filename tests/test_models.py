@@ -1,11 +1,12 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
 from conftest import PANEL, month_starts
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, changepoints, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees
+from quartermill.operators import accuracy, adaptive, changepoints, ensemble, features, forecast, linear, seasonal_arma, smoothing, splits, trees
 
 
 def featured(panel, horizon=6):
@@ -254,3 +255,32 @@ def test_trees_beat_the_training_mean_and_rank_their_features(spark):
     model, _, _, kept = trees.fit(df, names, **settings)
     top = trees.importance(model, kept, spark, 3).collect()
     assert len(top) == 3 and top[0]["importance"] >= top[2]["importance"] > 0
+
+
+def test_adaptive_search_is_repeatable_and_beats_random_trials_on_a_planted_surface():
+    space = {"a": (1e-4, 1.0, "log"), "b": (0.0, 1.0, "linear"), "c": (1.0, 100.0, "log"), "d": (-1.0, 1.0, "linear")}
+    calls = []
+
+    def errors_of(settings, folds):
+        calls.append((len(settings), tuple(folds)))
+        value = [(math.log10(s["a"]) + 2) ** 2 + 9 * (s["b"] - 0.7) ** 2 + 2 * (math.log10(s["c"]) - 0.5) ** 2 + (s["d"] + 0.4) ** 2 for s in settings]
+        return np.array(value)[:, None] + 0.01 * np.array(folds)
+
+    wins = 0
+    for seed in range(12):
+        found = adaptive.search(errors_of, space, 4, trials=40, batch=8, seed=seed)
+        assert len(found) == 40 and found[0]["folds"] == 4 and any(r["folds"] == 2 for r in found)
+        rng = np.random.default_rng(1000 + seed)
+        plain = min(float(errors_of([adaptive.to_setting(p, space)], [1, 2, 3, 4]).mean()) for p in rng.random((40, 4)))
+        wins += found[0]["error"] < plain
+    assert wins >= 9
+    again = adaptive.search(errors_of, space, 4, trials=40, batch=8, seed=11)
+    assert again == found
+
+
+def test_adaptive_search_of_a_linear_model(spark):
+    df = featured(noisy_panel(spark))
+    names = ["y_lag_1", "y_lag_4", "month_sin"]
+    out = adaptive.linear_search(df, names, "ridge", {"alpha": (1e-3, 100.0, "log")}, trials=8, batch=4, n_folds=3).collect()
+    assert len(out) == 8 and [r["best"] for r in out] == [True] + [False] * 7
+    assert out[0]["cv_rmse"] == min(r["cv_rmse"] for r in out if r["folds"] == 3)
