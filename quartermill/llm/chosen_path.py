@@ -76,7 +76,10 @@ class JoinSettings:
         for _ in range(self.depth):
             lost = math.exp(-mean * (1 - lost))
         below = self._sketch()[1]
-        return min(MAX_RUNS, math.ceil(math.log((1 - self.recall - below) / (1 - below)) / math.log(lost)))
+        runs = math.ceil(math.log((1 - self.recall - below) / (1 - below)) / math.log(lost))
+        if runs > MAX_RUNS:
+            raise ValueError(f"these settings need {runs} runs, and a path can name {MAX_RUNS}; sample more children or ask for less recall")
+        return runs
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:

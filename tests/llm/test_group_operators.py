@@ -92,6 +92,8 @@ def test_components_follow_long_chains(spark):
 
 def test_runs_follow_from_the_recall():
     assert chosen_path.JoinSettings(recall=0.5).runs < chosen_path.JoinSettings().runs <= chosen_path.MAX_RUNS
+    with pytest.raises(ValueError):
+        chosen_path.JoinSettings(children=1.0, depth=12).runs
 
 
 def test_links_whose_sketches_agree_little_are_found(spark):
