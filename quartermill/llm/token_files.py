@@ -21,6 +21,7 @@ import hashlib
 import json
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -78,10 +79,6 @@ def _unpacked(rows: np.ndarray, bits: int, size: int) -> np.ndarray:
     return out.reshape(n, -1)[:, :size]
 
 
-def _bytes_at(out: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> None:
-    out[starts[:, None] + np.arange(rows.shape[1])] = rows
-
-
 def encode_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all blocks of ``ids``, the last of which may be short, and where each block starts."""
     whole = len(ids) // BLOCK * BLOCK
@@ -106,24 +103,27 @@ def _encode(blocks: np.ndarray, percentile: int) -> tuple[np.ndarray, np.ndarray
     packed = (size + 7) // 8 * bits
     length = HEADER + packed + 5 * exceptions
     starts = np.cumsum(length) - length
-    out = np.zeros(int(length.sum()), np.uint8)
     header = np.zeros(n, np.dtype([("least", "<u4"), ("bits", "u1"), ("exceptions", "<u2"), ("ids", "<u2")]))
     header["least"], header["bits"], header["exceptions"], header["ids"] = least, bits, exceptions, size
-    _bytes_at(out, starts, header.view(np.uint8).reshape(n, HEADER))
+    values = [b""] * n
     for width in np.unique(bits[bits > 0]).tolist():
         own = np.flatnonzero(bits == width)
-        _bytes_at(out, starts[own] + HEADER, _packed(above[own] & np.uint32((1 << width) - 1), width))
-    if len(row):
-        nth = np.arange(len(row)) - (np.cumsum(exceptions) - exceptions)[row]
-        at = starts[row] + HEADER + packed[row]
-        out[at + nth] = place
-        _bytes_at(out, at + exceptions[row] + 4 * nth, upper[row, place].astype("<u4").view(np.uint8).reshape(-1, 4))
-    return out, starts
+        raw, step = _packed(above[own] & np.uint32((1 << width) - 1), width).tobytes(), (size + 7) // 8 * width
+        for at, k in enumerate(own.tolist()):
+            values[k] = raw[at * step:(at + 1) * step]
+    places, uppers, heads = place.astype(np.uint8).tobytes(), upper[row, place].astype("<u4").tobytes(), header.tobytes()
+    parts, done = [], 0
+    for k, more in enumerate(exceptions.tolist()):
+        parts += (heads[k * HEADER:(k + 1) * HEADER], values[k])
+        if more:
+            parts += (places[done:done + more], uppers[4 * done:4 * (done + more)])
+            done += more
+    return np.frombuffer(b"".join(parts), np.uint8), starts
 
 
 def decode_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The ids of the blocks that start at ``starts`` of ``data``, one after the other."""
-    n = len(starts)
+    n, raw = len(starts), memoryview(np.ascontiguousarray(data))
     header = data[starts[:, None] + np.arange(HEADER)].reshape(-1).view(np.dtype([("least", "<u4"), ("bits", "u1"), ("exceptions", "<u2"), ("ids", "<u2")]))
     bits, size, exceptions = (header[k].astype(np.int64) for k in ("bits", "ids", "exceptions"))
     packed = (size + 7) // 8 * bits
@@ -132,7 +132,8 @@ def decode_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         own = np.flatnonzero((bits == width) & (size == ids))
         for at in range(0, len(own) if width else 0, SEGMENT_BLOCKS):
             some = own[at:at + SEGMENT_BLOCKS]
-            rows = data[(starts[some] + HEADER)[:, None] + np.arange((ids + 7) // 8 * width)]
+            step = (ids + 7) // 8 * width
+            rows = np.frombuffer(b"".join([raw[at:at + step] for at in (starts[some] + HEADER).tolist()]), np.uint8).reshape(len(some), step)
             out[some, :ids] = _unpacked(rows, width, ids)
     if exceptions.any():
         block = np.repeat(np.arange(n), exceptions)
@@ -250,6 +251,7 @@ class Encoder:
             and split[1].get("type") == "ByteLevel" and split[1].get("add_prefix_space") is False and split[1].get("use_regex") is False
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() or c.isalpha() and len(t["content"]) == 1 for c in t["content"]) for t in spec["added_tokens"])
             and not any(t["content"].isalpha() for t in spec["added_tokens"]) and not spec["model"].get("dropout"))
+        self.code = "H" if self.word.itemsize == 2 else "I"
         self.letters = {byte: letter for letter, byte in _byte_letters().items()}
         self.merges = self.library.model
         self.parts = Memo(self._part, self.MEMO)
@@ -262,15 +264,21 @@ class Encoder:
 
     def _merged(self, word: str) -> bytes:
         shown = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
-        return np.array([token.id for token in self.merges.tokenize(shown)], self.word).tobytes()
+        return array(self.code, [token.id for token in self.merges.tokenize(shown)]).tobytes()
 
     def _part(self, part: bytes) -> bytes:
+        if part.isalpha():  # letters from a to z only
+            small = part.lower()
+            return self._merged(part.decode()) if small == part else self.parts[small]
+        mark = part[-1:]
+        if part[:-1].isalpha() and not mark.isalnum() and mark < b"\x80":
+            return self.parts[part[:-1].lower()] + self.parts[mark]
         text = part.decode()
         if self._is_latin(text):
             small = text.lower()
             return self._merged(text) if small == text else self.parts[small.encode()]
         if text[-1].isascii() and not text[-1].isalnum() and self._is_latin(text[:-1]):
-            return self.parts[text[:-1].lower().encode()] + self.parts[part[-1:]]
+            return self.parts[text[:-1].lower().encode()] + self.parts[mark]
         return self._library([text])[0].tobytes()
 
     def _runs(self, text: str) -> Iterator[list[bytes]]:
