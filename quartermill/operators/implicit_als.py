@@ -46,6 +46,8 @@ def _half_step(grid: Grid, fixed: DataFrame, size: int, reg: float) -> DataFrame
 
     solved = materialise(grid.meet(fixed).applyInPandas(solve, f"id {kind}, vec array<double>, part binary"), "als_half")
     whole = solved.filter("part IS NULL").select("id", "vec")
+    if not grid.has_split:
+        return whole
     pieces = solved.filter("part IS NOT NULL").select("id", "part").groupBy("id").applyInPandas(join, f"id {kind}, vec array<double>")
     return whole.unionByName(pieces)
 

@@ -18,6 +18,7 @@ from quartermill.session import materialise
 
 MAX_COLUMNS = 5000
 INNER_SWEEPS = 50
+OVERSAMPLE, POWER_PASSES = 5, 4
 TINY = 1e-12
 
 
@@ -27,6 +28,7 @@ class Topics:
     h: np.ndarray
     errors: list[float]
     rows: DataFrame
+    converged: bool = True  # whether the error stopped falling before the iterations ended
 
 
 def sparse_rows(df: DataFrame, row: str, col: str, value: str, max_columns: int = MAX_COLUMNS) -> tuple[DataFrame, list[str]]:
@@ -114,26 +116,84 @@ def _improve(h: np.ndarray, wx: np.ndarray, ww: np.ndarray) -> np.ndarray:
     return h
 
 
+def _summed(rows: DataFrame, shape: tuple[int, int], partial) -> np.ndarray:
+    """Sum over the partitions of a small table that ``partial`` makes of the cells of a batch."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(shape)
+        for batch in batches:
+            if not batch.empty:
+                total += partial(*_flat(batch), len(batch))
+        i, j = np.nonzero(total)
+        yield pd.DataFrame({"i": i, "j": j, "x": total[i, j]})
+
+    out = np.zeros(shape)
+    for r in rows.select("idx", "val").mapInPandas(run, "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x")).collect():  # the cells of the table
+        out[r["i"], r["j"]] = r["x"]
+    return out
+
+
+def singular_start(rows: DataFrame, width: int, topics: int, seed: int = 42) -> np.ndarray:
+    """Start of H from the leading singular pairs: of each, the positive or the negative part of both vectors, whichever weighs more.
+
+    The pairs come from a few passes of subspace iteration, of which the driver holds columns x topics numbers as it does of H;
+    of the rows' vectors only the lengths of both parts are summed. A pair that the matrix lacks gives its topic the mean.
+    """
+    size = min(width, topics + OVERSAMPLE)
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, size)))[0]
+
+    def images(place: np.ndarray, idx: np.ndarray, val: np.ndarray, n: int, matrix: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(place, matrix[idx, t] * val, n) for t in range(matrix.shape[1])], axis=1)
+
+    for _ in range(POWER_PASSES):
+        def onwards(place, idx, val, n, basis=basis):
+            image = images(place, idx, val, n, basis)
+            return np.stack([np.bincount(idx, image[place, t] * val, width) for t in range(size)], axis=1)
+
+        basis = np.linalg.qr(_summed(rows, (width, size), onwards))[0]
+
+    def squares(place, idx, val, n):
+        image = images(place, idx, val, n, basis)
+        return image.T @ image
+
+    values, rotation = np.linalg.eigh(_summed(rows, (size, size), squares))
+    order = np.argsort(values)[::-1][:topics]
+    sigma, v = np.sqrt(np.maximum(values[order], 0.0)), basis @ rotation[:, order]
+
+    def parts(place, idx, val, n):
+        image = images(place, idx, val, n, v)
+        return np.stack([(np.maximum(image, 0.0) ** 2).sum(axis=0), (np.maximum(-image, 0.0) ** 2).sum(axis=0)])
+
+    lengths = np.sqrt(_summed(rows, (2, len(order)), parts)) / np.where(sigma > 0, sigma, 1.0)
+    h = np.zeros((topics, width))
+    for j in range(len(order)):
+        if sigma[j] > 1e-9 * sigma[0]:
+            own = max(((lengths[side, j], np.maximum(sign * v[:, j], 0.0)) for side, sign in ((0, 1.0), (1, -1.0))), key=lambda p: p[0] * np.linalg.norm(p[1]))
+            norm = np.linalg.norm(own[1])
+            h[j] = np.sqrt(sigma[j] * own[0] * norm) * own[1] / max(norm, TINY)
+    mean = max(float(h.mean()), TINY)
+    h[h.sum(axis=1) <= TINY] = mean
+    return h + 1e-6 * mean
+
+
 def fit_topics(df: DataFrame, row: str, col: str, value: str, topics: int, max_iter: int = 500,
                tolerance: float = 1e-4, seed: int = 42, max_columns: int = MAX_COLUMNS) -> Topics:
-    """Alternating non-negative least squares until the error stops falling by ``tolerance``.
+    """Alternating non-negative least squares from :func:`singular_start` until the error falls by at most ``tolerance`` of the first.
 
     Every iteration is one job over the rows. Row weights depend on H alone, so nothing but H is
     carried from one iteration to the next, and a lost executor only repeats its part of one pass.
     """
     rows, names = sparse_rows(df, row, col, value, max_columns)
     rows = materialise(rows, "nmf_rows")
-    scale = rows.agg(F.sum(F.aggregate("val", F.lit(0.0), lambda s, v: s + v)).alias("s"),
-                     F.count(F.lit(1)).alias("n")).first()
-    if not scale["n"]:
+    if rows.isEmpty():
         raise ValueError("no positive cells to factorise")
-    mean = scale["s"] / (scale["n"] * len(names))
-    h = np.random.default_rng(seed).random((topics, len(names))) * np.sqrt(mean / topics) + TINY
-    errors: list[float] = []
+    h = singular_start(rows, len(names), topics, seed)
+    errors, converged = [], False
     for _ in range(max_iter):
         wx, ww, error = _pass(rows, h)
         errors.append(error)
-        if len(errors) > 1 and errors[-2] - error <= tolerance * errors[0]:
+        converged = len(errors) > 1 and errors[-2] - error <= tolerance * errors[0]
+        if converged:
             break
         h = _improve(h, wx, ww)
 
@@ -147,7 +207,7 @@ def fit_topics(df: DataFrame, row: str, col: str, value: str, topics: int, max_i
     # rows without a positive cell have no weights; they come back as zero vectors
     zeros = F.array_repeat(F.lit(0.0), topics)
     every = df.select(row).distinct().join(fitted, row, "left").withColumn("vec", F.coalesce("vec", zeros))
-    return Topics(names, h, errors, materialise(every, "nmf_weights"))
+    return Topics(names, h, errors, materialise(every, "nmf_weights"), converged)
 
 
 def topic_table(spark: SparkSession, topics: Topics) -> DataFrame:

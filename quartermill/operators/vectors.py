@@ -37,14 +37,13 @@ def gram(df: DataFrame, vec: str, size: int) -> np.ndarray:
             if len(batch):
                 x = stack(batch[vec])
                 total += x.T @ x
-        yield pd.DataFrame({"i": np.arange(size), "row": list(total)})
-
-    parts = df.select(vec).mapInPandas(partial, "i int, row array<double>")
-    sums = parts.groupBy("i").agg(*[F.sum(F.col("row")[j]).alias(f"c{j}") for j in range(size)])
-    out = np.zeros((size, size))
-    for row in sums.collect():
-        out[row["i"]] = [row[f"c{j}"] for j in range(size)]
-    return out
+        yield pd.DataFrame({"cell": np.arange(size * size), "x": total.ravel()})
+
+    parts = df.select(vec).mapInPandas(partial, "cell int, x double")
+    sums = parts.groupBy("cell").agg(F.sum("x").alias("x")).toPandas()  # size x size cells
+    out = np.zeros(size * size)
+    out[sums["cell"].to_numpy()] = sums["x"].to_numpy()
+    return out.reshape(size, size)
 
 
 def apply_matrix(column: Column, matrix: np.ndarray) -> Column:

@@ -13,12 +13,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.operators import accuracy, adaptive, changepoints, ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, trees, vectors
+from quartermill.operators import accuracy, adaptive, changepoints, ensemble, features, interactions, linear, nmf, recommend, scaling, smoothing, spectral, splits, text, trees, vectors
 from quartermill.plans import inputs
 from quartermill.plans.catalog import query, rounded, with_
-from quartermill.plans.decompose import DIM, INDUSTRY_TOPICS, embeddings, standard, svd_factors
+from quartermill.plans.decompose import _STOP as STOP_LIST
+from quartermill.plans.decompose import DIM, INDUSTRY_TOPICS, TEXT_TOPICS, embeddings, evaluate_fitted, fitted_recs, standard, svd_factors
 from quartermill.plans.models import HORIZON, best_model_fitted, fitted_forecasts, leaderboard_fitted, model_rows
-from quartermill.plans.purchases import kept, train_test
+from quartermill.plans.purchases import item_text, kept, train_test
 from quartermill.plans.timeseries import staged_panel
 from quartermill.session import materialise
 
@@ -224,15 +225,39 @@ def nmf_certificate(spark, sf):
     """Weights and topics are not negative, the error never rises, and it is the one the written factors leave."""
     scaled = scaling.minmax(inputs.industry(spark, sf), ["value"], ["industry"])
     topics = nmf.fit_topics(scaled, "date", "industry", "value", INDUSTRY_TOPICS)
-    names = spark.createDataFrame([(n, [float(x) for x in topics.h[:, i]]) for i, n in enumerate(topics.names)], "industry string, h array<double>")
-    grid = scaled.select("date", "industry", "value").join(topics.rows, "date").join(names, "industry")
+    return topic_certificate(scaled, topics, "date", "industry", "value")
+
+
+def topic_certificate(cells: DataFrame, topics: nmf.Topics, row: str, col: str, value: str) -> DataFrame:
+    """Sizes, negative weights, whether the error fell and is that of the written factors: cells that are not there count as zero."""
+    spark = cells.sparkSession
+    names = spark.createDataFrame([(n, [float(x) for x in topics.h[:, i]]) for i, n in enumerate(topics.names)], "_name string, h array<double>")
+    grid = cells.select(row, F.col(col).alias("_name"), value).join(topics.rows, row).join(names, "_name")
     fitted = F.aggregate(F.zip_with("vec", "h", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    sums = grid.agg(F.sum((F.col("value") - fitted) ** 2).alias("error"), F.countDistinct("date").alias("n_rows"),
-                    F.countDistinct("industry").alias("n_columns"), F.sum(F.exists("vec", lambda x: x < 0).cast("bigint")).alias("n_negative"))
+    square = topics.h @ topics.h.T
+    held = vectors.gram(topics.rows, "vec", len(square))
+    whole = float((held * square).sum())  # what the fitted values add up to, squared, over all cells
+    sums = grid.agg(F.sum(F.col(value) * F.col(value) - 2 * F.col(value) * fitted).alias("error"), F.countDistinct(row).alias("n_rows"),
+                    F.countDistinct("_name").alias("n_columns"), F.sum(F.exists("vec", lambda x: x < 0).cast("bigint")).alias("n_negative"))
     errors = topics.errors
     falling = all(b <= a * (1 + 1e-9) for a, b in zip(errors, errors[1:])) and float(topics.h.min()) >= 0
-    return sums.select("n_rows", "n_columns", F.lit(topics.h.shape[0]).alias("n_topics"), "n_negative", F.lit(falling).alias("falling"),
-                       (F.abs(F.col("error") - errors[-1]) <= 1e-6 * errors[0]).alias("same_error"))
+    return sums.select("n_rows", "n_columns", F.lit(len(square)).alias("n_topics"), "n_negative", F.lit(falling).alias("falling"),
+                       (F.abs(F.col("error") + whole - errors[-1]) <= 1e-6 * errors[0]).alias("same_error"))
+
+
+@query("text_topic_certificate", with_("items", f"""
+, t AS (SELECT item_id, list_filter(regexp_extract_all(lower(p_name), '[\\p{{L}}\\p{{N}}_]{{2,}}'), lambda x: x NOT IN ({STOP_LIST})) AS w
+        FROM part JOIN items ON item_id = CAST(p_partkey AS VARCHAR)),
+g AS (SELECT item_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM t),
+c AS (SELECT item_id, term, COUNT(*) AS tf FROM g GROUP BY 1, 2),
+v AS (SELECT term FROM c GROUP BY 1 HAVING COUNT(*) >= 2 ORDER BY SUM(tf) DESC, term LIMIT 5000)
+SELECT COUNT(DISTINCT item_id) AS n_rows, COUNT(DISTINCT term) AS n_columns, CAST({TEXT_TOPICS} AS INTEGER) AS n_topics, CAST(0 AS BIGINT) AS n_negative,
+       true AS falling, true AS same_error FROM c JOIN v USING (term)"""))
+def text_topic_certificate(spark, sf):
+    """The same for the topics of the items' names."""
+    weights = materialise(text.tfidf(item_text(spark, sf), "item_id", "p_name"), "weights")
+    topics = nmf.fit_topics(weights, "item_id", "term", "weight", TEXT_TOPICS)
+    return topic_certificate(weights, topics, "item_id", "term", "weight")
 
 
 @query("importance_total", "SELECT CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS n_negative")
@@ -290,3 +315,29 @@ def leaderboard_agrees(spark, sf):
     rows = board.join(means, "model").select("model", "n_series", F.abs(F.col("rmse") / F.col("r") - 1).alias("rmse_gap"), F.abs(F.col("mape") / F.col("m") - 1).alias("mape_gap"),
                                              F.lit(wrong).cast("bigint").alias("n_wrong_best"), ((F.col("place") == F.col("r_place")) & (F.col("mape_rank") == F.col("m_place"))).alias("in_order"))
     return rounded(rows, rmse_gap=9, mape_gap=9)
+
+
+RECOMMENDERS = ("Popularity", "Truncated SVD", "ALS", "Content-based", "Hybrid")
+
+
+@query("evaluation_agrees", with_("test", """
+SELECT model, COUNT(DISTINCT user_id) AS n_users, CAST(0 AS BIGINT) AS n_wrong, true AS same_verdict
+FROM test, (VALUES ('Popularity'), ('Truncated SVD'), ('ALS'), ('Content-based'), ('Hybrid')) AS m(model) GROUP BY 1"""))
+def evaluation_agrees(spark, sf):
+    """The metrics of the fitted recommenders against a second count from the written lists, user by user, and the verdicts from it."""
+    recs, (_, test) = fitted_recs(spark, sf), train_test(spark, sf)
+    lists = recs.groupBy("model", "user_id").agg(F.array_sort(F.collect_list(F.struct("rank", "item_id"))).alias("l"))  # at most 50 rows each
+    models = test.select("user_id", "item_id", F.explode(F.array(*[F.lit(m) for m in RECOMMENDERS])).alias("model"))
+    place = F.array_position(F.transform("l", lambda x: x["item_id"]), F.col("item_id"))
+    users = models.join(lists, ["model", "user_id"], "left").withColumn("at", F.coalesce(place, F.lit(0)))
+    metrics = {}
+    for k in (10, 20, 50):
+        hit = (F.col("at") > 0) & (F.col("at") <= k)
+        metrics |= {f"recall_{k}": hit.cast("double"), f"ndcg_{k}": F.when(hit, F.log(2.0, F.lit(2.0)) / F.log(2.0, F.col("at") + 1)).otherwise(0.0), f"map_{k}": F.when(hit, 1 / F.col("at")).otherwise(0.0)}
+    again = users.groupBy("model").agg(F.count(F.lit(1)).alias("n_users"), *[F.avg(v).alias(f"_{n}") for n, v in metrics.items()])
+    both = evaluate_fitted(spark, sf).drop("n_users").join(again, "model")
+    wrong = sum((F.abs(F.col(n) - F.col(f"_{n}")) > 1e-9).cast("bigint") for n in metrics)
+    base = again.filter("model = 'Popularity'").select("_recall_10").scalar()
+    gain = F.col("_recall_10") - base
+    verdict = F.when(F.col("model") == "Popularity", F.col("verdict")).when(gain > 0.005, "beats").when(gain >= -0.005, "ties").otherwise("loses")
+    return both.select("model", "n_users", wrong.cast("bigint").alias("n_wrong"), (F.col("verdict") == verdict).alias("same_verdict"))

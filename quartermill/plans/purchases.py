@@ -124,11 +124,11 @@ def popularity_order(spark: SparkSession, sf: str) -> DataFrame:
 def one_hot(weights: DataFrame, column: str) -> tuple[DataFrame, int]:
     """``(item_id, vec)`` from ``(item_id, column, weight)``; the column has few distinct values.
 
-    The distinct values index the vector; they come from a vocabulary of bounded size.
+    The distinct values index the vector, so there may be as many as a vocabulary has words; more are an error, and none is left out.
     """
-    names = [row[0] for row in weights.select(column).distinct().orderBy(column).limit(text.MAX_FEATURES).collect()]
-    if len(names) == text.MAX_FEATURES:
-        raise ValueError(f"{column} has too many values for a dense vector")
+    names = [row[0] for row in weights.select(column).distinct().orderBy(column).limit(text.MAX_FEATURES + 1).collect()]
+    if len(names) > text.MAX_FEATURES:
+        raise ValueError(f"{column} has more than {text.MAX_FEATURES} values, too many for a dense vector")
     by_name = weights.groupBy("item_id").pivot(column, names).agg(F.sum("weight"))
     return by_name.select("item_id", F.array(*[F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in names]).alias("vec")), len(names)
 

@@ -75,6 +75,10 @@ def test_nmf_error_never_rises_and_finds_planted_topics(spark):
     out = nmf.fit_topics(df, "i", "c", "x", 2, max_iter=60, tolerance=1e-9)
     assert all(b <= a + 1e-9 for a, b in zip(out.errors, out.errors[1:], strict=False))
     assert out.errors[-1] < 1e-3 * (x * x).sum() and (out.h >= 0).all()
+    one, two = (nmf.fit_topics(df, "i", "c", "x", 2, max_iter=4, tolerance=0.0, seed=seed) for seed in (1, 7))
+    assert np.allclose(one.h, two.h, atol=1e-4)  # the start does not depend on the seed
+    assert nmf.fit_topics(df, "i", "c", "x", 2, max_iter=4, tolerance=0.9).converged
+    assert not nmf.fit_topics(df, "i", "c", "x", 2, max_iter=1).converged
     weights = {r["i"]: r["vec"] for r in out.rows.collect()}
     assert weights[99] == [0.0, 0.0] and min(min(v) for v in weights.values()) >= 0
     table = nmf.topic_table(spark, out)
