@@ -84,6 +84,29 @@ def test_short_items_are_skipped_and_lists_stay_the_same(spark):
     assert "Join" not in plan and "CoGroup" not in plan  # the lists are read as they were written
 
 
+def test_items_with_equal_vectors_are_scored_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    kinds = rng.integers(-1, 2, (6, 3)).astype(float)  # many ties between kinds as well
+    v = kinds[rng.integers(0, 6, 400)]
+    u = rng.integers(-1, 3, (20, 3)).astype(float)
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user_id bigint, vec array<double>")
+    items = spark.createDataFrame([(f"i{i:03d}", x.tolist()) for i, x in enumerate(v)], "item_id string, vec array<double>")
+    seen = {(a, f"i{b:03d}") for a in range(20) for b in range(400) if b > 395 - 4 * a} | {(5, f"i{b:03d}") for b in range(397)}
+    pairs = spark.createDataFrame(sorted(seen), "user_id bigint, item_id string")
+    scored = []
+    blocks = vectors._blocks
+    monkeypatch.setattr(vectors, "_blocks", lambda kept, size: scored.append(kept.count()) or blocks(kept, size))
+    for own, known in ((pairs, seen), (pairs.filter("user_id != 5"), {p for p in seen if p[0] != 5}), (None, set())):
+        got = lists(vectors.top_k_scores(users, items, 4, own, 3, 17))
+        scores = u @ v.T
+        for a in range(20):
+            free = [(scores[a, b], f"i{b:03d}") for b in range(400) if (a, f"i{b:03d}") not in known]
+            assert got.get(a, []) == [i for _, i in sorted(free, reverse=True)[:4]]
+    assert scored[2] == 4 * len(np.unique(v, axis=0)) and scored[1] < 200  # not the 400 there are
+    spans = {r["user_id"]: (r["lo"], r["hi"]) for r in vectors.score_range(users, items).collect()}
+    assert scored[3] == len(np.unique(v, axis=0)) and spans == {a: (scores[a].min(), scores[a].max()) for a in range(20)}
+
+
 def test_scoring_of_nobody_or_nothing(spark):
     users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id bigint, vec array<double>")
     items = spark.createDataFrame([("a", [0.0, 0.0])], "item_id string, vec array<double>")
