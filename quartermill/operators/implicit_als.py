@@ -20,24 +20,57 @@ from quartermill.operators.vectors import gram, stack
 from quartermill.session import materialise
 
 
+SOLVED_AT_ONCE = 2_000_000  # numbers of the vectors gathered for rows that are solved together
+
+
+def solve_rows(base: np.ndarray, matrix: np.ndarray, places: np.ndarray, weights: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Solutions of ``(base + sum (c - 1) v v') x = sum c v`` for rows of cells, those of equal length together.
+
+    With V the vectors of a row, W = V base^-1 and D the confidences less one, x is ``W' (I + D W V')^-1 c``: a row of m cells
+    takes a system of m instead of one of the vectors' size. Rows longer than that are solved as they stand.
+    """
+    size = len(base)
+    out, shifted = np.empty((len(lengths), size)), matrix @ np.linalg.inv(base)
+    for m in np.unique(lengths):
+        rows = np.flatnonzero(lengths == m)
+        step = max(1, SOLVED_AT_ONCE // int(m * size))
+        for at in range(0, len(rows), step):
+            some = rows[at:at + step]
+            cells = starts[some][:, None] + np.arange(m)
+            v, c = matrix[places[cells]], weights[cells]
+            if m < size:
+                w = shifted[places[cells]]
+                small = np.eye(m) + (c - 1)[:, :, None] * (w @ v.transpose(0, 2, 1))
+                out[some] = (w.transpose(0, 2, 1) @ np.linalg.solve(small, c[:, :, None]))[:, :, 0]
+            else:
+                whole = base + (v * (c - 1)[:, :, None]).transpose(0, 2, 1) @ v
+                out[some] = np.linalg.solve(whole, (c[:, None, :] @ v).transpose(0, 2, 1))[:, :, 0]
+    return out
+
+
 def _half_step(grid: Grid, fixed: DataFrame, size: int, reg: float) -> DataFrame:
     """``(id, vec)`` of one side, solved against the vectors ``fixed`` of the other."""
     base = gram(fixed, "vec", size) + reg * np.eye(size)
     kind = grid.id_type
 
     def solve(own: pd.DataFrame, vecs: pd.DataFrame) -> pd.DataFrame:
-        index, matrix = pd.Index(vecs["id"]), stack(vecs["vec"])
-        out, parts = [], {}
-        for key, split, ids, weights in zip(own["id"], own["split"], own["ids"], own["weights"]):
-            v, c = matrix[index.get_indexer(ids)], np.asarray(weights, float)
+        if own.empty:
+            return pd.DataFrame({"id": [], "vec": [], "part": []})
+        matrix = stack(vecs["vec"])
+        places = pd.Index(vecs["id"]).get_indexer(np.concatenate(list(own["ids"])))
+        weights = np.concatenate([np.asarray(w, float) for w in own["weights"]])
+        lengths = own["ids"].map(len).to_numpy()
+        starts, split = np.cumsum(lengths) - lengths, own["split"].to_numpy(bool)
+        whole = pd.DataFrame({"id": own["id"][~split].to_numpy(), "part": None})
+        whole["vec"] = list(solve_rows(base, matrix, places, weights, starts[~split], lengths[~split]))
+        parts = {}
+        for key, low, n in zip(own["id"][split], starts[split], lengths[split]):
+            v, c = matrix[places[low:low + n]], weights[low:low + n]
             a, b = (v * (c - 1)[:, None]).T @ v, c @ v
-            if split:
-                before = parts.get(key)
-                parts[key] = (a, b) if before is None else (before[0] + a, before[1] + b)
-            else:
-                out.append((key, np.linalg.solve(base + a, b), None))
-        out += [(key, None, np.concatenate([a.ravel(), b]).tobytes()) for key, (a, b) in parts.items()]
-        return pd.DataFrame(out, columns=["id", "vec", "part"])
+            before = parts.get(key)
+            parts[key] = (a, b) if before is None else (before[0] + a, before[1] + b)
+        pieces = pd.DataFrame([(key, None, np.concatenate([a.ravel(), b]).tobytes()) for key, (a, b) in parts.items()], columns=["id", "vec", "part"])
+        return pd.concat([df for df in (whole[["id", "vec", "part"]], pieces) if len(df)])
 
     def join(own: pd.DataFrame) -> pd.DataFrame:  # a piece for each block at most
         total = sum(np.frombuffer(p) for p in own["part"])

@@ -139,6 +139,24 @@ def test_implicit_als_equals_a_dense_solver_with_rows_cut_into_pieces(spark):
     assert empty[0].count() == empty[1].count() == 0
 
 
+def test_rows_of_few_cells_are_solved_in_systems_of_their_length():
+    rng = np.random.default_rng(3)
+    size, lengths = 6, rng.integers(1, 12, 200)
+    matrix, starts = rng.normal(size=(40, size)), np.cumsum(lengths) - lengths
+    places, weights = rng.integers(0, 40, lengths.sum()), rng.uniform(0.2, 5, lengths.sum())
+    base = matrix.T @ matrix + 0.1 * np.eye(size)
+    got = implicit_als.solve_rows(base, matrix, places, weights, starts, lengths)
+    for x, low, n in zip(got, starts, lengths):
+        v, c = matrix[places[low:low + n]], weights[low:low + n]
+        assert np.allclose(x, np.linalg.solve(base + (v * (c - 1)[:, None]).T @ v, c @ v), atol=1e-10)
+
+
+def test_a_matrix_of_one_block_is_dealt_to_all_cores(spark):
+    cells = spark.range(400).selectExpr("id % 80 AS user_id", "id AS item_id", "1.0D AS weight")
+    dealt = grid.deal(cells, "user_id", "item_id", 400, block_cells=1000, piece_cells=10)
+    assert dealt.blocks == spark.sparkContext.defaultParallelism and dealt.rows.select("block").distinct().count() > 1
+
+
 def test_products_go_through_blocks_and_cut_a_hot_item(spark):
     rng = np.random.default_rng(5)
     dense = np.where(rng.random((60, 20)) < 0.2, rng.normal(size=(60, 20)), 0.0)
