@@ -94,6 +94,15 @@ def test_lagged_topics_only_show_the_previous_period(spark):
     assert {r["is_test"]: r["coverage"] for r in nmf.topic_coverage(joined, ["t"]).collect()} == {False: 0.5, True: 0.5}
 
 
+def test_terms_of_a_document_do_not_move(spark):
+    docs = spark.createDataFrame([(i % 7, f"red ring {i} red") for i in range(20)], "d bigint, t string")
+    counts = text.term_counts(docs, "d", "t")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+    got = {(r["d"], r["term"]): r["tf"] for r in counts.collect()}
+    assert got[(0, "red")] == 6 and got[(0, "red ring")] == 3 and got[(6, "red")] == 4
+
+
 def test_tfidf_against_a_direct_computation(spark):
     docs = {1: "The red ring and the RED box", 2: "red ring ring", 3: "a blue box é çà", 4: "", 5: None}
     df = spark.createDataFrame(list(docs.items()), "d int, t string")
