@@ -1,8 +1,10 @@
 import datetime as dt
 import math
+import pickle
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -325,3 +327,10 @@ def test_global_rank_counts_through_all_partitions(spark):
 def test_metric_names(spark):
     df = spark.createDataFrame([("SVD (k=50)",), ("Content-based",), ("A/B Test",)], "m string")
     assert [r[0] for r in df.select(ranking.metric_name(F.col("m"))).collect()] == ["svd_k50", "content-based", "a_b_test"]
+
+
+def test_broadcast_blocks_need_no_package_on_the_executors():
+    items = pd.DataFrame({"item_id": ["a", "b", "c"], "vec": [[1.0, 0.0], [1.0, 0.0], [0.0, 2.0]]})
+    block = vectors._block(items, 2.0)
+    assert b"quartermill" not in pickle.dumps(block)
+    assert block.ids.tolist() == ["c", "b", "a"] and block.matrix.shape == (2, 2)
