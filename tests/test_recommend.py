@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quartermill.functions.skew import global_rank, hot_keys, salted_join
 from quartermill.operators import grid, implicit_als, interactions, ranking, recommend, spectral, vectors
+from quartermill.session import materialise
 
 CELL = "user_id bigint, item_id string, n_rows bigint, quantity bigint, last_at struct<invoice_date: date, invoice: string, line_no: int>"
 
@@ -334,3 +335,29 @@ def test_broadcast_blocks_need_no_package_on_the_executors():
     block = vectors._block(items, 2.0)
     assert b"quartermill" not in pickle.dumps(block)
     assert block.ids.tolist() == ["c", "b", "a"] and block.matrix.shape == (2, 2)
+
+
+def test_round_trips_equal_dense_products_and_send_a_vector_once_to_a_block(spark):
+    rng = np.random.default_rng(6)
+    dense = np.where(rng.random((50, 24)) < 0.3, rng.normal(size=(50, 24)), 0.0)
+    cells = spark.createDataFrame([(int(u), f"i{i:02d}", float(dense[u, i])) for u, i in zip(*np.nonzero(dense))], "user_id bigint, item_id string, weight double")
+    vecs = rng.normal(size=(50, 3))
+    users = spark.createDataFrame([(u, v.tolist()) for u, v in enumerate(vecs)], "id bigint, vec array<double>")
+    dealt = grid.deal(cells, "item_id", "user_id", cells.count(), block_cells=100, piece_cells=50, least_cells=100)
+    got = {r["id"]: r["vec"] for r in grid.round_trip(dealt, users, 3).collect()}
+    assert len(got) == 50 and all(np.allclose(got[u], dense[u] @ (dense.T @ vecs), atol=1e-5) for u in range(50))
+    items = materialise(dealt.rows.select("block", "id")).withColumn("vec", F.array(F.substring("id", 2, 2).cast("double"), F.lit(1.0)))
+    back = {r["id"]: r["vec"] for r in grid.product_back(dealt, items, 2).collect()}
+    assert all(np.allclose(back[u], dense[u] @ np.stack([np.arange(24), np.ones(24)], 1)) for u in range(50))
+    # users are bought from 7 items each on average, but no vector goes to more than the few blocks there are
+    assert dealt.blocks <= -(-cells.count() // 100) and dealt.links.count() <= 50 * dealt.blocks < cells.count()
+
+
+def test_svd_with_an_item_too_long_for_a_block_gives_the_same_factors(spark):
+    rng = np.random.default_rng(8)
+    x = rng.random((40, 3)) @ rng.random((3, 12))
+    train = spark.createDataFrame([(u, f"i{i:02d}", float(x[u, i])) for u in range(40) for i in range(12)], "user_id bigint, item_id string, weight double")
+    for cells in (grid.TRIP_CELLS, 40):
+        users, factors, sigma = spectral.truncated_svd_factors(train, train.select("item_id").distinct(), 3, iterations=3, trip_cells=cells)
+        u, v = (np.stack([r["vec"] for r in df.orderBy(key).collect()]) for df, key in ((users, "user_id"), (factors, "item_id")))
+        assert np.allclose(u @ v.T, x, atol=1e-6) and np.allclose(sigma, np.linalg.svd(x, compute_uv=False)[:3], rtol=1e-6)
