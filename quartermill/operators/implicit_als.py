@@ -5,22 +5,27 @@ and target 0, and the penalty is the same for every row. With one side fixed, a
 ``(G + reg + sum (c - 1) v v') x = sum c v`` over its observed cells, where G is the Gram matrix of the fixed side.
 
 The cells are dealt once by row and once by column, as :mod:`quartermill.operators.grid` says; the sums of the pieces of a
-very long row meet before they are solved.
+very long row meet before they are solved. A solved vector carries the blocks of the other side that need it, and a block gives the Gram
+matrix of what it solved, so a half-step is one job besides the sum of these matrices.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quartermill.operators.grid import BLOCK_CELLS, PIECE_CELLS, Grid, deal
-from quartermill.operators.vectors import gram, stack
+from quartermill.operators.grid import BLOCK_CELLS, PIECE_CELLS, Grid, deal, flat
+from quartermill.operators.vectors import gram
 from quartermill.session import materialise
 
 
 SOLVED_AT_ONCE = 2_000_000  # numbers of the vectors gathered for rows that are solved together
+WHOLE, PIECE, SUMS = 0, 1, 2  # what a block gives: solved rows, sums of pieces, the Gram matrix of its solved rows
 
 
 def solve_rows(base: np.ndarray, matrix: np.ndarray, places: np.ndarray, weights: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -48,41 +53,57 @@ def solve_rows(base: np.ndarray, matrix: np.ndarray, places: np.ndarray, weights
     return out
 
 
-def _half_step(grid: Grid, fixed: DataFrame, size: int, reg: float) -> DataFrame:
-    """``(id, vec)`` of one side, solved against the vectors ``fixed`` of the other."""
-    base = gram(fixed, "vec", size) + reg * np.eye(size)
+def _addressed(grid: Grid, other: Grid) -> Grid:
+    """``grid`` with the blocks of ``other`` that need a row's vector in ``to``, so that solved vectors find their way without a join."""
+    to = other.links.groupBy("id").agg(F.collect_list("block").alias("to"))
+    return replace(grid, rows=materialise(grid.rows.join(to, "id"), "als_rows"))
+
+
+def _half_step(grid: Grid, fixed: DataFrame, moments: np.ndarray, reg: float) -> tuple[DataFrame, np.ndarray]:
+    """``(id, to, vec)`` of one side, solved against the vectors ``fixed`` of the other with the Gram matrix ``moments``, and their own Gram matrix."""
+    size = len(moments)
+    base = moments + reg * np.eye(size)
     kind = grid.id_type
 
-    def solve(own: pd.DataFrame, vecs: pd.DataFrame) -> pd.DataFrame:
-        if own.empty:
-            return pd.DataFrame({"id": [], "vec": [], "part": []})
-        matrix = stack(vecs["vec"])
-        places = pd.Index(vecs["id"]).get_indexer(np.concatenate(list(own["ids"])))
-        weights = np.concatenate([np.asarray(w, float) for w in own["weights"]])
-        lengths = own["ids"].map(len).to_numpy()
-        starts, split = np.cumsum(lengths) - lengths, own["split"].to_numpy(bool)
-        whole = pd.DataFrame({"id": own["id"][~split].to_numpy(), "part": None})
-        whole["vec"] = list(solve_rows(base, matrix, places, weights, starts[~split], lengths[~split]))
-        parts = {}
-        for key, low, n in zip(own["id"][split], starts[split], lengths[split]):
+    def named(own: pa.Table) -> pa.Schema:
+        return pa.schema([("what", pa.int32()), own.schema.field("id"), ("to", pa.list_(pa.int32())), ("vec", pa.list_(pa.float64())), ("part", pa.binary())])
+
+    def rows_of(what: int, own: pa.Table, vecs: np.ndarray | None = None, parts: list | None = None) -> pa.Table:
+        to, n_to = flat(own["to"])
+        to = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n_to)]).astype("int32"), pa.array(to, pa.int32()))
+        vec = pa.nulls(len(own), pa.list_(pa.float64())) if vecs is None else pa.ListArray.from_arrays(np.arange(0, vecs.size + 1, size, dtype="int32"), pa.array(vecs.ravel()))
+        return pa.table([pa.array([what] * len(own), pa.int32()), own["id"].combine_chunks(), to, vec, pa.array(parts or [None] * len(own), pa.binary())], schema=named(own))
+
+    def solve(own: pa.Table, vecs: pa.Table) -> pa.Table:
+        if not len(own):
+            return named(own).empty_table()
+        (ids, lengths), weights = flat(own["ids"]), flat(own["weights"])[0]
+        matrix = flat(vecs["vec"])[0].reshape(-1, size)
+        places = pd.Index(vecs["id"].to_pandas()).get_indexer(ids)
+        starts, split = np.cumsum(lengths) - lengths, own["split"].to_numpy().astype(bool)
+        solved = solve_rows(base, matrix, places, weights, starts[~split], lengths[~split])
+        sums = pa.Table.from_pylist([{"what": SUMS, "part": (solved.T @ solved).tobytes()}], named(own))
+        pieces = []
+        for low, n in zip(starts[split], lengths[split]):
             v, c = matrix[places[low:low + n]], weights[low:low + n]
-            a, b = (v * (c - 1)[:, None]).T @ v, c @ v
-            before = parts.get(key)
-            parts[key] = (a, b) if before is None else (before[0] + a, before[1] + b)
-        pieces = pd.DataFrame([(key, None, np.concatenate([a.ravel(), b]).tobytes()) for key, (a, b) in parts.items()], columns=["id", "vec", "part"])
-        return pd.concat([df for df in (whole[["id", "vec", "part"]], pieces) if len(df)])
+            pieces.append(np.concatenate([((v * (c - 1)[:, None]).T @ v).ravel(), c @ v]).tobytes())
+        out = [rows_of(WHOLE, own.filter(pa.array(~split)), solved), sums]
+        return pa.concat_tables(out + ([rows_of(PIECE, own.filter(pa.array(split)), None, pieces)] if pieces else []))
 
-    def join(own: pd.DataFrame) -> pd.DataFrame:  # a piece for each block at most
+    def join(own: pd.DataFrame) -> pd.DataFrame:  # the pieces of a row
         total = sum(np.frombuffer(p) for p in own["part"])
         a, b = total[:size * size].reshape(size, size), total[size * size:]
-        return pd.DataFrame({"id": [own["id"].iloc[0]], "vec": [np.linalg.solve(base + a, b)]})
+        return pd.DataFrame({"id": [own["id"].iloc[0]], "to": [own["to"].iloc[0]], "vec": [np.linalg.solve(base + a, b)]})
 
-    solved = materialise(grid.meet(fixed).applyInPandas(solve, f"id {kind}, vec array<double>, part binary"), "als_half")
-    whole = solved.filter("part IS NULL").select("id", "vec")
+    vecs = fixed.select(F.explode("to").alias("block"), "id", "vec")
+    solved = materialise(grid.beside(vecs).applyInArrow(solve, f"what int, id {kind}, to array<int>, vec array<double>, part binary"), "als_half")
+    parts = solved.filter(F.col("what") == SUMS).select("part").collect()  # a size x size matrix for each block
+    own = sum((np.frombuffer(r["part"]).reshape(size, size) for r in parts), np.zeros((size, size)))
+    whole = solved.filter(F.col("what") == WHOLE).select("id", "to", "vec")
     if not grid.has_split:
-        return whole
-    pieces = solved.filter("part IS NOT NULL").select("id", "part").groupBy("id").applyInPandas(join, f"id {kind}, vec array<double>")
-    return whole.unionByName(pieces)
+        return whole, own
+    pieces = materialise(solved.filter(F.col("what") == PIECE).select("id", "to", "part").groupBy("id").applyInPandas(join, f"id {kind}, to array<int>, vec array<double>"), "als_pieces")
+    return whole.unionByName(pieces), own + gram(pieces, "vec", size)
 
 
 def als(cells: DataFrame, rank: int = 64, iterations: int = 30, reg: float = 0.1, seed: int = 42,
@@ -96,9 +117,10 @@ def als(cells: DataFrame, rank: int = 64, iterations: int = 30, reg: float = 0.1
     by_user = deal(cells, "user_id", "item_id", total, block_cells, piece_cells)
     by_item = deal(cells, "item_id", "user_id", total, block_cells, piece_cells)
     start = F.array(*[F.xxhash64("id", F.lit(seed * 10_007 + j)) / float(2**63) * 0.01 for j in range(rank)])
-    items = cells.select(F.col("item_id").alias("id")).distinct().withColumn("vec", start)
-    users = cells.select(F.col("user_id").alias("id")).distinct().withColumn("vec", start)
+    by_user, by_item = _addressed(by_user, by_item), _addressed(by_item, by_user)
+    users, items = (materialise(grid.rows.dropDuplicates(["id"]).select("id", "to", start.alias("vec")), "als_start") for grid in (by_user, by_item))
+    moments = gram(items, "vec", rank)
     for _ in range(iterations):
-        users = _half_step(by_user, items, rank, reg)
-        items = _half_step(by_item, users, rank, reg)
-    return users.withColumnRenamed("id", "user_id"), items.withColumnRenamed("id", "item_id")
+        users, moments = _half_step(by_user, items, moments, reg)
+        items, moments = _half_step(by_item, users, moments, reg)
+    return users.select(F.col("id").alias("user_id"), "vec"), items.select(F.col("id").alias("item_id"), "vec")

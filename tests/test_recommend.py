@@ -142,6 +142,20 @@ def test_implicit_als_equals_a_dense_solver_with_rows_cut_into_pieces(spark):
     assert empty[0].count() == empty[1].count() == 0
 
 
+def test_half_steps_bring_their_gram_matrix_and_send_vectors_without_a_join(spark, monkeypatch):
+    cells = spark.range(400).selectExpr("id % 80 AS user_id", "cast(id % 50 AS string) AS item_id", "1.0D + id % 3 AS weight")
+    calls, steps = [], []
+    plain, half = implicit_als.gram, implicit_als._half_step
+    monkeypatch.setattr(implicit_als, "gram", lambda df, vec, size: calls.append(size) or plain(df, vec, size))
+    monkeypatch.setattr(implicit_als, "_half_step", lambda *given: steps.append(half(*given)) or steps[-1])
+    _, items = implicit_als.als(cells, 4, 3, block_cells=100)
+    assert calls == [4] and len(steps) == 6  # only that of the start
+    assert np.allclose(steps[-1][1], plain(items, "vec", 4), atol=1e-12)
+    to = {r["id"]: sorted(r["to"]) for r in steps[-1][0].collect()}
+    dealt = grid.deal(cells, "user_id", "item_id", 400, 100)
+    assert to == {r["id"]: sorted(r["b"]) for r in dealt.links.groupBy("id").agg(F.collect_set("block").alias("b")).collect()}
+
+
 def test_rows_of_few_cells_are_solved_in_systems_of_their_length():
     rng = np.random.default_rng(3)
     size, lengths = 6, rng.integers(1, 12, 200)
