@@ -110,6 +110,24 @@ def test_items_with_equal_vectors_are_scored_once(spark, monkeypatch):
     assert scored[3] == len(np.unique(v, axis=0)) and spans == {a: (scores[a].min(), scores[a].max()) for a in range(20)}
 
 
+def test_equal_vectors_share_a_block_and_blocks_share_a_round(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    kinds = rng.choice([-1.0, 1.0], (9, 4))  # all of one length
+    v = np.unique(kinds, axis=0)[rng.integers(0, len(np.unique(kinds, axis=0)), 120)]
+    items = spark.createDataFrame([(f"i{i:03d}", x.tolist()) for i, x in enumerate(v)], "item_id string, vec array<double>")
+    stored, lengths, together = vectors._blocks(items, 40)
+    spans = stored.groupBy("vec").agg(F.countDistinct("block").alias("n")).agg(F.sum("n")).first()[0]
+    assert len(lengths) == 3 and spans <= len(np.unique(v, axis=0)) + 2 and together > 3
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.integers(-2, 3, (30, 4)).astype(float))], "user_id bigint, vec array<double>")
+    written, plain = [], vectors.materialise
+    monkeypatch.setattr(vectors, "materialise", lambda df, label: written.append(label) or plain(df, label))
+    one = lists(vectors.top_k_scores(users, items, 30, None, 8, 5))
+    assert written.count("scoring") == 1
+    monkeypatch.setattr(vectors, "ROUND_NUMBERS", 40)  # two blocks a round: lists are carried from round to round
+    assert lists(vectors.top_k_scores(users, items, 30, None, 8, 5)) == one
+    assert written.count("scoring") > 3
+
+
 def test_scoring_of_nobody_or_nothing(spark):
     users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id bigint, vec array<double>")
     items = spark.createDataFrame([("a", [0.0, 0.0])], "item_id string, vec array<double>")
