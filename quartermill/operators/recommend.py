@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quartermill.functions.skew import global_rank, salted_join
+from quartermill.functions.skew import global_rank
 from quartermill.operators.implicit_als import als
 from quartermill.operators.interactions import bm25_weights
 from quartermill.operators.vectors import l2_norm, normalise, score_range, top_k_scores, weighted_sum
@@ -46,8 +46,9 @@ def rec_popularity(train: DataFrame, users: DataFrame, k: int, order: DataFrame
 
     The j-th seen item of a user, by popularity, lies before the k-th unseen one exactly when fewer
     than k unseen items precede it (position - j < k). So k + m positions are enough, with m counted
-    per user: nothing is capped, and no user is paired with the whole catalogue. The first k positions
-    are asked for by nearly every user, so the join salts them, without counting the places first.
+    per user: nothing is capped, and no user is paired with the whole catalogue. The first 2 k positions
+    are asked for by nearly every user and are so few that they are sent to the users; only users who have seen
+    more than k of the first travel to later ones.
     """
     order = materialise(popular_order(train), "popular") if order is None else order
     users = users.select("user_id").distinct()
@@ -65,8 +66,10 @@ def rec_popularity(train: DataFrame, users: DataFrame, k: int, order: DataFrame
     last = F.least(F.col("_total"), F.size("_passed") + F.lit(k).cast("bigint"))
     unseen = F.array_except(F.sequence(F.lit(1).cast("bigint"), last), F.col("_passed"))
     places = wanted.filter("_total > 0").select("user_id", F.posexplode(unseen).alias("_i", "position"))
-    named = salted_join(places, order.select("position", "item_id", F.col("popularity").alias("score")), "position",
-                        hot=order.filter(F.col("position") <= k).select("position"))
+    named = order.select("position", "item_id", F.col("popularity").alias("score"))
+    first = places.filter(F.col("position") <= 2 * k).join(F.broadcast(named.filter(F.col("position") <= 2 * k)), "position")
+    later = places.filter(F.col("position") > 2 * k).join(named, "position")
+    named = first.unionByName(later)
     return named.select("user_id", (F.col("_i") + 1).alias("rank"), "item_id", "score")
 
 

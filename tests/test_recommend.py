@@ -52,6 +52,23 @@ def test_popularity_equals_brute_force_with_a_user_who_has_nearly_everything(spa
     assert got == {u: v for u, v in want.items() if v}
 
 
+def test_first_positions_are_sent_to_the_users_and_only_later_ones_are_met_by_a_shuffle(spark):
+    train = skewed_train()
+    df = spark.createDataFrame(train, "user_id bigint, item_id string, weight double")
+    wanted = spark.createDataFrame([(u,) for u in [*range(40), 777]], "user_id bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        recs = recommend.rec_popularity(df, wanted, 5)
+        plan = recs._jdf.queryExecution().sparkPlan().toString()
+        got = lists(recs)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin [position") == 1 and "_salt" not in plan
+    want = brute_popularity(train, [*range(40), 777], 5)
+    assert got == {u: v for u, v in want.items() if v}  # user 0 asks for the last positions
+
+
 @pytest.mark.parametrize("blocks", [(2048, 8192), (7, 11)])
 def test_top_k_equals_brute_force_for_any_blocking(spark, blocks):
     rng = np.random.default_rng(1)
