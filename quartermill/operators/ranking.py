@@ -24,16 +24,14 @@ def gains(k: int) -> dict[str, Column]:
 def evaluate_all(recs: DataFrame, test: DataFrame, k_values: Sequence[int] = K_VALUES) -> DataFrame:
     """Recall, NDCG and MAP at every k per model, in one pass over lists ranked once.
 
-    Only hits count, so the lists meet the held-out items in an inner join. The denominator is the
-    number of test users, so a user without recommendations counts as 0, and a model without any hit
-    still gets its row.
+    The lists are read once and need not be stored: a row that is no hit adds nothing, so a model without any hit still gets
+    its row. The denominator is the number of test users, so a user without recommendations counts as 0.
     """
     truth = test.select("user_id", "item_id", F.lit(True).alias("_hit"))
-    hits = truth.join(recs, ["user_id", "item_id"])
+    marked = recs.select("model", "user_id", "item_id", "rank").join(truth, ["user_id", "item_id"], "left")
     n_users = test.agg(F.count(F.lit(1))).scalar()
     columns = {name: gain for k in k_values for name, gain in gains(k).items()}
-    sums = hits.groupBy("model").agg(*[F.sum(gain).alias(name) for name, gain in columns.items()])
-    sums = recs.select("model").distinct().join(sums, "model", "left")
+    sums = marked.groupBy("model").agg(*[F.sum(gain).alias(name) for name, gain in columns.items()])
     shares = [(F.coalesce(F.col(name), F.lit(0.0)) / F.col("n_users")).alias(name) for name in columns]
     return sums.withColumn("n_users", n_users).select("model", *shares, "n_users")
 

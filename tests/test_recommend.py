@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quartermill.functions.skew import global_rank, hot_keys, salted_join
-from quartermill.operators import grid, implicit_als, interactions, ranking, recommend, spectral, vectors
+from quartermill.operators import grid, implicit_als, interactions, ranking, recommend, spectral, text, vectors
+from quartermill.plans import inputs, purchases
 from quartermill.session import materialise
 
 CELL = "user_id bigint, item_id string, n_rows bigint, quantity bigint, last_at struct<invoice_date: date, invoice: string, line_no: int>"
@@ -287,6 +288,28 @@ def test_metrics_count_users_without_lists_and_models_without_hits(spark):
     assert m["map_20"] == pytest.approx((1.5 + 1 / 15) / 4) and out["none"]["recall_50"] == 0
 
 
+def test_metrics_read_the_lists_once(spark, tmp_path):
+    test = spark.createDataFrame([(1, "a"), (2, "b")], "user_id bigint, item_id string")
+    spark.createDataFrame([("m", 1, "a", 1), ("none", 2, "z", 1)], "model string, user_id bigint, item_id string, rank int").write.parquet(f"{tmp_path}/lists")
+    scored = ranking.evaluate_all(spark.read.parquet(f"{tmp_path}/lists"), test)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert {r["model"]: (r["recall_10"], r["n_users"]) for r in scored.collect()} == {"m": (0.5, 2), "none": (0.0, 2)}
+
+
+def test_lists_of_the_models_are_not_stored_and_a_shared_name_is_counted_once(spark, monkeypatch):
+    sf, stored, counted = "/root/testdata/sf0.001", [], []
+    keep, count = inputs.materialise, text.term_counts
+    monkeypatch.setattr(inputs, "materialise", lambda df, label="stage": (stored.append(label), keep(df, label))[1])
+    monkeypatch.setattr(text, "term_counts", lambda docs, *a, **b: (counted.append(docs.count()), count(docs, *a, **b))[1])
+    inputs.forget_stages()
+    got = purchases.evaluate_all(spark, sf).collect()
+    names = purchases.item_text(spark, sf).select("p_name").distinct().count()
+    assert len(got) == 3 and "all_recs" not in stored and stored.count("scores") == 1
+    assert set(counted) == {names}
+    vecs, size = purchases.word_vectors(spark, sf)
+    assert vecs.count() == purchases.catalogue(spark, sf).count() and vecs.select("vec").distinct().count() <= names
+
+
 def lines(spark, rows):
     return spark.createDataFrame(rows, "user_id bigint, item_id string, quantity bigint, price double, invoice string, "
                                        "line_no int, invoice_date date, country string, description string")
