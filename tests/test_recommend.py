@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from quartermill import session
 from quartermill.functions.skew import global_rank, hot_keys, salted_join
 from quartermill.operators import grid, implicit_als, interactions, ranking, recommend, spectral, text, vectors
 from quartermill.plans import inputs, purchases
@@ -146,6 +147,56 @@ def test_equal_vectors_share_a_block_and_blocks_share_a_round(spark, monkeypatch
     assert written.count("scoring") > 3
 
 
+def test_packed_blocks_pass_through_the_driver_in_parts_and_rounds_leave_one_state(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    u, v = rng.normal(size=(60, 5)), rng.normal(size=(400, 5)) * rng.uniform(0.2, 3, (400, 1))
+    u[3], v[7] = 0.0, 0.0
+    users = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(u)], "user_id bigint, vec array<double>")
+    items = spark.createDataFrame([(f"i{i:03d}", x.tolist()) for i, x in enumerate(v)], "item_id string, vec array<double>")
+    monkeypatch.setattr(vectors, "ROUND_NUMBERS", 500)  # four rounds of ten blocks
+    monkeypatch.setattr(vectors, "PART_NUMBERS", 100)  # two blocks a part
+    sent, written, gone = [], [], []
+    plain, release = vectors.materialise, vectors.release
+    monkeypatch.setattr(vectors, "materialise", lambda df, label: (t := plain(df, label), written.append((label, t.scratch_path)))[0])
+    monkeypatch.setattr(vectors, "release", lambda *tables: (gone.extend(t.scratch_path for t in tables), release(*tables))[1])
+    monkeypatch.setattr(type(items), "toPandas", lambda df: pytest.fail("vectors of items on the driver"))
+    cast = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value) or cast(value))
+    got = {r["user_id"]: (r["best"], r["scores"]) for r in vectors.top_k_state(users, items, 6, None, 7, 10)[0].collect()}
+    scores = np.round(u @ v.T, vectors.SCORE_DIGITS)
+    for a in range(60):
+        want = sorted(range(400), key=lambda b: (scores[a, b], b), reverse=True)[:6]
+        assert got[a][0] == [f"i{b:03d}" for b in want] and np.allclose(got[a][1], scores[a, want], atol=2e-9)
+    assert all(len(part) == 2 and all(isinstance(b, bytes) for b in part) for part in sent)
+    states = [path for label, path in written if label == "scoring"]
+    assert len(states) > 1 and set(states[:-1]) <= set(gone) and {p for label, p in written if label in ("item_blocks", "packed_blocks")} <= set(gone)
+    spans = {r["user_id"]: (r["lo"], r["hi"]) for r in vectors.score_range(users, items, 7, 10).collect()}
+    assert all(np.allclose(spans[a], ((u @ v.T)[a].min(), (u @ v.T)[a].max()), rtol=1e-13, atol=0) for a in range(60))
+
+
+@pytest.mark.parametrize("size", [1e-160, 1e-20, 1.0, 1e20, 1e140])
+def test_single_precision_only_sorts_out_what_cannot_be_in_a_list(size):
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=(3000, 8)) * size
+    v[1000:2000] = v[:1000] * (1 + rng.uniform(-1e-9, 1e-9, (1000, 1)))  # apart only in double precision
+    u = rng.normal(size=(20, 8))
+    norm = np.linalg.norm(u, axis=1)
+    own = vectors._block(pd.DataFrame({"item_id": np.arange(3000), "vec": list(v)}), float(np.linalg.norm(v, axis=1).max()))
+    shared = type("Shared", (), {"value": None})()
+    shared.value = [pickle.dumps(own)]
+    block = vectors._opened(shared)[0]
+    none = np.zeros(0, int)
+    r, c, score = vectors._candidates(block, u, vectors._units(u, norm), norm, np.full(20, -np.inf), 5, none, none)
+    row, score, name = vectors._best(r, score, block.ids[c].astype(object), 5)
+    exact = np.round(u @ v.T, vectors.SCORE_DIGITS)
+    for a in range(20):
+        want = sorted(range(3000), key=lambda b: (exact[a, b], b), reverse=True)[:5]
+        if size in (1e20, 1e140):  # rounding to nine digits does nothing there, and products differ in the last bit
+            assert np.allclose(score[row == a], exact[a, want], rtol=1e-14)
+        else:
+            assert name[row == a].tolist() == want
+
+
 def test_scoring_of_nobody_or_nothing(spark):
     users = spark.createDataFrame([(1, [1.0, 2.0])], "user_id bigint, vec array<double>")
     items = spark.createDataFrame([("a", [0.0, 0.0])], "item_id string, vec array<double>")
@@ -192,6 +243,16 @@ def test_half_steps_bring_their_gram_matrix_and_send_vectors_without_a_join(spar
     assert to == {r["id"]: sorted(r["b"]) for r in dealt.links.groupBy("id").agg(F.collect_set("block").alias("b")).collect()}
 
 
+def test_shuffle_files_go_with_the_table_that_was_written(spark):
+    before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    table = session.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert table.count() == 7 and spark.conf.get(session.SHUFFLE_CLEANUP, None) == before
+    assert session.materialise(spark.range(3), "again").count() == 3
+    session.release(table)
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_rows_of_few_cells_are_solved_in_systems_of_their_length():
     rng = np.random.default_rng(3)
     size, lengths = 6, rng.integers(1, 12, 200)
