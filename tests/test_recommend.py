@@ -243,6 +243,22 @@ def test_half_steps_bring_their_gram_matrix_and_send_vectors_without_a_join(spar
     assert to == {r["id"]: sorted(r["b"]) for r in dealt.links.groupBy("id").agg(F.collect_set("block").alias("b")).collect()}
 
 
+def test_half_steps_leave_no_table_but_the_last_and_blocks_fill_the_tasks(spark, monkeypatch):
+    cells = spark.range(4000).selectExpr("id % 170 AS user_id", "cast(id % 130 AS string) AS item_id", "1.0D + id % 3 AS weight").distinct()
+    written, gone = [], []
+    plain, release = implicit_als.materialise, implicit_als.release
+    monkeypatch.setattr(implicit_als, "materialise", lambda df, label: (t := plain(df, label), written.append((label, t.scratch_path)))[0])
+    monkeypatch.setattr(implicit_als, "release", lambda *tables: (gone.extend(t.scratch_path for t in tables), release(*tables))[1])
+    users, items = implicit_als.als(cells, 3, 4, block_cells=300)
+    halves = [path for label, path in written if label == "als_half"]
+    assert len(halves) == 8 and set(halves[:-2]) <= set(gone) and not set(halves[-2:]) & set(gone)
+    assert users.count() == 170 and items.count() == 130 and items.schema["vec"].dataType.simpleString() == "array<double>"
+    dealt = grid.deal(cells, "user_id", "item_id", 4000, 500)
+    names = [r["block"] for r in dealt.rows.select("block").distinct().collect()]
+    tasks = spark.createDataFrame([(b,) for b in names], "block int").select(F.pmod(F.hash("block"), F.lit(dealt.blocks)).alias("t")).distinct().count()
+    assert dealt.blocks == len(names) == tasks == 8
+
+
 def test_shuffle_files_go_with_the_table_that_was_written(spark):
     before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
     table = session.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
