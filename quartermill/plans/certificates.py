@@ -334,7 +334,7 @@ def evaluation_agrees(spark, sf):
     for k in (10, 20, 50):
         hit = (F.col("at") > 0) & (F.col("at") <= k)
         metrics |= {f"recall_{k}": hit.cast("double"), f"ndcg_{k}": F.when(hit, F.log(2.0, F.lit(2.0)) / F.log(2.0, F.col("at") + 1)).otherwise(0.0), f"map_{k}": F.when(hit, 1 / F.col("at")).otherwise(0.0)}
-    again = users.groupBy("model").agg(F.count(F.lit(1)).alias("n_users"), *[F.avg(v).alias(f"_{n}") for n, v in metrics.items()])
+    again = materialise(users.groupBy("model").agg(F.count(F.lit(1)).alias("n_users"), *[F.avg(v).alias(f"_{n}") for n, v in metrics.items()]), "counted_again")
     both = evaluate_fitted(spark, sf).drop("n_users").join(again, "model")
     wrong = sum((F.abs(F.col(n) - F.col(f"_{n}")) > 1e-9).cast("bigint") for n in metrics)
     base = again.filter("model = 'Popularity'").select("_recall_10").scalar()

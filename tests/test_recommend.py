@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quartermill import session
 from quartermill.functions.skew import global_rank, hot_keys, salted_join
 from quartermill.operators import grid, implicit_als, interactions, ranking, recommend, spectral, text, vectors
-from quartermill.plans import inputs, purchases
+from quartermill.plans import decompose, inputs, purchases
 from quartermill.session import materialise
 
 CELL = "user_id bigint, item_id string, n_rows bigint, quantity bigint, last_at struct<invoice_date: date, invoice: string, line_no: int>"
@@ -269,6 +269,16 @@ def test_shuffle_files_go_with_the_table_that_was_written(spark):
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def test_faults_of_lists_are_counted_with_one_meeting_of_a_list(spark):
+    train = spark.createDataFrame([(1, "a", 1.0), (1, "a", 1.0), (2, "z", 1.0)], "user_id bigint, item_id string, weight double")
+    rows = [("m", 1, "a", 1, 5.0), ("m", 1, "b", 2, 4.0), ("m", 1, "b", 3, 4.0), ("m", 2, "a", 1, 1.0), ("m", 2, "c", 2, 2.0), ("n", 3, "x", 1, 0.0)]
+    recs = spark.createDataFrame(rows, "model string, user_id bigint, item_id string, rank int, score double")
+    faults = decompose.list_faults(recs, train)
+    assert sorted(map(tuple, faults.collect())) == [("m", 5, 2, 1, 1, 2), ("n", 1, 1, 0, 0, 0)]
+    plan = faults._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Expand" not in plan and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
+
+
 def test_rows_of_few_cells_are_solved_in_systems_of_their_length():
     rng = np.random.default_rng(3)
     size, lengths = 6, rng.integers(1, 12, 200)
